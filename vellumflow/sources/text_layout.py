@@ -10,6 +10,8 @@ from vellumflow.functions.text import SPACE
 
 ITEMS_PER_PAGE = 40
 SEGMENT_ITEMS = 4096
+# Items added to the end of a body after extraction are numbered from here.
+ADDED_SEQ = 1 << 30
 # A text up to this size is one segment; longer ones are cut into segments of items.
 WHOLE_CHARS = 4_000_000
 
@@ -92,10 +94,11 @@ def flat_items(layout: DataFrame) -> DataFrame:
 def nested_items(items: DataFrame, segment_items: int = SEGMENT_ITEMS) -> DataFrame:
     """Layout rows from flat items; groups are bounded by the segment length."""
     names = schemas.item.fieldNames()
+    place = F.floor(F.pmod("seq", F.lit(ADDED_SEQ)) / segment_items).cast("int")
     keyed = items.select(
         "input_hash",
         "filename",
-        F.floor(F.col("seq") / segment_items).cast("int").alias("seg"),
+        place.alias("seg"),
         F.struct(*names).alias("_item"),
     )
     segs = keyed.groupBy("input_hash", "seg").agg(
@@ -104,7 +107,5 @@ def nested_items(items: DataFrame, segment_items: int = SEGMENT_ITEMS) -> DataFr
             F.collect_list("_item"), lambda a, b: F.when(a.seq < b.seq, -1).when(a.seq > b.seq, 1).otherwise(0)
         ).alias("items"),
     )
-    sizes = items.groupBy("input_hash").agg(
-        (F.floor(F.max("seq") / segment_items).cast("int") + 1).alias("n_segs")
-    )
+    sizes = items.groupBy("input_hash").agg((F.max(place) + 1).alias("n_segs"))
     return segs.join(sizes, "input_hash").select("input_hash", "filename", "seg", "n_segs", "items")
