@@ -38,3 +38,8 @@ def prompt_echo():
         return out
 
     return answer
+
+
+def url_fetcher():
+    """Serves every URL but those with a fragment."""
+    return lambda url: (404, None) if "#" in url else (200, f"body of {url}".encode())

@@ -35,9 +35,10 @@ def _pieces(items: Column, max_tokens: int, terms: Callable[[Column], Column]) -
     body = F.filter(items, lambda it: ~it.label.isin(NOT_BODY))
     counted = F.transform(body, lambda it: F.struct(it.alias("it"), terms(it.text).alias("terms")))
 
-    def piece(it: Column, n: Column, text: Column) -> Column:
+    def piece(it: Column, part: Column, n: Column, text: Column) -> Column:
         return F.struct(
             n.alias("n"),
+            part.alias("part"),
             it.run.alias("run"),
             it.ref.alias("ref"),
             it.page_nos.alias("page_nos"),
@@ -47,11 +48,12 @@ def _pieces(items: Column, max_tokens: int, terms: Callable[[Column], Column]) -
 
     def split(c: Column) -> Column:
         total = F.size(c.terms)
-        whole = F.array(piece(c["it"], total, c["it"].text))
+        whole = F.array(piece(c["it"], F.lit(0), total, c["it"].text))
         slices = F.transform(
             F.sequence(F.lit(0), F.floor((total - 1) / max_tokens).cast("int")),
             lambda j: piece(
                 c["it"],
+                j,
                 F.least(F.lit(max_tokens), total - j * max_tokens),
                 trim_space(F.array_join(F.slice(c.terms, j * max_tokens + 1, F.lit(max_tokens)), "")),
             ),
@@ -62,7 +64,7 @@ def _pieces(items: Column, max_tokens: int, terms: Callable[[Column], Column]) -
     return F.transform(numbered, lambda p, i: F.struct(i.alias("i"), *[p[f].alias(f) for f in PIECE]))
 
 
-PIECE = ["n", "run", "ref", "page_nos", "headings", "text"]
+PIECE = ["n", "part", "run", "ref", "page_nos", "headings", "text"]
 
 
 def _cuts(pieces: Column, open_n: Column, open_run: Column, max_tokens: int) -> Column:
@@ -223,7 +225,7 @@ def _as_text_chunk(parts: DataFrame) -> DataFrame:
         F.array_distinct(F.transform(ps, lambda p: p.ref)).alias("doc_refs"),
         F.element_at(ps, 1).headings.alias("headings"),
         F.array_join(F.transform(ps, lambda p: p.text), "\n").alias("text"),
-        F.concat_ws("-", "open_seg", "open_i").alias("_no"),
+        F.concat_ws("/", "input_hash", F.lit("text"), F.element_at(ps, 1).ref, F.element_at(ps, 1).part).alias("_key"),
     )
     return made.select(
         "filename",
@@ -245,15 +247,11 @@ def _as_text_chunk(parts: DataFrame) -> DataFrame:
             captions=F.lit(""),
             text=F.col("text"),
         ).alias("enriched_text"),
-        _chunk_id(F.col("_no")).alias("id"),
+        # A key that is the same on every run: where the chunk begins.
+        F.md5("_key").alias("id"),
     )
 
 
-def _chunk_id(number: Column) -> Column:
-    """A key that is the same on every run."""
-    return F.md5(F.concat_ws("/", "input_hash", F.lit("text"), number))
-
-
 def _element_id(kind: str, ref: Column) -> Column:
     return F.md5(F.concat_ws("/", "input_hash", F.lit(kind), ref))
 

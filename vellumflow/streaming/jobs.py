@@ -11,8 +11,19 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from vellumflow.operators.chat import conversations
+from vellumflow.operators.embed import EmbedderFactory, embed
 from vellumflow.operators.retrieve import exact_hits
-from vellumflow.operators.sync import change_set, changed_rows, read_latest, sync, table_exists, write_version
+from vellumflow.operators.sync import (
+    change_set,
+    changed_rows,
+    read_latest,
+    sync,
+    table_exists,
+    upsert,
+    write_version,
+)
+from vellumflow.session import settled
 from vellumflow.sources.store import pending
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -48,7 +59,7 @@ def convert_stream(
         first = f"{layout_path}/batch={number}"
         stored = _stored_before(spark, layout_path, number)
         fresh = batch if stored is None else pending(batch, stored)
-        to_layout(fresh.dropDuplicates(["input_hash"])).write.mode("overwrite").parquet(first)
+        to_layout(fresh).write.mode("overwrite").parquet(first)
         to_chunks(spark.read.parquet(first)).write.mode("overwrite").parquet(f"{chunk_path}/batch={number}")
 
     return _drain(documents, checkpoint, each)
@@ -64,19 +75,24 @@ def _stored_before(spark: SparkSession, path: str, number: int) -> DataFrame | N
     return stored.where(F.col("batch") < number)
 
 
-def sync_stream(chunks: DataFrame, folder: str, embedder, columns: list[str], checkpoint: str, key: str = "id") -> StreamingQuery:
+def sync_stream(
+    chunks: DataFrame, folder: str, embedder: EmbedderFactory, columns: list[str], checkpoint: str, key: str = "id"
+) -> StreamingQuery:
     """Apply each batch of new or changed chunk rows to the embedded table.
 
-    A batch holds additions and changes, so rows it does not name are kept.
+    Rows that a batch does not name are kept. A batch that is run again finds nothing to change.
     """
 
     def each(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
         rows = batch.select(*columns).dropDuplicates([key])
-        if table_exists(spark, folder):
-            kept = read_latest(spark, folder).select(*columns).join(rows.select(key), key, "left_anti")
-            rows = kept.unionByName(rows)
-        sync(rows, folder, embedder, columns, key)
+        if not table_exists(batch.sparkSession, folder):
+            sync(rows, folder, embedder, columns, key)
+            return
+        old = read_latest(batch.sparkSession, folder)
+        named = old.join(rows.select(key), key, "left_semi")
+        changes = settled(change_set(named, rows, key, [c for c in columns if c != key]))
+        if not changes.isEmpty():
+            write_version(upsert(old, changes, embed(changed_rows(rows, changes, key), embedder), key), folder)
 
     return _drain(chunks, checkpoint, each)
 
@@ -124,81 +140,88 @@ def event_stream(
 
 # --- conversation state ------------------------------------------------------------------------
 
-STEP = T.StructType(
+CONVERSATION = T.StructType(
     [
         T.StructField("conv_id", T.LongType()),
-        T.StructField("position", T.IntegerType()),
-        T.StructField("role", T.StringType()),
-        T.StructField("content", T.StringType()),
+        T.StructField("n_messages", T.LongType()),
+        T.StructField("last_turn", T.LongType()),
+        T.StructField("question_turn", T.LongType()),
         T.StructField("question", T.StringType()),
     ]
 )
-HISTORY = T.StructType(
-    [T.StructField("conv_id", T.LongType()), T.StructField("position", T.IntegerType()), T.StructField("history", T.StringType())]
-)
-
+KEPT = T.StructType(CONVERSATION.fields[1:])
 
-def _ordered(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each batch of rows in turn order. Rows of a key come in slices, which are not joined."""
-    for part in rows:
-        yield part.sort_values("turn")
 
+class _Conversation(StatefulProcessor):
+    """Per conversation: how many messages, the last turn, and the last user message.
 
-class _Appender(StatefulProcessor):
-    """Emits only what is new: each message, its position and the question in force. The state is two values."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("question", T.StringType())])
-        self.state = handle.getValueState("last", schema, self.ttl_ms)
+    None of it depends on the order in which rows of a batch arrive, so a long
+    conversation is folded slice by slice and the state stays one small row.
+    """
 
     def __init__(self, ttl_ms: int) -> None:
         self.ttl_ms = ttl_ms
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.kept = handle.getValueState("conversation", KEPT, self.ttl_ms)
+
     def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
-        n, question = self.state.get() if self.state.exists() else (0, None)
-        for part in _ordered(rows):
-            out = []
-            for role, content in zip(part["role"], part["content"]):
-                n += 1
-                question = content if role in ("user", "human") else question
-                out.append((key[0], n, role, content, question))
-            yield pd.DataFrame(out, columns=STEP.fieldNames())
-        self.state.update((n, question))
+        n, last, asked, question = self.kept.get() if self.kept.exists() else (0, -1, -1, None)
+        for part in rows:
+            n += len(part)
+            last = max(last, int(part["turn"].max()))
+            users = part[part["role"].isin(["user", "human"])]
+            if len(users) and users["turn"].max() > asked:
+                newest = users.loc[users["turn"].idxmax()]
+                asked, question = int(newest["turn"]), newest["content"]
+        self.kept.update((n, last, asked, question))
+        found = (key[0], n, last, asked if asked >= 0 else None, question)
+        frame = pd.DataFrame([found], columns=CONVERSATION.fieldNames())
+        yield frame.astype({"question_turn": "Int64"})
 
     def close(self) -> None:
         pass
 
 
-def message_stream(
+def conversation_stream(
     messages: DataFrame, out: str, checkpoint: str, ttl_ms: int = 7 * 24 * 3600 * 1000
 ) -> StreamingQuery:
-    """Append form: each new message with its position in the conversation and the last question.
+    """Update form: the state of every conversation that got messages in a batch.
 
     A conversation that is silent for ``ttl_ms`` is forgotten.
     """
     messages.sparkSession.conf.set(STATE_STORE, ROCKSDB)
-    steps = (
+    states = (
         messages.select("conv_id", "turn", "role", "content")
         .groupBy("conv_id")
         .transformWithStateInPandas(
-            statefulProcessor=_Appender(ttl_ms), outputStructType=STEP, outputMode="Append", timeMode="ProcessingTime"
+            statefulProcessor=_Conversation(ttl_ms),
+            outputStructType=CONVERSATION,
+            outputMode="Update",
+            timeMode="ProcessingTime",
         )
     )
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
     return (
-        steps.writeStream.format("parquet")
-        .option("path", out)
+        states.writeStream.foreachBatch(each)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
+        .outputMode("update")
         .trigger(availableNow=True)
         .start()
     )
 
 
-def full_histories(steps: DataFrame) -> DataFrame:
-    """Rewrite form: after each message the whole history up to it, from the stored messages."""
-    from pyspark.sql import Window
+def history_stream(messages: DataFrame, store: str, out: str, checkpoint: str) -> StreamingQuery:
+    """Rewrite form: the whole history of every conversation that got messages in a batch."""
 
-    upto = Window.partitionBy("conv_id").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
-    return steps.withColumn("history", F.to_json(F.collect_list(F.struct("role", "content")).over(upto))).select(
-        "conv_id", "position", "history"
-    )
+    def each(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{store}/batch={number}")
+        seen = spark.read.option("basePath", store).parquet(store).where(F.col("batch") <= number)
+        touched = spark.read.parquet(f"{store}/batch={number}").select("conv_id").distinct()
+        conversations(seen.join(touched, "conv_id", "left_semi")).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return _drain(messages, checkpoint, each)
