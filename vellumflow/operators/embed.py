@@ -22,12 +22,9 @@ def embedding(text: Column, factory: EmbedderFactory) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         embed = factory()
         for texts in batches:
-            out = pd.Series([None] * len(texts), index=texts.index, dtype=object)
-            known = texts.notna()
-            if known.any():
-                vectors = np.asarray(embed(texts[known].tolist()), dtype=np.float32)
-                out[known] = list(vectors)
-            yield out
+            known = texts[texts.notna()]
+            vectors = iter(np.asarray(embed(known.tolist()), dtype=np.float32) if len(known) else [])
+            yield pd.Series([next(vectors) if ok else None for ok in texts.notna()], index=texts.index, dtype=object)
 
     return run.asNondeterministic()(text)
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumflow.functions import refs, stubs, templates
-from vellumflow.functions.text import clean
 from vellumflow.operators import chunking, enrich, graph
 from vellumflow.plans.common import ITEMS_SQL, TEXT_CHUNKS_SQL, W, document_layout, flat, table
 from vellumflow.session import new_folder, settled
@@ -336,8 +335,9 @@ articles AS (
   FROM (SELECT page_id, string_split(regexp_replace(body, '(?s)^.*</h1>', ''), '<p>') AS ps FROM articles)
 ), plain AS (
   SELECT page_id, label, n,
-         trim(regexp_replace(replace(regexp_replace(regexp_replace(replace(raw, '<br>', ' '), '(?s)</p>.*$', ''),
-              '<[^>]*>', '', 'g'), '&amp;', '&'), '[{W}]+', ' ', 'g')) AS text
+         trim(regexp_replace(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(replace(raw, '<br>', ' '), '(?s)</p>.*$', ''),
+              '<[^>]*>', '', 'g'), '&quot;', '"'), '&#x27;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'),
+              '[{W}]+', ' ', 'g')) AS text
   FROM parts
 ), htmlitems AS (
   SELECT page_id, md5('/pages/' || page_id || '.html') AS input_hash, page_id || '.html' AS filename, label, text,
@@ -378,6 +378,7 @@ _TABLE_TEXT = _filled(templates.TABLE_TEXT, captions="caption", text="text")
 _PICTURE_TEXT = _filled(templates.PICTURE_TEXT, captions="''", text="text")
 _PAGE_TEXT = _filled(templates.PAGE_TEXT, headings="''", text="description")
 _BODY_TEXT = _filled(templates.BODY_TEXT, headings="''", captions="''", text="text")
+_HTML_BODY_TEXT = _filled(templates.BODY_TEXT, headings="heading", captions="''", text="text")
 _CAPTION = f"length(text) || ' characters in ' || (length(text) - length(replace(text, {_NL}, '')) + 1) || ' lines'"
 
 ORACLE = {
@@ -397,6 +398,11 @@ ORACLE = {
     "text_items": f"WITH {ITEMS_SQL} SELECT input_hash, filename, seq, ref, label, page, text FROM items",
     "html_items": f"""WITH {_HTML_SQL} SELECT input_hash, filename, seq, '#/texts/' || seq AS ref, label,
         first_value(text) OVER (PARTITION BY page_id ORDER BY seq) AS headings, text FROM htmlitems""",
+    "html_text_chunks": f"""WITH RECURSIVE {_HTML_SQL}, items AS (
+        SELECT page_id AS doc_id, input_hash, filename, seq, label, '#/texts/' || seq AS ref, 1 AS page, text FROM htmlitems
+        ), heads AS (SELECT filename, text AS heading FROM htmlitems WHERE seq = 0), {TEXT_CHUNKS_SQL}
+        SELECT filename, pages, doc_refs, heading AS headings, text, {_HTML_BODY_TEXT} AS enriched_text, id
+        FROM textchunks JOIN heads USING (filename)""",
     "heading_in_force": f"""WITH {_HTML_SQL} SELECT input_hash, seq,
         first_value(text) OVER (PARTITION BY page_id ORDER BY seq) AS heading FROM htmlitems""",
     "markdown_documents": f"""WITH {ITEMS_SQL}, md AS (
