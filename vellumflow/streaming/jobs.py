@@ -27,9 +27,28 @@ from vellumflow.session import settled
 from vellumflow.sources.store import pending
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+# Expiry by time would ask for ever more empty batches, and a drained stream would never stop.
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def _started_with(
+    spark: SparkSession, settings: dict[str, str], start: Callable[[], StreamingQuery]
+) -> StreamingQuery:
+    """Start a query under settings it takes a copy of, then put the session's own back."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        return start()
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def _drain(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> StreamingQuery:
     """Work through everything that is there, then stop. The checkpoint remembers what was seen."""
     return (
@@ -190,7 +209,7 @@ def conversation_stream(
 
     A conversation that is silent for ``ttl_ms`` is forgotten.
     """
-    messages.sparkSession.conf.set(STATE_STORE, ROCKSDB)
+    spark = messages.sparkSession
     states = (
         messages.select("conv_id", "turn", "role", "content")
         .groupBy("conv_id")
@@ -205,13 +224,16 @@ def conversation_stream(
     def each(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    return (
-        states.writeStream.foreachBatch(each)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("update")
-        .trigger(availableNow=True)
-        .start()
-    )
+    def start() -> StreamingQuery:
+        return (
+            states.writeStream.foreachBatch(each)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("update")
+            .trigger(availableNow=True)
+            .start()
+        )
+
+    return _started_with(spark, {STATE_STORE: ROCKSDB, NO_DATA_BATCHES: "false"}, start)
 
 
 def history_stream(messages: DataFrame, store: str, out: str, checkpoint: str) -> StreamingQuery:
