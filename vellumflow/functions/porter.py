@@ -6,8 +6,6 @@ forms, short words left alone, and a few changed rules.
 
 from __future__ import annotations
 
-import re
-
 # Irregular forms and suffix rules.
 IRREGULAR = {
     "skies": "sky",
@@ -64,17 +62,30 @@ DROPPED = (
 ).split()
 
 
+class _Shapes(dict):
+    """v for a vowel, c for any other letter."""
+
+    def __missing__(self, code: int) -> str:
+        self[code] = "v" if chr(code) in "aeiou" else "c"
+        return self[code]
+
+
+_SHAPES = _Shapes()
+
+
 def _shape(word: str) -> str:
     """The word as c (consonant) and v (vowel); y after a consonant is a vowel."""
-    shape = ""
-    for i, letter in enumerate(word):
-        vowel = letter in "aeiou" or (letter == "y" and i > 0 and shape[-1] == "c")
-        shape += "v" if vowel else "c"
+    shape = word.translate(_SHAPES)
+    at = word.find("y", 1)
+    while at > 0:
+        if shape[at - 1] == "c":
+            shape = shape[:at] + "v" + shape[at + 1 :]
+        at = word.find("y", at + 1)
     return shape
 
 
 def _measure(word: str) -> int:
-    return len(re.findall("vc", _shape(word)))
+    return _shape(word).count("vc")
 
 
 def _short_end(word: str) -> bool:

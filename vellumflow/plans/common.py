@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vellumflow.session import spread
 from vellumflow.sources.text_layout import text_layout
 
 # The same character classes as in ``functions.text``, for SQL.
@@ -17,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows cost much to work on, over all cores."""
+    return spread(table(spark, sf_dir, name), key)
+
+
 def flat(df: DataFrame) -> DataFrame:
     """Arrays as text, so that results compare as plain columns."""
     out = []
@@ -29,7 +35,7 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def document_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir, "documents", "doc_id")
     name = F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
     return text_layout(docs, F.md5(F.concat(F.lit("/documents/"), name)), name, size="n_chars")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vellumflow.functions import refs, stubs, templates
 from vellumflow.operators import chunking, enrich, graph
-from vellumflow.plans.common import ITEMS_SQL, TEXT_CHUNKS_SQL, W, document_layout, flat, table
+from vellumflow.plans.common import ITEMS_SQL, TEXT_CHUNKS_SQL, W, document_layout, flat, table, texts
 from vellumflow.session import new_folder, settled
 from vellumflow.sources import drivers, files, store
 from vellumflow.sources.html_layout import html_layout
@@ -89,7 +89,7 @@ def text_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
+    pages = texts(spark, sf_dir, "pages", "page_id")
     name = F.concat(F.col("page_id").cast("string"), F.lit(".html"))
     return html_layout(pages, F.md5(F.concat(F.lit("/pages/"), name)), name)
 

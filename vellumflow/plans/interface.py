@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from vellumflow.functions import text
 from vellumflow.operators import highlight as marks
-from vellumflow.plans.common import L, W, table
+from vellumflow.plans.common import L, W, table, texts
 
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", text.clean(F.col("text")).alias("cleaned"))
+    return texts(spark, sf_dir, "documents", "doc_id").select("doc_id", text.clean(F.col("text")).alias("cleaned"))
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = table(spark, sf_dir, "documents").select("doc_id", "text", text.tokens(F.col("text")).alias("t"))
+    found = texts(spark, sf_dir, "documents", "doc_id").select("doc_id", "text", text.tokens(F.col("text")).alias("t"))
     return found.select(
         "doc_id",
         F.size("t").cast("bigint").alias("n_tokens"),
@@ -31,7 +31,7 @@ def query_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stems(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = text.words(F.lower("text"))
-    found = table(spark, sf_dir, "documents").select("doc_id", marks.stems(words).alias("s"))
+    found = texts(spark, sf_dir, "documents", "doc_id").select("doc_id", marks.stems(words).alias("s"))
     return found.select("doc_id", F.size("s").cast("bigint").alias("n_words"), F.md5(F.array_join("s", " ")).alias("stems_md5"))
 
 
@@ -39,7 +39,7 @@ def _paired(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the listed question whose turn it is."""
     n = table(spark, sf_dir, "benchmark").count()
     asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("_q"), F.col("text").alias("query"))
-    return table(spark, sf_dir, "documents").withColumn("_q", F.pmod("doc_id", F.lit(n))).join(asked, "_q").drop("_q")
+    return texts(spark, sf_dir, "documents", "doc_id").withColumn("_q", F.pmod("doc_id", F.lit(n))).join(asked, "_q").drop("_q")
 
 
 def highlight(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vellumflow.functions import stubs
 from vellumflow.operators import cells, embed, retrieve, sync
-from vellumflow.plans.common import letters_sql, table
+from vellumflow.plans.common import letters_sql, table, texts
 from vellumflow.session import new_folder, settled
 
 K = 3
@@ -78,14 +78,14 @@ def retrieved_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embedded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = embed.embed(table(spark, sf_dir, "documents").select("doc_id", "text"), stubs.letter_embedder)
+    docs = embed.embed(texts(spark, sf_dir, "documents", "doc_id").select("doc_id", "text"), stubs.letter_embedder)
     total = lambda at: F.get("embedding", F.lit(at)).cast("bigint")
     return docs.select("doc_id", total(0).alias("a"), total(4).alias("e"), total(25).alias("z"))
 
 
 def text_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their embedding, kept so that the embedder runs once."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = texts(spark, sf_dir, "documents", "doc_id").select(F.col("doc_id").alias("id"), "text")
     return settled(embed.embed(docs, stubs.letter_embedder).select("id", "embedding"))
 
 

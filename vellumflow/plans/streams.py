@@ -10,7 +10,7 @@ from vellumflow.operators import chat, chunking, embed, retrieve, sync
 from vellumflow.plans.chats import K, letters_sql
 from vellumflow.plans.common import ITEMS_SQL, TEXT_CHUNKS_SQL, flat, table
 from vellumflow.plans.retrieval import _VERSIONS, _new, _old, _topk, shown, text_corpus
-from vellumflow.session import new_folder, settled
+from vellumflow.session import new_folder, settled, spread
 from vellumflow.sources.text_layout import text_layout
 from vellumflow.streaming import jobs
 
@@ -31,7 +31,7 @@ def streamed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = stream(spark, sf_dir, "documents").select(
         F.md5(F.concat(F.lit("/documents/"), name)).alias("input_hash"), name.alias("filename"), "text", "n_chars"
     )
-    to_layout = lambda rows: text_layout(rows, F.col("input_hash"), F.col("filename"), size="n_chars")
+    to_layout = lambda rows: text_layout(spread(rows, "input_hash"), F.col("input_hash"), F.col("filename"), size="n_chars")
     # The second pass starts without a ledger and finds every document converted.
     for checkpoint in ("ledger", "second-ledger"):
         number = "" if checkpoint == "ledger" else "-again"

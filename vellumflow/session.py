@@ -40,3 +40,12 @@ def settled(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use every core on a scan of few splits; one with enough of them is not moved at all.
+
+    ``key`` should be unique, so that rows spread evenly whatever their contents.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df
