@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from vellumflow import schemas
 from vellumflow.functions import refs, templates
 from vellumflow.functions.text import spaced_terms, trim_space
-from vellumflow.sources.text_layout import flat_items
 
 # Labels that never become body text.
 NOT_BODY = [
@@ -259,12 +258,41 @@ def _element_id(kind: str, ref: Column) -> Column:
 # --- table and picture chunks ----------------------------------------------------------
 
 
-def caption_texts(items: DataFrame, owners: DataFrame) -> DataFrame:
-    """Caption text of each owner, in the order of its caption references."""
-    wanted = owners.select("input_hash", "ref", F.posexplode("caption_refs").alias("_pos", "_cap"))
-    named = items.where(F.col("label") == "caption").select(
-        "input_hash", F.col("ref").alias("_cap"), F.col("text").alias("_text")
+def _owners(layout: DataFrame, kind: str) -> DataFrame:
+    """Items of one kind, one row each; nothing else of the layout leaves its row."""
+    mine = F.filter("items", lambda it: it.label == kind)
+    return layout.select("input_hash", "filename", F.inline(mine))
+
+
+def _captioned(layout: DataFrame, kind: str) -> DataFrame:
+    """Items of one kind with ``caption``: their caption texts, in the order of the references.
+
+    A document of one segment holds its captions in its own row. Only longer
+    ones look them up across segments.
+    """
+    short = layout.where(F.col("n_segs") == 1)
+    texts = F.map_from_entries(
+        F.transform(
+            F.filter("items", lambda it: it.label == "caption"), lambda it: F.struct(it.ref.alias("k"), it.text.alias("v"))
+        )
+    )
+    near = (
+        short.withColumn("_texts", texts)
+        .select("input_hash", "filename", "_texts", F.inline(F.filter("items", lambda it: it.label == kind)))
+        .withColumn(
+            "caption", F.array_join(F.transform("caption_refs", lambda r: F.try_element_at(F.col("_texts"), r)), "")
+        )
+        .drop("_texts")
     )
+    long = layout.where(F.col("n_segs") > 1)
+    far = _owners(long, kind)
+    return near.unionByName(far.join(caption_texts(long, far), ["input_hash", "ref"], "left"))
+
+
+def caption_texts(layout: DataFrame, owners: DataFrame) -> DataFrame:
+    """Caption text of each owner by joining its references to the caption items."""
+    wanted = owners.select("input_hash", "ref", F.posexplode("caption_refs").alias("_pos", "_cap"))
+    named = _owners(layout, "caption").select("input_hash", F.col("ref").alias("_cap"), F.col("text").alias("_text"))
     return (
         wanted.join(named, ["input_hash", "_cap"])
         .groupBy("input_hash", "ref")
@@ -287,10 +315,7 @@ def _with_image(chunks: DataFrame, images: DataFrame | None, kind: str, ref: Col
 
 
 def _element_chunks(layout: DataFrame, images: DataFrame | None, kind: str, text: Column, template: str) -> DataFrame:
-    items = flat_items(layout)
-    owners = items.where(F.col("label") == kind)
-    captioned = owners.join(caption_texts(items, owners), ["input_hash", "ref"], "left")
-    placed = _with_image(captioned, images, kind + "s", refs.ref_tail(F.col("ref")))
+    placed = _with_image(_captioned(layout, kind), images, kind + "s", refs.ref_tail(F.col("ref")))
     none = F.array().cast(schemas.STRINGS)
     own = F.array(refs.ref_tail(F.col("ref")))
     made = placed.select(
@@ -333,55 +358,66 @@ def picture_chunks(layout: DataFrame, images: DataFrame | None = None) -> DataFr
 # --- page chunks -----------------------------------------------------------------------
 
 
-def pages_of(layout: DataFrame) -> DataFrame:
-    """Pages of each document by the first page of its items; page 0 for a document without any."""
-    firsts = F.array_distinct(F.filter(F.transform("items", lambda it: F.get(it.page_nos, F.lit(0))), lambda p: p.isNotNull()))
-    seen = layout.select("input_hash", "filename", firsts.alias("_pages"))
-    pages = seen.select("input_hash", "filename", F.explode("_pages").alias("page")).distinct()
-    bare = (
-        seen.groupBy("input_hash")
-        .agg(F.first("filename").alias("filename"), F.max(F.size("_pages")).alias("_n"))
-        .where(F.col("_n") == 0)
-        .select("input_hash", "filename", F.lit(0).alias("page"))
-    )
-    return pages.unionByName(bare)
-
+def page_table(layout: DataFrame) -> DataFrame:
+    """One row per page: references in reading order, distinct headings and captions, and the texts.
 
-def page_facts(layout: DataFrame) -> DataFrame:
-    """References, headings and captions per page, by the first page of each item."""
-    items = flat_items(layout).select(
-        "input_hash", F.get("page_nos", F.lit(0)).alias("page"), "seq", "ref", "label", "text"
+    An item counts for its first page. A document without any page gets page 0,
+    with nothing on it.
+    """
+    paged = F.filter("items", lambda it: F.size(it.page_nos) > 0)
+    bare = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.item])
+    listed = layout.select(
+        "input_hash",
+        "filename",
+        F.inline(F.when((F.size(paged) == 0) & (F.col("n_segs") == 1), F.array(bare)).otherwise(paged)),
+    ).select("input_hash", "filename", F.coalesce(F.get("page_nos", F.lit(0)), F.lit(0)).alias("page"), "seq", "ref", "label", "text")
+    # A long document may have segments without a page, so it has none only if no segment has one.
+    long_bare = (
+        layout.where(F.col("n_segs") > 1)
+        .groupBy("input_hash", "filename")
+        .agg(F.max(F.size(paged)).alias("_n"))
+        .where(F.col("_n") == 0)
+        .select("input_hash", "filename", F.lit(0).alias("page"), *[
+            F.lit(None).cast(schemas.item[c].dataType).alias(c) for c in ("seq", "ref", "label", "text")
+        ])
     )
-    facts = items.where(F.col("page").isNotNull()).groupBy("input_hash", "page").agg(
-        F.array_sort(F.collect_list(F.struct("seq", "ref"))).alias("_refs"),
+    on_page = F.when(F.col("ref").isNotNull(), F.struct("seq", "ref", "text"))
+    rows = listed.unionByName(long_bare).groupBy("input_hash", "filename", "page").agg(
+        F.array_sort(F.collect_list(on_page)).alias("_rows"),
         F.array_sort(F.collect_set(F.when(F.col("label").isin(HEADERS), F.col("text")))).alias("headings"),
         F.array_sort(F.collect_set(F.when(F.col("label") == "caption", F.col("text")))).alias("captions"),
     )
-    return facts.select(
-        "input_hash", "page", F.transform("_refs", lambda r: r.ref).alias("doc_refs"), "headings", "captions"
+    return rows.select(
+        "input_hash",
+        "filename",
+        "page",
+        F.transform("_rows", lambda r: r.ref).alias("doc_refs"),
+        "headings",
+        "captions",
+        F.array_join(F.transform("_rows", lambda r: r.text), "\n").alias("payload"),
     )
 
 
-def page_chunks(layout: DataFrame, descriptions: DataFrame, images: DataFrame | None = None) -> DataFrame:
-    """One chunk per described page; its text is the description."""
-    names = layout.where(F.col("seg") == 0).select("input_hash", "filename")
-    none = F.array().cast(schemas.STRINGS)
-    joined = (
-        descriptions.select("input_hash", "page", "description")
-        .join(page_facts(layout), ["input_hash", "page"], "left")
-        .join(names, "input_hash")
+def with_descriptions(pages: DataFrame, descriptions: DataFrame) -> DataFrame:
+    """The page table with descriptions kept elsewhere; a page without one reads empty."""
+    found = descriptions.select("input_hash", "page", "description")
+    return pages.join(found, ["input_hash", "page"], "left").withColumn(
+        "description", F.coalesce("description", F.lit(""))
     )
-    placed = _with_image(joined, images, "pages", F.col("page").cast("string"))
-    doc_refs = F.coalesce("doc_refs", none)
+
+
+def page_chunks(described: DataFrame, images: DataFrame | None = None) -> DataFrame:
+    """One chunk per row of a described page table; its text is the description."""
+    placed = _with_image(described, images, "pages", F.col("page").cast("string"))
     made = placed.select(
         "filename",
         "input_hash",
         F.array("page").alias("pages"),
-        doc_refs.alias("doc_refs"),
-        refs.tails_under(doc_refs, "tables").alias("tables"),
-        refs.tails_under(doc_refs, "pictures").alias("pictures"),
-        F.coalesce("headings", none).alias("headings"),
-        F.coalesce("captions", none).alias("captions"),
+        "doc_refs",
+        refs.tails_under(F.col("doc_refs"), "tables").alias("tables"),
+        refs.tails_under(F.col("doc_refs"), "pictures").alias("pictures"),
+        "headings",
+        "captions",
         F.lit("page").alias("chunk_type"),
         "image_path",
         F.col("description").alias("text"),
@@ -404,16 +440,19 @@ def page_chunks(layout: DataFrame, descriptions: DataFrame, images: DataFrame |
 
 def all_chunks(
     layout: DataFrame,
-    descriptions: DataFrame,
+    described: DataFrame,
     images: DataFrame | None = None,
     max_tokens: int = DEFAULT_MAX_TOKENS,
 ) -> DataFrame:
-    """The chunk table: text, picture, table and page chunks of all documents."""
+    """The chunk table: text, picture, table and page chunks of all documents.
+
+    Give it a stored layout: it is read once for each kind of chunk.
+    """
     return (
         text_chunks(layout, max_tokens)
         .unionByName(picture_chunks(layout, images))
         .unionByName(table_chunks(layout, images))
-        .unionByName(page_chunks(layout, descriptions, images))
+        .unionByName(page_chunks(described, images))
     )
 
 

@@ -9,53 +9,42 @@ from pyspark.sql import functions as F
 
 from vellumflow import schemas
 from vellumflow.functions import templates
-from vellumflow.operators.chunking import pages_of
 from vellumflow.operators.models import ModelFactory, Retry, model_replies, model_reply
-from vellumflow.sources.text_layout import ADDED_SEQ, flat_items
+from vellumflow.sources.text_layout import ADDED_SEQ
 
 ANNOTATION = "struct<" + schemas.annotation.simpleString()[len("struct<") :]
 # The placeholder class of the default picture classifier.
 DEFAULT_CLASS = ("example_classifier-0.0.1", "dummy", 0.42)
 
 
-def page_payloads(layout: DataFrame) -> DataFrame:
-    """What a page describer is given when no page image is at hand: the texts of the page in order."""
-    items = flat_items(layout).select("input_hash", F.get("page_nos", F.lit(0)).alias("page"), "seq", "text")
-    texts = (
-        items.where(F.col("page").isNotNull())
-        .groupBy("input_hash", "page")
-        .agg(F.array_sort(F.collect_list(F.struct("seq", "text"))).alias("_t"))
-        .select("input_hash", "page", F.array_join(F.transform("_t", lambda t: t.text), "\n").alias("payload"))
-    )
-    return pages_of(layout).join(texts, ["input_hash", "page"], "left")
-
-
 def describe_pages(
-    payloads: DataFrame,
+    pages: DataFrame,
     factory: ModelFactory | None,
     model: str,
     enabled: bool = True,
     retry: Retry = Retry(),
 ) -> DataFrame:
-    """``(input_hash, page, description, provenance, error)``; a failed call gives an empty text.
+    """Add ``description, provenance, error`` to a page table; a failed call gives an empty text.
 
-    A document without pages has page 0 with a fixed text and is not sent to the
+    The model is given ``payload``: the texts of the page, or whatever the caller puts there. A document without pages has page 0 with a fixed text and is not sent to the
     model. Without a model every description is empty; when not enabled there are none.
     """
     if not enabled:
-        payloads = payloads.limit(0)
+        pages = pages.where(F.lit(False))
     bare = F.col("page") == 0
     asked = F.when(~bare, F.coalesce("payload", F.lit("")))
     if factory is None:
         reply = F.struct(F.lit("").alias("text"), F.lit("no model").alias("error"))
     else:
         reply = model_reply(asked, factory, retry)
-    return payloads.withColumn("_r", reply).select(
-        "input_hash",
-        "page",
-        F.when(bare, F.lit(templates.NO_PAGES)).otherwise(F.coalesce("_r.text", F.lit(""))).alias("description"),
-        F.when(bare, F.lit("")).otherwise(F.lit(model)).alias("provenance"),
-        F.when(~bare, F.col("_r.error")).alias("error"),
+    return (
+        pages.withColumn("_r", reply)
+        .withColumn(
+            "description", F.when(bare, F.lit(templates.NO_PAGES)).otherwise(F.coalesce("_r.text", F.lit("")))
+        )
+        .withColumn("provenance", F.when(bare, F.lit("")).otherwise(F.lit(model)))
+        .withColumn("error", F.when(~bare, F.col("_r.error")))
+        .drop("_r", "payload")
     )
 
 

@@ -142,21 +142,25 @@ def table_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select("input_hash", "ref", F.get("page_nos", F.lit(0)).cast("bigint").alias("page"), "text")
 
 
-def _described(spark: SparkSession, sf_dir: str) -> DataFrame:
-    payloads = enrich.page_payloads(document_layout(spark, sf_dir))
-    return enrich.describe_pages(payloads, lambda: stubs.size_describer(), MODEL)
+def _described(layout: DataFrame) -> DataFrame:
+    return enrich.describe_pages(chunking.page_table(layout), lambda: stubs.size_describer(), MODEL)
 
 
 def page_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _described(spark, sf_dir).withColumn("page", F.col("page").cast("bigint"))
+    return _described(document_layout(spark, sf_dir)).select(
+        "input_hash", F.col("page").cast("bigint").alias("page"), "description", "provenance", "error"
+    )
 
 
 def page_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(chunking.page_chunks(document_layout(spark, sf_dir), _described(spark, sf_dir)))
+    return flat(chunking.page_chunks(_described(document_layout(spark, sf_dir))))
 
 
 def all_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = chunking.all_chunks(document_layout(spark, sf_dir), _described(spark, sf_dir))
+    path = new_folder(spark, "layout")
+    store.save_layout(document_layout(spark, sf_dir), path)
+    layout = store.load_layout(spark, path)
+    chunks = chunking.all_chunks(layout, _described(layout))
     wanted = store.retrieval_columns("text", "filename", "id", ["chunk_type", "input_hash", "pages", "enriched_text"])
     return flat(chunking.in_output_order(store.scan_chunks(chunks, wanted)))
 
