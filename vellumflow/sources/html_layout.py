@@ -86,12 +86,9 @@ class _Reader(HTMLParser):
         if label == "caption":
             if self.table is not None:
                 self.table["caption_refs"].append(found["ref"])
-            elif self.items_awaiting_caption():
+            elif self.pending_captions:
                 self.pending_captions[-1]["caption_refs"].append(found["ref"])
 
-    def items_awaiting_caption(self) -> bool:
-        return bool(self.pending_captions)
-
     def open_block(self, label: str, level: int) -> None:
         self.close_block()
         self.block = {"label": label, "level": level}
