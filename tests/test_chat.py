@@ -135,3 +135,32 @@ def test_graph(spark):
     )
     assert {(r.id, r.label) for r in graph.graph_nodes(rows).collect()} == {("a", "A"), ("b", "B")}
     assert {(r.predicate, r.known_predicate) for r in graph.graph_edges(rows).collect()} == {("is_a", True), ("likes", False)}
+
+
+def test_answers_with_rephrasing_and_cells(spark):
+    from vellumflow.functions import stubs
+    from vellumflow.operators import answer, cells, embed
+
+    rows = spark.createDataFrame([(i, w * 3, f"{w}.txt") for i, w in enumerate(["aaa", "bbb", "ccc", "abc"])], "id long, text string, filename string")
+    corpus = embed.embed(rows, stubs.letter_embedder).cache()
+    chats = spark.createDataFrame(
+        [(1, [("user", "bb")]), (2, [("assistant", "no question")]), (3, [("user", "c"), ("assistant", "x"), ("user", "a")])],
+        "conv_id long, messages array<struct<role:string,content:string>>",
+    )
+    how = answer.Retriever(k=1)
+    done = {r.conv_id: r for r in answer.answer_chats(chats, corpus, stubs.letter_embedder, stubs.prompt_echo, how).collect()}
+    assert [d.page_content for d in done[1].documents] == ["bbbbbbbbb"] and done[1].context.startswith("Passage: bbb")
+    assert done[2].question is None and done[2].documents is None
+    assert [d.page_content for d in done[3].documents] == ["aaaaaaaaa"]
+    assert done[1].response.choices[0].message.content.startswith("So, yeah. 2 messages")
+    assert [m.role for m in done[3].response.custom_outputs.message_history] == ["user", "assistant", "user", "tool"]
+    pivots = cells.choose_pivots(corpus, 4)
+    near = answer.Cells(cells.cell_table(corpus, pivots), pivots)
+    questions = spark.createDataFrame([(1, "bb"), (2, "cc")], "qid long, question string")
+    ann = answer.find_documents(questions, corpus, stubs.letter_embedder, answer.Retriever(k=1, query_type="ann", probes=2), cells=near)
+    assert {(r.qid, r.document.page_content) for r in ann.collect()} == {(1, "bbbbbbbbb"), (2, "ccccccccc")}
+    only = answer.find_documents(questions, corpus, stubs.letter_embedder, how, where=F.col("filename") == "abc.txt")
+    assert {r.document.id for r in only.collect()} == {"3"}
+    to_b = lambda: lambda prompts: ["b" for _ in prompts]
+    turned = answer.answer_chats(chats, corpus, stubs.letter_embedder, stubs.prompt_echo, how, rephraser=to_b)
+    assert {r.question for r in turned.collect()} == {"b"}

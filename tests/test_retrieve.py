@@ -85,6 +85,8 @@ def test_plan_has_no_pairs_join_and_reads_two_columns(questions, vectors, spark,
 
 def test_documents_carry_score_and_metadata(questions, vectors):
     hits = retrieve.exact_hits(questions, vectors, 1)
-    rows = retrieve.with_rows(hits, vectors.withColumn("text", F.lit("t")), ["text", "label"], small=True)
+    rows = retrieve.with_rows(hits, vectors.withColumn("text", F.lit("t")), ["text", "label"])
+    far = retrieve.with_rows(hits, vectors.withColumn("text", F.lit("t")), ["text", "label"], broadcast_bytes=0)
+    assert sorted(map(str, rows.collect())) == sorted(map(str, far.collect()))
     doc = retrieve.as_documents(rows, "text", others=["label"]).first().document
     assert doc.page_content == "t" and set(doc.metadata) == {"similarity_score", "label"}

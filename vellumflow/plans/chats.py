@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumflow.functions import stubs, templates
-from vellumflow.operators import chat, embed, retrieve, rounds
+from vellumflow.operators import answer, chat, embed, retrieve, rounds
 from vellumflow.plans.common import letters_sql, table
 from vellumflow.plans.retrieval import text_corpus
 from vellumflow.session import settled
@@ -92,17 +92,23 @@ def rephrased_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- retrieve and answer -------------------------------------------------------------------
 
 
+HOW = answer.Retriever(k=K, others=("chunk_type",), score_digits=4)
+
+
+def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), "text", name.alias("filename"), F.lit("text").alias("chunk_type")
+    )
+
+
 def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents nearest to the last question of each conversation."""
     asked = chat.last_user_message(messages(spark, sf_dir)).where("has_question")
-    embedded = embed.embed(asked.select(F.col("conv_id").alias("qid"), "question"), stubs.letter_embedder, "question")
-    questions = settled(embedded.select("qid", "embedding"))
-    hits = retrieve.exact_hits(questions, text_corpus(spark, sf_dir), K).withColumn("score", F.round("score", 4))
-    corpus = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("id"), "text", F.concat(F.col("doc_id"), F.lit(".txt")).alias("filename"), F.lit("text").alias("chunk_type")
+    questions = asked.select(F.col("conv_id").alias("qid"), "question")
+    return answer.find_documents(
+        questions, text_corpus(spark, sf_dir), stubs.letter_embedder, HOW, rows=_rows(spark, sf_dir)
     )
-    rows = retrieve.with_rows(hits, corpus, ["text", "filename", "chunk_type"])
-    return retrieve.as_documents(rows, "text", "id", ["filename", "chunk_type"])
 
 
 def contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,24 +120,18 @@ def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.contexts(_hits(spark, sf_dir)).select("qid", F.md5(cards).alias("cards_md5"), F.length(cards).cast("bigint").alias("n_chars"))
 
 
-def answered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(qid, context, documents, messages, reply)``: the whole chain over all conversations."""
-    found = chat.contexts(_hits(spark, sf_dir)).withColumnRenamed("qid", "conv_id")
-    asked = chat.last_user_message(messages(spark, sf_dir)).join(_chats(spark, sf_dir), "conv_id")
-    rows = asked.join(found, "conv_id", "left")
-    done = chat.generate(rows, chat.context_prompt(F.col("question"), F.col("context")), stubs.prompt_echo)
-    return done.withColumnRenamed("conv_id", "qid")
-
-
 def rag_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = chat.answer_and_history(answered(spark, sf_dir), "context")
-    made = chat.response(F.col("answer"), F.col("history"), F.col("documents"))
-    ids = F.transform(made.custom_outputs.documents, lambda d: d.id)
-    return parts.select(
-        "qid",
+    """The whole chain over all conversations."""
+    done = answer.answer_chats(
+        _chats(spark, sf_dir), text_corpus(spark, sf_dir), stubs.letter_embedder, stubs.prompt_echo, HOW,
+        rows=_rows(spark, sf_dir),
+    )
+    made = F.col("response")
+    return done.select(
+        F.col("conv_id").alias("qid"),
         F.get(made.choices, F.lit(0)).message.content.alias("answer"),
         F.size(made.custom_outputs.message_history).cast("bigint").alias("n_history"),
-        F.array_join(ids, ",").alias("document_ids"),
+        F.array_join(F.transform(made.custom_outputs.documents, lambda d: d.id), ",").alias("document_ids"),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vellumflow.functions import stubs
 from vellumflow.operators import cells, embed, retrieve, sync
 from vellumflow.plans.common import letters_sql, table, texts
-from vellumflow.session import new_folder, settled
+from vellumflow.session import new_folder, settled, stored
 
 K = 3
 PIVOTS = 32
@@ -86,7 +86,7 @@ def embedded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their embedding, kept so that the embedder runs once."""
     docs = texts(spark, sf_dir, "documents", "doc_id").select(F.col("doc_id").alias("id"), "text")
-    return settled(embed.embed(docs, stubs.letter_embedder).select("id", "embedding"))
+    return stored(embed.embed(docs, stubs.letter_embedder).select("id", "embedding"), "corpus")
 
 
 def text_search(spark: SparkSession, sf_dir: str) -> DataFrame:

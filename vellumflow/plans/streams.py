@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumflow.functions import stubs
-from vellumflow.operators import chat, chunking, embed, retrieve, sync
+from vellumflow.operators import answer, chunking, sync
 from vellumflow.plans.chats import K, letters_sql
 from vellumflow.plans.common import ITEMS_SQL, TEXT_CHUNKS_SQL, flat, table
 from vellumflow.plans.retrieval import _VERSIONS, _new, _old, _topk, shown, text_corpus
-from vellumflow.session import new_folder, settled, spread
+from vellumflow.session import new_folder, spread
 from vellumflow.sources.text_layout import text_layout
 from vellumflow.streaming import jobs
 
@@ -68,18 +68,15 @@ def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("id"), "text", F.concat(F.col("doc_id"), F.lit(".txt")).alias("filename")
     )
 
-    def answer(batch: DataFrame) -> DataFrame:
-        asked = settled(embed.embed(batch, stubs.letter_embedder, "question"))
-        hits = retrieve.exact_hits(asked.select("qid", "embedding"), corpus, K)
-        rows = retrieve.with_rows(hits, docs, ["text", "filename"])
-        found = chat.contexts(retrieve.as_documents(rows, "text", "id", ["filename"]))
-        talk = asked.select("qid", "question", F.array(
-            F.struct(F.lit("user").alias("role"), F.col("question").alias("content"))).alias("messages"))
-        joined = talk.join(found, "qid", "left")
-        return chat.generate(joined, chat.context_prompt(F.col("question"), F.col("context")), stubs.prompt_echo)
+    user = F.array(F.struct(F.lit("user").alias("role"), F.col("question").alias("content")))
+
+    def reply(batch: DataFrame) -> DataFrame:
+        chats = batch.select(F.col("qid").alias("conv_id"), user.alias("messages"))
+        done = answer.answer_chats(chats, corpus, stubs.letter_embedder, stubs.prompt_echo, answer.Retriever(k=K), rows=docs)
+        return done.withColumnRenamed("conv_id", "qid")
 
     questions = stream(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("question"))
-    jobs.event_stream(questions, answer, f"{base}/out", f"{base}/ledger").awaitTermination()
+    jobs.event_stream(questions, reply, f"{base}/out", f"{base}/ledger").awaitTermination()
     return read_batches(spark, f"{base}/out").select(
         "qid", F.col("step").cast("bigint").alias("step"), "event", F.md5(F.get_json_object("payload", "$.answer")).alias("answer_md5")
     )

@@ -42,6 +42,13 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a table in the shared folder and read that: later reads prune and filter it."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Use every core on a scan of few splits; one with enough of them is not moved at all.
 
