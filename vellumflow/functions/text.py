@@ -15,7 +15,10 @@ WORD = r"\p{L}\p{N}_"
 SPACES = rf"[{SPACE}]+"
 TOKEN = rf"[{WORD}]+|[^{WORD}{SPACE}]|[{SPACE}]+"
 WORD_TOKEN = rf"[{WORD}]+"
-SPACED_TERM = rf"[{SPACE}]*[^{SPACE}]+"
+
+# The default chunk token as SQL: a run of non-space with the space before it.
+SPACED_TERMS_SQL = f"regexp_extract_all({{text}}, r'[{SPACE}]*[^{SPACE}]+', 0)".replace(r"\p{Z}", r"\p{{Z}}")
+TRIMMED_SQL = f"regexp_replace({{text}}, r'^[{SPACE}]+|[{SPACE}]+$', '')".replace(r"\p{Z}", r"\p{{Z}}")
 
 
 def tokens(text: Column) -> Column:
@@ -28,15 +31,6 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD_TOKEN), F.lit(0))
 
 
-def spaced_terms(text: Column) -> Column:
-    """Runs of non-space, each with the space before it: the default chunk token."""
-    return F.regexp_extract_all(text, F.lit(SPACED_TERM), F.lit(0))
-
-
-def trim_space(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+$", "")
-
-
 def clean(text: Column) -> Column:
     """Letters a-z, digits and single spaces; everything else is dropped."""
     kept = F.regexp_replace(text, rf"[^a-zA-Z0-9{SPACE}]", "")

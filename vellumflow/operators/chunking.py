@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellumflow import schemas
 from vellumflow.functions import refs, templates
-from vellumflow.functions.text import spaced_terms, trim_space
+from vellumflow.functions.text import SPACED_TERMS_SQL, TRIMMED_SQL
 
 # Labels that never become body text.
 NOT_BODY = [
@@ -27,77 +25,61 @@ DEFAULT_MAX_TOKENS = 200
 
 
 # --- text chunks -----------------------------------------------------------------
+#
+# Written as SQL text: one expression each, where the column API would need
+# hundreds of calls to the JVM to build the same.
 
-
-def _pieces(items: Column, max_tokens: int, terms: Callable[[Column], Column]) -> Column:
-    """Body items in order; an item over the limit becomes consecutive slices of it."""
-    body = F.filter(items, lambda it: ~it.label.isin(NOT_BODY))
-    counted = F.transform(body, lambda it: F.struct(it.alias("it"), terms(it.text).alias("terms")))
-
-    def piece(it: Column, part: Column, n: Column, text: Column) -> Column:
-        return F.struct(
-            n.alias("n"),
-            part.alias("part"),
-            it.run.alias("run"),
-            it.ref.alias("ref"),
-            it.page_nos.alias("page_nos"),
-            it.headings.alias("headings"),
-            text.alias("text"),
-        )
-
-    def split(c: Column) -> Column:
-        total = F.size(c.terms)
-        whole = F.array(piece(c["it"], F.lit(0), total, c["it"].text))
-        slices = F.transform(
-            F.sequence(F.lit(0), F.floor((total - 1) / max_tokens).cast("int")),
-            lambda j: piece(
-                c["it"],
-                j,
-                F.least(F.lit(max_tokens), total - j * max_tokens),
-                trim_space(F.array_join(F.slice(c.terms, j * max_tokens + 1, F.lit(max_tokens)), "")),
-            ),
-        )
-        return F.when(total <= max_tokens, whole).otherwise(slices)
-
-    numbered = F.filter(F.flatten(F.transform(counted, split)), lambda p: p.n > 0)
-    return F.transform(numbered, lambda p, i: F.struct(i.alias("i"), *[p[f].alias(f) for f in PIECE]))
-
-
-PIECE = ["n", "part", "run", "ref", "page_nos", "headings", "text"]
+_NAMES = ", ".join(f"'{label}'" for label in NOT_BODY)
 
 
-def _cuts(pieces: Column, open_n: Column, open_run: Column, max_tokens: int) -> Column:
+def _pieces(max_tokens: int, terms: str) -> Column:
+    """Body items in order; an item over the limit becomes consecutive slices of it."""
+    m = max_tokens
+
+    def piece(part: str, n: str, text: str) -> str:
+        return f"""named_struct('n', {n}, 'part', {part}, 'run', c.it.run, 'ref', c.it.ref,
+            'page_nos', c.it.page_nos, 'headings', c.it.headings, 'text', {text})"""
+
+    sliced = f"array_join(slice(c.terms, j * {m} + 1, {m}), '')"
+    return F.expr(f"""
+        transform(
+          filter(
+            flatten(transform(
+              transform(filter(items, it -> it.label NOT IN ({_NAMES})),
+                        it -> named_struct('it', it, 'terms', {terms.format(text="it.text")})),
+              c -> CASE WHEN size(c.terms) <= {m} THEN array({piece("0", "size(c.terms)", "c.it.text")})
+                   ELSE transform(
+                     sequence(0, CAST(floor((size(c.terms) - 1) / {m}) AS INT)),
+                     j -> {piece("j", f"least({m}, size(c.terms) - j * {m})", TRIMMED_SQL.format(text=sliced))})
+                   END)),
+            p -> p.n > 0),
+          (p, i) -> named_struct('i', i, 'n', p.n, 'part', p.part, 'run', p.run, 'ref', p.ref,
+                                 'page_nos', p.page_nos, 'headings', p.headings, 'text', p.text))""")
+
+
+def _opens(max_tokens: int) -> str:
+    """Does piece ``p`` open a new chunk after state ``s``?"""
+    return f"(s.run <> p.run OR s.n + p.n > {max_tokens})"
+
+
+def _cuts(max_tokens: int) -> Column:
     """Indexes of the pieces that open a new chunk, given the chunk that is open before them."""
-    start = F.struct(open_n.alias("n"), open_run.alias("run"), F.array().cast(schemas.INTS).alias("cuts"))
-
-    def step(s: Column, p: Column) -> Column:
-        opens = (s.run != p.run) | (s.n + p.n > max_tokens)
-        return F.struct(
-            F.when(opens, p.n).otherwise(s.n + p.n).alias("n"),
-            p.run.alias("run"),
-            F.when(opens, F.concat(s.cuts, F.array(p.i))).otherwise(s.cuts).alias("cuts"),
-        )
+    opens = _opens(max_tokens)
+    return F.expr(f"""
+        aggregate(pieces, named_struct('n', open_n, 'run', open_run, 'cuts', CAST(array() AS ARRAY<INT>)),
+          (s, p) -> named_struct('n', IF({opens}, p.n, s.n + p.n), 'run', p.run,
+                                 'cuts', IF({opens}, concat(s.cuts, array(p.i)), s.cuts)),
+          s -> s.cuts)""")
 
-    return F.aggregate(pieces, start, step, lambda s: s.cuts)
 
-
-def _exits(pieces: Column, max_tokens: int) -> Column:
+def _exits(max_tokens: int) -> Column:
     """For every possible size of the chunk open at entry: its size at exit and the last cut (-1: none)."""
-
-    def walk(v: Column) -> Column:
-        start = F.struct(v.alias("n"), F.element_at(pieces, 1).run.alias("run"), F.lit(-1).alias("cut"))
-
-        def step(s: Column, p: Column) -> Column:
-            opens = (s.run != p.run) | (s.n + p.n > max_tokens)
-            return F.struct(
-                F.when(opens, p.n).otherwise(s.n + p.n).alias("n"),
-                p.run.alias("run"),
-                F.when(opens, p.i).otherwise(s.cut).alias("cut"),
-            )
-
-        return F.aggregate(pieces, start, step, lambda s: F.struct(s.n.alias("n"), s.cut.alias("cut")))
-
-    return F.transform(F.sequence(F.lit(0), F.lit(max_tokens)), walk)
+    opens = _opens(max_tokens)
+    return F.expr(f"""
+        transform(sequence(0, {max_tokens}), v -> aggregate(
+          pieces, named_struct('n', v, 'run', pieces[0].run, 'cut', -1),
+          (s, p) -> named_struct('n', IF({opens}, p.n, s.n + p.n), 'run', p.run, 'cut', IF({opens}, p.i, s.cut)),
+          s -> named_struct('n', s.n, 'cut', s.cut)))""")
 
 
 def _entries(pieced: DataFrame, max_tokens: int) -> DataFrame:
@@ -108,123 +90,82 @@ def _entries(pieced: DataFrame, max_tokens: int) -> DataFrame:
     """
     maps = pieced.where(F.size("pieces") > 0).select(
         "input_hash",
-        F.struct(
-            "seg",
-            F.element_at("pieces", 1).run.alias("first_run"),
-            F.element_at("pieces", -1).run.alias("last_run"),
-            _exits(F.col("pieces"), max_tokens).alias("exits"),
-        ).alias("m"),
-    )
-    entry = F.struct(
-        F.lit(-1).alias("seg"),
-        F.lit(max_tokens).alias("n"),
-        F.lit(-2).alias("run"),
-        F.lit(-1).alias("open_seg"),
-        F.lit(-1).alias("open_i"),
-    )
-    start = F.struct(entry.alias("now"), F.array().cast("array<" + _ENTRY + ">").alias("seen"))
-
-    def step(s: Column, m: Column) -> Column:
-        at = F.when(s.now.run == m.first_run, s.now.n).otherwise(F.lit(max_tokens))
-        gone = F.element_at(m.exits, at + 1)
-        here = F.struct(
-            m.seg.alias("seg"),
-            s.now.n.alias("n"),
-            s.now.run.alias("run"),
-            s.now.open_seg.alias("open_seg"),
-            s.now.open_i.alias("open_i"),
-        )
-        after = F.struct(
-            m.seg.alias("seg"),
-            gone.n.alias("n"),
-            m.last_run.alias("run"),
-            F.when(gone.cut >= 0, m.seg).otherwise(s.now.open_seg).alias("open_seg"),
-            F.when(gone.cut >= 0, gone.cut).otherwise(s.now.open_i).alias("open_i"),
-        )
-        return F.struct(after.alias("now"), F.concat(s.seen, F.array(here)).alias("seen"))
-
-    ordered = F.array_sort(
-        F.collect_list("m"), lambda a, b: F.when(a.seg < b.seg, -1).when(a.seg > b.seg, 1).otherwise(0)
+        "seg",
+        F.expr("pieces[0].run").alias("first_run"),
+        F.expr("element_at(pieces, -1).run").alias("last_run"),
+        _exits(max_tokens).alias("exits"),
     )
+    # A chunk of other headings cannot go on, which is the same as a full one.
+    gone = f"element_at(m.exits, IF(s.run = m.first_run, s.n, {max_tokens}) + 1)"
+    folded = F.expr(f"""
+        aggregate(ms,
+          named_struct('n', {max_tokens}, 'run', -2, 'open_seg', -1, 'open_i', -1,
+            'seen', CAST(array() AS ARRAY<STRUCT<seg: INT, open_n: INT, open_run: INT, open_seg: INT, open_i: INT>>)),
+          (s, m) -> named_struct(
+            'n', {gone}.n,
+            'run', m.last_run,
+            'open_seg', IF({gone}.cut >= 0, m.seg, s.open_seg),
+            'open_i', IF({gone}.cut >= 0, {gone}.cut, s.open_i),
+            'seen', concat(s.seen, array(named_struct(
+              'seg', m.seg, 'open_n', s.n, 'open_run', s.run, 'open_seg', s.open_seg, 'open_i', s.open_i)))),
+          s -> s.seen)""")
     return (
         maps.groupBy("input_hash")
-        .agg(ordered.alias("ms"))
-        .select("input_hash", F.inline(F.aggregate("ms", start, step, lambda s: s.seen)))
-        .select("input_hash", "seg", F.col("n").alias("open_n"), F.col("run").alias("open_run"), "open_seg", "open_i")
+        .agg(F.expr(f"{_IN_ORDER.format(rows='collect_list(struct(seg, first_run, last_run, exits))')} AS ms"))
+        .select("input_hash", F.inline(folded))
     )
 
 
-_ENTRY = "struct<seg:int,n:int,run:int,open_seg:int,open_i:int>"
+_IN_ORDER = "array_sort({rows}, (a, b) -> a.seg - b.seg)"
 
 
 def _parts(cut: DataFrame) -> DataFrame:
     """One row per chunk (or part of a chunk that crosses a segment border)."""
-    ends = lambda j: F.coalesce(F.get(F.col("cuts"), j + 1), F.size("pieces"))
-    own = F.transform(
-        "cuts",
-        lambda c, j: F.struct(
-            F.col("seg").alias("open_seg"), c.alias("open_i"), F.slice("pieces", c + 1, ends(j) - c).alias("ps")
-        ),
+    first = "coalesce(get(cuts, 0), size(pieces))"
+    own = """transform(cuts, (c, j) -> named_struct('open_seg', seg, 'open_i', c,
+        'ps', slice(pieces, c + 1, coalesce(get(cuts, j + 1), size(pieces)) - c)))"""
+    carried = f"array(named_struct('open_seg', open_seg, 'open_i', open_i, 'ps', slice(pieces, 1, {first})))"
+    return cut.selectExpr(
+        "input_hash", "filename", "seg", f"inline(CASE WHEN {first} > 0 THEN concat({carried}, {own}) ELSE {own} END)"
     )
-    first = F.coalesce(F.get(F.col("cuts"), F.lit(0)), F.size("pieces"))
-    carried = F.array(
-        F.struct(
-            F.col("open_seg").alias("open_seg"), F.col("open_i").alias("open_i"), F.slice("pieces", F.lit(1), first).alias("ps")
-        )
-    )
-    every = F.when(first > 0, F.concat(carried, own)).otherwise(own)
-    return cut.select("input_hash", "filename", "seg", F.inline(every))
 
 
-def text_chunks(
-    layout: DataFrame,
-    max_tokens: int = DEFAULT_MAX_TOKENS,
-    terms: Callable[[Column], Column] = spaced_terms,
-) -> DataFrame:
+def text_chunks(layout: DataFrame, max_tokens: int = DEFAULT_MAX_TOKENS, terms: str = SPACED_TERMS_SQL) -> DataFrame:
     """Pack body items under one heading into chunks of at most ``max_tokens`` tokens.
 
+    ``terms`` is the token counter: SQL that turns ``{text}`` into an array of
+    tokens, which joined give the text back.
+
     A document of one segment is packed inside its row. A longer one is packed
     per segment, after the state at each segment border has been worked out.
     """
-    pieced = layout.select(
-        "input_hash", "filename", "seg", "n_segs", _pieces(F.col("items"), max_tokens, terms).alias("pieces")
-    )
-    fresh = {
-        "open_n": F.lit(max_tokens),
-        "open_run": F.lit(-2),
-        "open_seg": F.lit(-1),
-        "open_i": F.lit(-1),
-    }
-    cuts = _cuts(F.col("pieces"), F.col("open_n"), F.col("open_run"), max_tokens)
-
-    short = pieced.where(F.col("n_segs") == 1).withColumns(fresh).withColumn("cuts", cuts)
+    pieced = layout.select("input_hash", "filename", "seg", "n_segs", _pieces(max_tokens, terms).alias("pieces"))
+
+    fresh = [f"{max_tokens} AS open_n", "-2 AS open_run", "-1 AS open_seg", "-1 AS open_i"]
+    short = pieced.where("n_segs = 1").selectExpr("*", *fresh).withColumn("cuts", _cuts(max_tokens))
     short_chunks = _parts(short).select("input_hash", "filename", "open_seg", "open_i", "ps")
 
-    long = pieced.where(F.col("n_segs") > 1)
-    entered = long.join(_entries(long, max_tokens), ["input_hash", "seg"]).withColumn("cuts", cuts)
-    pieces_in_order = F.array_sort(
-        F.collect_list(F.struct("seg", "ps")),
-        lambda a, b: F.when(a.seg < b.seg, -1).when(a.seg > b.seg, 1).otherwise(0),
-    )
+    long = pieced.where("n_segs > 1")
+    entered = long.join(_entries(long, max_tokens), ["input_hash", "seg"]).withColumn("cuts", _cuts(max_tokens))
     long_chunks = (
         _parts(entered)
         .groupBy("input_hash", "filename", "open_seg", "open_i")
-        .agg(F.flatten(F.transform(pieces_in_order, lambda x: x.ps)).alias("ps"))
+        .agg(F.expr(f"flatten(transform({_IN_ORDER.format(rows='collect_list(struct(seg, ps))')}, x -> x.ps)) AS ps"))
     )
     return _as_text_chunk(short_chunks.unionByName(long_chunks))
 
 
 def _as_text_chunk(parts: DataFrame) -> DataFrame:
-    ps = F.col("ps")
     none = F.array().cast(schemas.STRINGS)
-    made = parts.select(
+    made = parts.selectExpr(
         "filename",
         "input_hash",
-        refs.unique_pages(F.flatten(F.transform(ps, lambda p: p.page_nos))).alias("pages"),
-        F.array_distinct(F.transform(ps, lambda p: p.ref)).alias("doc_refs"),
-        F.element_at(ps, 1).headings.alias("headings"),
-        F.array_join(F.transform(ps, lambda p: p.text), "\n").alias("text"),
-        F.concat_ws("/", "input_hash", F.lit("text"), F.element_at(ps, 1).ref, F.element_at(ps, 1).part).alias("_key"),
+        "array_sort(array_distinct(flatten(transform(ps, p -> p.page_nos)))) AS pages",
+        "array_distinct(transform(ps, p -> p.ref)) AS doc_refs",
+        "ps[0].headings AS headings",
+        "array_join(transform(ps, p -> p.text), '\n') AS text",
+        # A key that is the same on every run: where the chunk begins.
+        "md5(concat_ws('/', input_hash, 'text', ps[0].ref, ps[0].part)) AS id",
     )
     return made.select(
         "filename",
@@ -246,8 +187,7 @@ def _as_text_chunk(parts: DataFrame) -> DataFrame:
             captions=F.lit(""),
             text=F.col("text"),
         ).alias("enriched_text"),
-        # A key that is the same on every run: where the chunk begins.
-        F.md5("_key").alias("id"),
+        "id",
     )
 
 
