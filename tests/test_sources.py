@@ -8,7 +8,7 @@ from vellumflow import schemas
 from vellumflow.operators import chunking
 from vellumflow.session import new_folder
 from vellumflow.sources import drivers, files, store
-from vellumflow.sources.html_layout import html_layout, read_html
+from vellumflow.sources.html_layout import html_layout, read_html, register_html_items
 from vellumflow.sources.text_layout import flat_items
 
 
@@ -98,6 +98,15 @@ def test_html_layout_in_segments(spark, sf_dir):
     assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
 
 
+def test_html_items_in_sql(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    pages.createOrReplaceTempView("pages_for_sql")
+    register_html_items(spark)
+    got = spark.sql("SELECT url AS input_hash, i.seq, i.label, i.text FROM pages_for_sql, LATERAL html_items(html) i")
+    want = flat_items(html_layout(pages, F.col("url"), F.col("url"))).select("input_hash", "seq", "label", "text")
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
 def test_stored_conversions(spark, tmp_path):
     laid = layout(spark, DOCS)
     path = str(tmp_path / "layout")
@@ -108,6 +117,8 @@ def test_stored_conversions(spark, tmp_path):
     assert {r[0] for r in store.reused(docs, stored).collect()} == {"A", "B"}
     assert store.pending(docs, stored, overwrite=True).count() == 6 and store.reused(docs, stored, overwrite=True).isEmpty()
     assert store.load_layout(spark, path, docs.where("input_hash = 'B'")).count() == 1
+    store.save_layout(laid, path + "-json", form="json")
+    assert store.load_layout(spark, path + "-json", form="json").count() == laid.count()
     assert sorted(flat_items(stored).collect()) == sorted(flat_items(laid.where("input_hash in ('A', 'B')")).collect())
 
 

@@ -16,12 +16,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellumflow.session import settled
+from vellumflow.session import BROADCAST_BYTES, few, settled
 
 QUESTION_BLOCK = 1024
 CORPUS_BLOCK = 4096
-# Question blocks are broadcast only while all their vectors fit into this many bytes.
-BROADCAST_BYTES = 64 << 20
 # Upper estimate of a hit row in memory, keys of 100 characters included.
 HIT_BYTES = 400
 # A task holds running results of this many question blocks before it hands them on.
@@ -206,10 +204,8 @@ def with_rows(
     Hits are few next to the corpus. They are kept and counted; while they fit
     they go to the corpus, whose rows then stay where they are.
     """
-    kept = settled(hits)
     rows = corpus.select(F.col(id_col).alias("id"), *[c for c in columns if c != id_col])
-    fits = kept.count() * HIT_BYTES <= broadcast_bytes
-    return rows.join(F.broadcast(kept) if fits else kept, "id")
+    return rows.join(few(settled(hits), HIT_BYTES, broadcast_bytes), "id")
 
 
 def as_documents(hits: DataFrame, text_col: str, id_col: str = "id", others: list[str] | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumflow.operators.embed import EmbedderFactory, embed
-from vellumflow.session import settled
+from vellumflow.session import few, settled
 
 
 def _signed(table: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -85,7 +85,7 @@ def sync(chunks: DataFrame, folder: str, embedder: EmbedderFactory, columns: lis
         write_version(embed(wanted, embedder), folder)
         return read_latest(spark, folder)
     old = read_latest(spark, folder)
-    changes = settled(change_set(old, wanted, key, [c for c in columns if c != key]))
+    changes = few(settled(change_set(old, wanted, key, [c for c in columns if c != key])))
     rows = embed(changed_rows(wanted, changes, key), embedder)
     if not changes.isEmpty():
         write_version(upsert(old, changes, rows, key), folder)

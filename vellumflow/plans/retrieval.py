@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vellumflow.functions import stubs
 from vellumflow.operators import cells, embed, retrieve, sync
 from vellumflow.plans.common import letters_sql, table, texts
-from vellumflow.session import new_folder, settled, stored
+from vellumflow.session import few, new_folder, settled, stored
 
 K = 3
 PIVOTS = 32
@@ -117,7 +117,7 @@ def change_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = _old(spark, sf_dir), _new(spark, sf_dir)
-    changes = settled(sync.change_set(old, new))
+    changes = few(settled(sync.change_set(old, new)))
     return sync.upsert(old, changes, sync.changed_rows(new, changes)).select("id", F.md5("text").alias("text_md5"), "source")
 
 

@@ -6,7 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+# Nothing is broadcast by hand beyond this many bytes.
+BROADCAST_BYTES = 64 << 20
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -49,6 +52,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def few(df: DataFrame, row_bytes: int = 200, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` to be broadcast if, counted, it fits; else as it is. Give it a settled frame."""
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Use every core on a scan of few splits; one with enough of them is not moved at all.
 

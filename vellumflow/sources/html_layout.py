@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumflow import schemas
@@ -180,6 +180,18 @@ def read_html(html: str) -> list[dict]:
     return reader.finish()
 
 
+class HtmlItems:
+    """Table function for SQL: ``SELECT ... FROM pages, LATERAL html_items(html)``."""
+
+    def eval(self, html: str):
+        for found in read_html(html):
+            yield tuple(found[name] for name in schemas.item.fieldNames())
+
+
+def register_html_items(spark: SparkSession, name: str = "html_items") -> None:
+    spark.udtf.register(name, F.udtf(HtmlItems, returnType=schemas.item))
+
+
 def html_layout(
     pages: DataFrame,
     key: Column,

@@ -28,13 +28,16 @@ def reused(docs: DataFrame, stored: DataFrame, overwrite: bool = False) -> DataF
 # --- layout ---------------------------------------------------------------------------------
 
 
-def save_layout(layout: DataFrame, path: str, mode: str = "append") -> None:
-    layout.write.mode(mode).parquet(path)
+def save_layout(layout: DataFrame, path: str, mode: str = "append", form: str = "parquet") -> None:
+    """Keep the layout as Parquet, or as JSON lines for readers outside Spark."""
+    layout.write.mode(mode).format(form).save(path)
 
 
-def load_layout(spark: SparkSession, path: str, docs: DataFrame | None = None) -> DataFrame:
+def load_layout(
+    spark: SparkSession, path: str, docs: DataFrame | None = None, form: str = "parquet"
+) -> DataFrame:
     """Stored layout, of all documents or only of those in ``docs``."""
-    stored = spark.read.schema(schemas.layout).parquet(path)
+    stored = spark.read.schema(schemas.layout).format(form).load(path)
     return stored if docs is None else stored.join(docs.select("input_hash"), "input_hash", "left_semi")
 
 

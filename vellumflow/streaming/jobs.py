@@ -23,7 +23,7 @@ from vellumflow.operators.sync import (
     upsert,
     write_version,
 )
-from vellumflow.session import settled
+from vellumflow.session import few, settled
 from vellumflow.sources.store import pending
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -109,7 +109,7 @@ def sync_stream(
             return
         old = read_latest(batch.sparkSession, folder)
         named = old.join(rows.select(key), key, "left_semi")
-        changes = settled(change_set(named, rows, key, [c for c in columns if c != key]))
+        changes = few(settled(change_set(named, rows, key, [c for c in columns if c != key])))
         if not changes.isEmpty():
             write_version(upsert(old, changes, embed(changed_rows(rows, changes, key), embedder), key), folder)
 
