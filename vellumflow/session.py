@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # Nothing is broadcast by hand beyond this many bytes.
 BROADCAST_BYTES = 64 << 20
+# A scan with fewer splits than this per core does not keep the cores evenly busy.
+SPLITS_PER_CORE = 4
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -58,9 +60,10 @@ def few(df: DataFrame, row_bytes: int = 200, limit: int = BROADCAST_BYTES) -> Da
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core on a scan of few splits; one with enough of them is not moved at all.
+    """Use every core on a scan of few splits; one with several per core is not moved at all.
 
-    ``key`` should be unique, so that rows spread evenly whatever their contents.
+    Splits of a small file may be empty, as a row group is read whole by one of
+    them. ``key`` should be unique, so that rows spread evenly whatever their contents.
     """
     wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df
+    return df.repartition(wanted, key) if df.rdd.getNumPartitions() < SPLITS_PER_CORE * wanted else df
