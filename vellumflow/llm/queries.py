@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumflow.llm import bpe, packing, sharding, simhash
+from vellumflow.llm import bpe, packing, quality, sharding, simhash
 from vellumflow.llm.common import table
 
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -38,7 +38,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of().alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op3_bpe, op4_packing, op7_simhash)}
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = quality.judged(docs, table(spark, sf_dir, "labels"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op3_bpe, op4_packing, op7_simhash, op9_quality)}
 
 # The crc32 of bytes by its table of 256 remainders, which the fixed polynomial gives.
 OP1_SQL = """
