@@ -37,7 +37,7 @@ def whole(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
-def by_text(df: DataFrame, text: str, added: str, make: Callable[[pa.Array], list[pa.Array]], most: int = 8 << 20) -> DataFrame:
+def by_text(df: DataFrame, text: str, added: str, make: Callable[[pa.Array], list[pa.Array]], most: int = 4 << 20) -> DataFrame:
     """``df`` with further columns that ``make`` builds from an array of texts (null: empty).
 
     ``make`` gets slices of at most ``most`` bytes, or one text, so what it
@@ -60,6 +60,8 @@ def by_text(df: DataFrame, text: str, added: str, make: Callable[[pa.Array], lis
                 old = batch.slice(a, b - a)
                 names = names or [*batch.schema.names, *(f.name for f in kinds)]
                 yield pa.RecordBatch.from_arrays([*old.columns, *made], names=names)
+                del made, old
+                pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *kinds.fields]))
 

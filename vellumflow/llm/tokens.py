@@ -46,7 +46,7 @@ class Encoder:
     What is remembered is bounded by ``most`` numbers; beyond it memory starts anew.
     """
 
-    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], cut: Callable[[pa.Array], pa.ListArray], most: int = 6 << 20):
+    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], cut: Callable[[pa.Array], pa.ListArray], most: int = 3 << 20):
         self.encode, self.cut, self.most = encode, cut, most
         self._forget()
 
