@@ -167,7 +167,7 @@ def _merge_long(ids: np.ndarray, pairs: Pairs) -> np.ndarray:
 
 
 class Vocabulary:
-    """Ranks of byte strings: encodes pieces to ids, ids to bytes."""
+    """Ranks of byte strings, and what they give for pieces of text."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         if len(ranks) >= PAD or max(ranks.values(), default=0) >= PAD:
@@ -179,8 +179,6 @@ class Vocabulary:
         made = [(ranks[a], ranks[b], r) for t, r in ranks.items() for i in range(1, len(t)) if (a := t[:i]) in ranks and (b := t[i:]) in ranks]
         left, right, rank = np.array(made, np.int64).reshape(-1, 3).T
         self.pairs = Pairs(left, right, rank, rank)
-        by_id = {r: t for t, r in ranks.items()}
-        self.bytes = [by_id.get(i, b"") for i in range(max(by_id, default=-1) + 1)]
 
     def encode_pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each piece. A piece that is itself a token is that token, whatever merges would give."""
@@ -196,23 +194,32 @@ class Vocabulary:
         coded = pa.array([x for p in parts for x in p], pa.string()).dictionary_encode()
         return joined(*self.encode_pieces(coded.dictionary), coded.indices.to_numpy(), np.fromiter(map(len, parts), np.int64, len(parts)))
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids))
 
+_LOADED: dict[tuple[str, str], Encoder] = {}
+_BYTES: dict[str, list[bytes]] = {}
 
-_LOADED: dict[tuple[str, str], tuple[Vocabulary, Encoder]] = {}
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    """A rank file: a token in base64 and its rank in each line. It must be there on every machine."""
+    with open(path, "rb") as lines:
+        return {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
 
-def load(path: str, pattern: str) -> tuple[Vocabulary, Encoder]:
-    """The vocabulary of a rank file, read once per worker. The file must be there on every machine."""
+
+def load(path: str, pattern: str) -> Encoder:
+    """The encoder of a rank file, made once per worker."""
     if (path, pattern) not in _LOADED:
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
-        known = Vocabulary(ranks, pattern)
-        _LOADED[path, pattern] = known, Encoder(known.encode_stretches, stretches)
+        _LOADED[path, pattern] = Encoder(Vocabulary(read_ranks(path), pattern).encode_stretches, stretches)
     return _LOADED[path, pattern]
 
 
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of each id of a rank file, read once per worker."""
+    if path not in _BYTES:
+        by_id = {r: t for t, r in read_ranks(path).items()}
+        _BYTES[path] = [by_id.get(i, b"") for i in range(max(by_id, default=-1) + 1)]
+    return _BYTES[path]
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with the ids of each whole text (null: empty, so no ids), without special tokens.
 
@@ -224,23 +231,24 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
     """
 
     def make(texts: pa.Array) -> list[pa.Array]:
-        ids, lens = load(path, pattern)[1](texts)
+        ids, lens = load(path, pattern)(texts)
         return [arrow_list(ids, lens)]
 
     return by_text(docs, text, f"{out} array<int>", make)
 
 
-def decode(rows: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
+def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``rows`` with the bytes of their ids (null: null), from the ids alone."""
     if out.lower() in {c.lower() for c in rows.columns}:
         raise ValueError(f"column exists already: {out}")
     at = rows.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = load(path, pattern)[0]
+        known = token_bytes(path).__getitem__
         for batch in batches:
             column = batch.column(at)
-            made = [None if x is None else known.decode(x) for x in column.to_pylist()]
+            values, ends, null = column.values.to_numpy(), column.offsets.to_pylist(), column.is_null().to_pylist()
+            made = [None if n else b"".join(map(known, values[a:b].tolist())) for a, b, n in zip(ends, ends[1:], null)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.binary())], names=[*batch.schema.names, out])
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(out, T.BinaryType())]))

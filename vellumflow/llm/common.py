@@ -37,12 +37,20 @@ def whole(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Arrow batches hold at most ``rows`` rows, where the session has no such limit of its own: whole texts are long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, rows)
+
+
 def by_text(df: DataFrame, text: str, added: str, make: Callable[[pa.Array], list[pa.Array]], most: int = 4 << 20) -> DataFrame:
     """``df`` with further columns that ``make`` builds from an array of texts (null: empty).
 
     ``make`` gets slices of at most ``most`` bytes, or one text, so what it
     holds is bounded by the largest single text. Nothing is shuffled.
     """
+    small_batches(df.sparkSession)
     kinds = T._parse_datatype_string(added)
     clash = {f.name.lower() for f in kinds} & {c.lower() for c in df.columns}
     if clash:

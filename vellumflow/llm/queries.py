@@ -19,7 +19,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = bpe.decode(bpe.encode(docs, MULTI, public_tokenizers.PATTERN).drop("text"), MULTI, public_tokenizers.PATTERN)
+    rows = bpe.decode(bpe.encode(docs, MULTI, public_tokenizers.PATTERN).drop("text"), MULTI)
     return rows.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
