@@ -227,7 +227,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
     ``pattern`` must be one whose matches never go from a character that is no
     white space to white space, and that looks at nothing before a match.
     Row by row, no shuffle; repeated rows, null ids and other columns stay as
-    they are. No rows: no rows. A column named ``out`` is refused.
+    they are. No rows: no rows. A column named ``out`` is replaced.
     """
 
     def make(texts: pa.Array) -> list[pa.Array]:
@@ -239,8 +239,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``rows`` with the bytes of their ids (null: null), from the ids alone."""
-    if out.lower() in {c.lower() for c in rows.columns}:
-        raise ValueError(f"column exists already: {out}")
+    rows = rows.drop(out)
     at = rows.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -48,17 +48,17 @@ def by_text(df: DataFrame, text: str, added: str, make: Callable[[pa.Array], lis
     """``df`` with further columns that ``make`` builds from an array of texts (null: empty).
 
     ``make`` gets slices of at most ``most`` bytes, or one text, so what it
-    holds is bounded by the largest single text. Nothing is shuffled.
+    holds is bounded by the largest single text. Nothing is shuffled. A column that
+    has the name of an added one gives way to it.
     """
     small_batches(df.sparkSession)
     kinds = T._parse_datatype_string(added)
-    clash = {f.name.lower() for f in kinds} & {c.lower() for c in df.columns}
-    if clash:
-        raise ValueError(f"columns exist already: {sorted(clash)}")
+    names = {f.name.lower() for f in kinds}
+    kept = [i for i, c in enumerate(df.columns) if c.lower() not in names]
     at = df.columns.index(text)
+    schema = T.StructType([*(df.schema[i] for i in kept), *kinds.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -66,12 +66,11 @@ def by_text(df: DataFrame, text: str, added: str, make: Callable[[pa.Array], lis
             for a, b in _slices(pc.binary_length(values).to_pylist(), most):
                 made = make(values.slice(a, b - a))
                 old = batch.slice(a, b - a)
-                names = names or [*batch.schema.names, *(f.name for f in kinds)]
-                yield pa.RecordBatch.from_arrays([*old.columns, *made], names=names)
+                yield pa.RecordBatch.from_arrays([*(old.column(i) for i in kept), *made], names=schema.names)
                 del made, old
                 pa.default_memory_pool().release_unused()
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, *kinds.fields]))
+    return df.mapInArrow(run, schema)
 
 
 def _slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:

@@ -237,10 +237,10 @@ def judged(docs: DataFrame, labels: DataFrame, text: str = "text", id: str = "do
 
     Nulls: a null text is empty, so it has no words and fails. Empty labels: only
     the fixed rules hold. Repeated rows, null ids and further columns stay; a
-    column with the name of a count is refused. No rows: no rows.
+    column with the name of an added one is replaced. No rows: no rows.
     """
     rules = trained(docs, labels, id, text)
-    rows = base_failed(counted(docs, text))
+    rows = base_failed(counted(docs.drop("kept", "base_failed"), text))
     at = [rows.columns.index(n) for n in _names()]
     names = [*rows.columns, "kept"]
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumflow.llm import bpe, packing, quality, sharding, simhash
+from vellumflow.llm import bpe, licenses, main_text, packing, quality, sharding, simhash
 from vellumflow.llm.common import table
 
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -33,18 +33,27 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "digest", "license", "n_notices", F.array_join("notices", "|").alias("notices"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_of().alias("fingerprint"), "component_id")
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = quality.judged(docs, table(spark, sf_dir, "labels"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op3_bpe, op4_packing, op7_simhash, op9_quality)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op3_bpe, op4_packing, op6_licenses, op7_simhash, op8_main_text, op9_quality)}
 
 # The crc32 of bytes by its table of 256 remainders, which the fixed polynomial gives.
 OP1_SQL = """
@@ -73,4 +82,31 @@ SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, s
        CAST(NULL AS INTEGER) AS grown_shard
 FROM cut"""
 
-ORACLE = {"op1_sharding": OP1_SQL}
+
+def _canonical_sql(text: str) -> str:
+    out = f"translate({text}, '{licenses.UPPER}', '{licenses.LOWER}')"
+    out = rf"regexp_replace({out}, '(?m)^[ \t*#/;-]*{licenses.OWNER}[^\n]*$', '', 'g')"
+    out = rf"' ' || regexp_replace({out}, '[\x00-/:-@\[-`{{-\x7f]+', ' ', 'g') || ' '"
+    for old, new in licenses.SAME:
+        out = f"replace({out}, ' {old} ', ' {new} ')"
+    return f"trim(regexp_replace({out}, ' +', ' ', 'g'))"
+
+
+_KNOWN_SQL = ", ".join("({}, '{}', '{}')".format(i, a, b.replace("'", "''")) for i, (a, b) in enumerate(licenses.KNOWN))
+OP6_SQL = f"""
+WITH known AS (
+  SELECT md5({_canonical_sql("t")}) AS digest, arg_min(name, i) AS license FROM (VALUES {_KNOWN_SQL}) v(i, name, t) GROUP BY 1
+), lines AS (
+  SELECT doc_id, md5({_canonical_sql("line")}) AS digest FROM (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents
+  ) WHERE length(line) > 0
+), found AS (
+  SELECT doc_id, count(*) AS n_notices, array_to_string(list_sort(list_distinct(list(license))), '|') AS notices
+  FROM lines JOIN known USING (digest) GROUP BY doc_id
+), texts AS (
+  SELECT doc_id, md5({_canonical_sql("coalesce(text, '')")}) AS digest FROM documents
+)
+SELECT t.doc_id, t.digest, k.license, coalesce(f.n_notices, 0) AS n_notices, coalesce(f.notices, '') AS notices
+FROM texts t LEFT JOIN known k ON k.digest = t.digest LEFT JOIN found f ON f.doc_id IS NOT DISTINCT FROM t.doc_id"""
+
+ORACLE = {"op1_sharding": OP1_SQL, "op6_licenses": OP6_SQL}
