@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumflow.llm import bpe, licenses, main_text, packing, quality, sharding, simhash
+from vellumflow.llm import bpe, curves, licenses, main_text, packing, quality, sharding, simhash
 from vellumflow.llm.common import table
 
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -17,6 +17,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"), 40)
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curves.nearest(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = bpe.decode(bpe.encode(docs, MULTI, public_tokenizers.PATTERN).drop("text"), MULTI)
@@ -53,7 +57,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op3_bpe, op4_packing, op6_licenses, op7_simhash, op8_main_text, op9_quality)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_neighbours, op3_bpe, op4_packing, op6_licenses, op7_simhash, op8_main_text, op9_quality)}
 
 # The crc32 of bytes by its table of 256 remainders, which the fixed polynomial gives.
 OP1_SQL = """
