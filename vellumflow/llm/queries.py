@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumflow.llm import bpe, curves, licenses, main_text, packing, quality, sharding, simhash
+from vellumflow.llm import bpe, coder, curves, licenses, main_text, packing, quality, sharding, simhash
 from vellumflow.llm.common import table
 
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -57,7 +57,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_neighbours, op3_bpe, op4_packing, op6_licenses, op7_simhash, op8_main_text, op9_quality)}
+def op10_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coder.stored_ids(table(spark, sf_dir, "documents"), WORDS)
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_neighbours, op3_bpe, op4_packing, op6_licenses, op7_simhash, op8_main_text, op9_quality, op10_coder)}
 
 # The crc32 of bytes by its table of 256 remainders, which the fixed polynomial gives.
 OP1_SQL = """
