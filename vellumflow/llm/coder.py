@@ -18,7 +18,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vellumflow.llm.common import fan_out, new_folder, small_batches
 from vellumflow.llm.tokens import library
@@ -185,6 +184,7 @@ def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
 
 # One row of a file: where its ids lie in the partition, their checksum, and the documents in it.
 FORMAT = "place long, n_ids int, crc32 long, started long, doc_ids array<long>, lengths array<int>, payload binary"
+NAMES = [x.split()[0] for x in FORMAT.split(", ")]
 
 
 def _crc(ids: np.ndarray) -> int:
@@ -241,7 +241,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end: int = END, id: st
                         pa.array([x[2] for x in about], pa.list_(pa.int32())),
                         pa.array(made, pa.binary()),
                     ],
-                    names=[f.name for f in T._parse_datatype_string(FORMAT)],
+                    names=NAMES,
                 )
             held, names, sizes, place = held[n:], names[i:], sizes[i:], place + n
 
