@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumflow.llm import bpe, coder, curves, licenses, main_text, packing, quality, sharding, simhash
+from vellumflow.llm import bpe, coder, curves, licenses, main_text, packing, quality, repeats, sharding, simhash
 from vellumflow.llm.common import table
 
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -37,6 +37,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repeats.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "digest", "license", "n_notices", F.array_join("notices", "|").alias("notices"))
@@ -61,7 +66,7 @@ def op10_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coder.stored_ids(table(spark, sf_dir, "documents"), WORDS)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_neighbours, op3_bpe, op4_packing, op6_licenses, op7_simhash, op8_main_text, op9_quality, op10_coder)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_neighbours, op3_bpe, op4_packing, op5_repeats, op6_licenses, op7_simhash, op8_main_text, op9_quality, op10_coder)}
 
 # The crc32 of bytes by its table of 256 remainders, which the fixed polynomial gives.
 OP1_SQL = """

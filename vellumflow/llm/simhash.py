@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellumflow.llm.common import by_text, fan_out, written
@@ -172,23 +172,46 @@ def links(fps: DataFrame, fp: str = "fp") -> DataFrame:
     return met.mapInArrow(_links, "a long, b long").distinct()
 
 
+def classes(known: DataFrame) -> DataFrame:
+    """(fp, root, least, component_id) of each distinct fingerprint in ``known(doc_id, fp)``.
+
+    Equal fingerprints meet first, with their least id, so copies cost one row
+    each however many there are. ``root`` names the component.
+    """
+    least = written(known.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    roots = components(links(least))
+    rows = least.join(roots, least.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    return rows.join(rows.groupBy("root").agg(F.min("least").alias("component_id")), "root")
+
+
 def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp, component_id): each row with its fingerprint and the smallest id reachable over links of at most two bits.
 
-    Equal fingerprints meet before anything else, with their least id, so copies
-    cost one row each however many there are. Texts are read once and never
-    shuffled. Nulls: a null text is empty, and empty texts have fingerprint 0,
-    linked like any other; a null id is never a component's name unless there is
-    no other. Repeated rows come as often as given. No rows: no rows. Other
-    columns are not looked at.
+    Texts are read once and never shuffled.
+    Nulls: a null text is empty, and empty texts have fingerprint 0, linked like
+    any other; a null id is a component's name only where there is no other.
+    Repeated rows come as often as given. No rows: no rows. Other columns are
+    not looked at.
     """
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("_text"))
     known = written(fingerprints(rows, "_text", "fp", shingle).drop("_text"), "fingerprints")
-    least = written(known.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = components(links(least))
-    classes = least.join(roots, least.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    return known.join(classes.join(named, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return known.join(classes(known).select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """``docs`` without near-duplicates: of each component the row of smallest id stays, with all its columns.
+
+    Which rows stay is settled on ids and fingerprints alone; texts then meet
+    these by id and fingerprint, so that large groups are spread. Of several rows
+    of that id and fingerprint one stays. Nulls as in ``near_groups``.
+    """
+    known = written(fingerprints(docs, text, "_fp", shingle), "fingerprints")
+    found = classes(known.select(F.col(id).alias("doc_id"), F.col("_fp").alias("fp")))
+    first = found.groupBy("root").agg(F.min(F.struct(F.isnull("least").alias("last"), "least", "fp")).alias("first"))
+    stay = first.select(F.col("first.least").alias("_stay"), F.col("first.fp").alias("_stay_fp"))
+    rows = known.join(stay, F.col("_fp").eqNullSafe(F.col("_stay_fp")) & F.col(id).eqNullSafe(F.col("_stay")), "left_semi")
+    nth = F.row_number().over(Window.partitionBy(id, "_fp").orderBy(*(F.xxhash64(F.col(c)) for c in docs.columns)))
+    return rows.withColumn("_nth", nth).where(F.col("_nth") == 1).drop("_nth", "_fp")
 
 
 def hex_of(fp: str = "fp") -> object:
