@@ -72,7 +72,7 @@ SAME = [
     ("https", "http"),
 ]
 # Beginnings of lines that name an owner.
-OWNER = r"(?:copyright|\(c\)|©|all rights reserved|portions copyright)"
+OWNER = r"(?:(?:portions )?copyright[ :,]*(?:\(c\)|©|[0-9]{4}|by |<)|\(c\) *[0-9]{4}|©|all rights reserved)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

@@ -49,6 +49,8 @@ MARKS = set(
 WORDS = re.compile(r"[a-z]+")
 # Each kind of token that labelled pages did not show.
 UNSEEN_WORD, UNSEEN_TAG, INSIDE = 1.0, -2.0, 0.5
+# What a word inside furniture costs.
+OUT = 0.1
 # Pages whose own mark-up says where the article is serve as labels; at most so many.
 SAMPLE = 500
 
@@ -100,9 +102,13 @@ def tokens(page: str) -> list[tuple[str, str, bool, bool]]:
             elif tag in BLOCK:
                 out.append(("/" + tag, "", top[1], top[2]))
             continue
-        if tag in ENDS_P or tag in ("li", "dd", "dt", "tr", "td", "th", "option"):
+        if tag in BLOCK:
+            head = next((i for i, x in enumerate(stack) if x[0] == "head"), None)
+            if head is not None:  # content ends a head that is still open
+                del stack[head:]
+        if tag in ENDS_P or tag in SAME:
             _implied_ends(tag, stack)
-            top = stack[-1] if stack else ("", False, False)
+        top = stack[-1] if stack else ("", False, False)
         own = top[1] or _furniture(tag, m["rest"])
         out.append((tag, "", own, top[2] or tag in ("article", "main")))
         if tag in RAW:
@@ -121,8 +127,6 @@ SCOPE = set("table ul ol dl div article section main body td th nav aside header
 def _implied_ends(tag: str, stack: list[tuple[str, bool, bool]]) -> None:
     """Close the paragraph, item or cell that a start tag ends."""
     ended = SAME.get(tag, ()) + (("p",) if tag in ENDS_P else ())
-    if tag in ENDS_P and tag != "body" and any(t == "head" for t, _, _ in stack):
-        ended += ("head",)
     for i in range(len(stack) - 1, -1, -1):
         if stack[i][0] in ended:
             del stack[i:]
@@ -150,8 +154,8 @@ def learn(pages: Iterable[str]) -> dict[str, float]:
     weights = {}
     for name in {*seen[0], *seen[1]}:
         odds = math.log((seen[1][name] + 0.5) / total[1]) - math.log((seen[0][name] + 0.5) / total[0])
-        if name.endswith("!"):
-            weights[name] = min(odds, -1.0)
+        if name.endswith("!"):  # left out of the text anyhow, so a region may go on behind it
+            weights[name] = -OUT if name[0] == "w" else -0.5
         elif name[0] == "w":
             weights[name] = min(max(odds, 0.2), 3.0)
         else:
@@ -179,12 +183,12 @@ def extract(page: str, weights: dict[str, float]) -> str:
         name = kind + ("!" if out else "")
         if kind[0] == "w":
             n = len(text.split())
-            score = n * weights.get(name, -UNSEEN_WORD if out else UNSEEN_WORD)
+            score = n * weights.get(name, -OUT if out else UNSEEN_WORD)
             if marked and not inside:
                 score = -abs(score) - n * INSIDE
             scores.append(score)
         else:
-            scores.append(weights.get(name, UNSEEN_TAG))
+            scores.append(weights.get(name, -0.5 if out else UNSEEN_TAG))
     a, b = best_run(scores)
     a, b = _to_borders(found, a, b, marked)
     lines, line = [], []
