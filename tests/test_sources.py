@@ -155,3 +155,54 @@ def test_metadata(spark):
 
 def test_new_folders_differ(spark):
     assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+LOSSY = [
+    ("<div>bare</div>", ["bare"]),
+    ("<blockquote>q</blockquote><dl><dt>t<dd>d</dl><article>a<section>s</section>b</article>", ["q", "t", "d", "a", "s", "b"]),
+    ("<p>before <img alt=pic> after</p>", ["before", "pic", "after"]),
+    ("<ul><li>a<ul><li>b</ul>c</ul>", ["a", "b", "c"]),
+    ("<head><title>no</title><body><p>yes", ["yes"]),
+    ("<div><p class=ad>buy</div><p>kept</p>", ["kept"]),
+    ("<div><nav>menu<a>x</a></div>text", ["text"]),
+    ("<table><tr><td>o<table><tr><td>in</table>p</td></tr></table>", ["| o p |\n| --- |", "| in |\n| --- |"]),
+    ("<table><tr><td>a<br>b</td></tr></table>", ["| a b |\n| --- |"]),
+    ("<pre>x\n  y\n</pre>", ["x\n  y"]),
+    ("<p>one<p>two<div>three", ["one", "two", "three"]),
+    ("<figure><figcaption>cap</figcaption><img alt=z></figure>", ["cap", "z"]),
+]
+
+
+@pytest.mark.parametrize("page,want", LOSSY)
+def test_html_keeps_all_text(page, want):
+    assert [i["text"] for i in read_html(page)] == want
+
+
+def test_html_words_are_all_in_items():
+    import random
+    import re
+
+    rng, tags = random.Random(5), "p div li ul table tr td b img figure figcaption h2 blockquote caption pre section dl dd".split()
+    for _ in range(300):
+        parts, word = [], 0
+        for _ in range(rng.randrange(30)):
+            if rng.random() < 0.4:
+                parts.append(f" w{word} ")
+                word += 1
+            else:
+                parts.append(f"<{rng.choice(['', '/'])}{rng.choice(tags)}>")
+        page = "".join(parts)
+        found = sorted(re.findall(r"w\d+", " ".join(i["text"] for i in read_html(page))))
+        assert found == sorted(f"w{i}" for i in range(word)), page
+
+
+def test_furniture_classes_are_a_parameter():
+    page = "<p class=ad>a</p><p class=menu>b</p>"
+    assert [i["text"] for i in read_html(page, frozenset({"menu"}))] == ["a"]
+
+
+def test_captions_of_figures_and_tables():
+    items = read_html("<figure><img alt=x><figcaption>one</figcaption></figure><table><caption>two</caption><tr><td>c</table>")
+    refs = {i["text"]: i["ref"] for i in items}
+    assert items[0]["caption_refs"] == [refs["one"]]
+    assert next(i for i in items if i["label"] == "table")["caption_refs"] == [refs["two"]]

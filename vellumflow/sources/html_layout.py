@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -13,9 +14,12 @@ from vellumflow import schemas
 
 SEGMENT_ITEMS = 4096
 
-# Which elements are furniture and which label a block gets.
-FURNITURE = {"head", "script", "style", "nav", "footer", "template", "noscript"}
-FURNITURE_CLASSES = {"ad"}
+# A page of the result holds at most so many items.
+PAGE_ITEMS = 4096
+
+# Which elements are furniture, which begin a block, and which label a block gets.
+FURNITURE = frozenset({"head", "title", "script", "style", "nav", "footer", "template", "noscript"})
+FURNITURE_CLASSES = frozenset({"ad"})
 LABELS = {
     "h1": "title",
     "h2": "section_header",
@@ -28,27 +32,39 @@ LABELS = {
     "pre": "code",
     "caption": "caption",
     "figcaption": "caption",
-    "table": "table",
-    "img": "picture",
 }
+BLOCKS = frozenset(
+    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figure footer form header hgroup hr html"
+    " legend main menu nav ol option optgroup search section select summary table tbody td tfoot th thead tr ul".split()
+) | LABELS.keys()
 KINDS = {"table": "tables", "picture": "pictures"}
-VOID = {"br", "img", "hr", "meta", "link", "input", "wbr", "source", "col"}
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# What a start tag ends, if it stands open in the same list or table.
+ENDS = {
+    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
+    "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"},
+    "tbody": {"tr", "td", "th", "tbody", "thead", "tfoot"}, "tfoot": {"tr", "td", "th", "tbody", "thead", "tfoot"},
+}
+LISTS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}}
+CELLS = {"td", "th"}
 
 
 class _Reader(HTMLParser):
-    """Collects blocks of text in reading order."""
+    """Collects blocks of text in reading order; every visible word lands in some item.
 
-    def __init__(self) -> None:
+    Text outside labelled blocks is text too. An end tag ends all that stands open
+    inside its element, so what is never closed ends with its parent.
+    """
+
+    def __init__(self, furniture_classes: frozenset[str] = FURNITURE_CLASSES) -> None:
         super().__init__(convert_charrefs=True)
+        self.furniture_classes = furniture_classes
         self.items: list[dict] = []
         self.counts: dict[str, int] = {}
-        self.skipping: list[str] = []
-        self.block: dict | None = None
+        self.open: list[tuple[str, bool]] = []  # tag, and whether it is or lies in furniture
         self.text: list[str] = []
-        self.table: dict | None = None
-        self.rows: list[list[str]] = []
-        self.cell: list[str] | None = None
-        self.pending_captions: list[dict] = []
+        self.tables: list[dict] = []
+        self.figures: list[dict] = []
         self.headings: list[tuple[int, str]] = []
         self.run = -1
 
@@ -61,7 +77,7 @@ class _Reader(HTMLParser):
             "ref": f"#/{kind}/{number}",
             "label": label,
             "level": level,
-            "page_nos": [1],
+            "page_nos": [len(self.items) // PAGE_ITEMS + 1],
             "children": [],
             "caption_refs": [],
             "annotations": [],
@@ -72,95 +88,148 @@ class _Reader(HTMLParser):
         self.items.append(found)
         return found
 
-    def close_block(self) -> None:
-        block, text = self.block, " ".join("".join(self.text).split())
-        self.block, self.text = None, []
-        if block is None or not text:
+    def hidden(self) -> bool:
+        return bool(self.open) and self.open[-1][1]
+
+    def inside(self) -> str:
+        """The innermost open element that labels text or holds cells."""
+        for tag, _ in reversed(self.open):
+            if tag in LABELS or tag in CELLS or tag == "table":
+                return tag
+        return ""
+
+    def flush(self) -> None:
+        """Turn the text read so far into an item, or a part of the open cell."""
+        raw, self.text = "".join(self.text), []
+        tag = self.inside()
+        cell = self.tables[-1]["cell"] if self.tables else None
+        if cell is not None and tag != "caption":
+            cell.append(raw)
             return
-        label, level = block["label"], block["level"]
+        text = raw.strip("\n").rstrip() if tag == "pre" else " ".join(raw.split())
+        if not text.strip():
+            return
+        label, level = LABELS.get(tag, "text"), int(tag[1]) if tag[:1] == "h" and tag in LABELS else 1
         if label in ("title", "section_header"):
             self.headings = [(lv, t) for lv, t in self.headings if lv < level]
             self.run = len(self.items)
             self.headings.append((level, text))
         found = self.add(label, level, text)
         if label == "caption":
-            if self.table is not None:
-                self.table["caption_refs"].append(found["ref"])
-            elif self.pending_captions:
-                self.pending_captions[-1]["caption_refs"].append(found["ref"])
+            owner = self.tables[-1]["item"] if self.tables else self.figures[-1]["last"] if self.figures else None
+            if owner is not None:
+                owner["caption_refs"].append(found["ref"])
+            elif self.figures:
+                self.figures[-1]["captions"].append(found["ref"])
 
-    def open_block(self, label: str, level: int) -> None:
-        self.close_block()
-        self.block = {"label": label, "level": level}
+    def own(self, item: dict) -> None:
+        """A picture or table of the open figure takes its captions."""
+        if self.figures:
+            item["caption_refs"] += self.figures[-1]["captions"]
+            self.figures[-1].update(last=item, captions=[])
 
     def handle_starttag(self, tag: str, attrs) -> None:
-        classes = set((dict(attrs).get("class") or "").split())
-        if self.skipping:
-            if tag not in VOID and tag == self.skipping[-1]:
-                self.skipping.append(tag)
-            return
-        if tag in FURNITURE or classes & FURNITURE_CLASSES:
+        if tag in BLOCKS:
+            self.pop_to("head")
+        self.end_implied(tag)
+        known = dict(attrs)
+        furniture = tag in FURNITURE or bool(set((known.get("class") or "").split()) & self.furniture_classes)
+        if self.hidden() or furniture:
+            if not self.hidden() and tag in BLOCKS:
+                self.flush()
             if tag not in VOID:
-                self.close_block()
-                self.skipping.append(tag)
+                self.open.append((tag, True))
             return
         if tag == "br":
-            self.text.append("\n")
-        elif tag == "figure":
-            self.close_block()
-            self.pending_captions = []
+            self.text.append("\n" if self.inside() == "pre" else " ")
         elif tag == "img":
-            self.close_block()
-            picture = self.add("picture", 1, dict(attrs).get("alt") or "")
-            self.pending_captions.append(picture)
+            if self.tables and self.tables[-1]["cell"] is not None:
+                self.text.append(" ")
+            else:
+                self.flush()
+            self.own(self.add("picture", 1, known.get("alt") or ""))
+        elif tag in BLOCKS:
+            self.flush()
+        if tag not in VOID:
+            self.open.append((tag, False))
+        if tag == "figure":
+            self.figures.append({"last": None, "captions": []})
         elif tag == "table":
-            self.close_block()
-            self.table, self.rows = self.add("table", 1, ""), []
-        elif tag == "tr" and self.table is not None:
-            self.rows.append([])
-        elif tag in ("td", "th") and self.table is not None:
-            self.end_cell()
-            if not self.rows:
-                self.rows.append([])
-            self.cell = []
-        elif tag in LABELS and self.cell is None:
-            self.open_block(LABELS[tag], int(tag[1]) if tag[0] == "h" else 1)
-
-    def end_cell(self) -> None:
-        if self.cell is not None:
-            self.rows[-1].append(" ".join("".join(self.cell).split()))
-            self.cell = None
+            item = self.add("table", 1, "")
+            self.own(item)
+            self.tables.append({"item": item, "rows": [], "cell": None})
+        elif self.tables and tag == "tr":
+            self.tables[-1]["rows"].append([])
+        elif self.tables and tag in CELLS:
+            self.tables[-1]["cell"] = []
+        elif tag in BLOCKS and self.tables and self.tables[-1]["cell"] is not None:
+            self.text.append(" ")
 
-    def handle_endtag(self, tag: str) -> None:
-        if self.skipping:
-            if tag == self.skipping[-1]:
-                self.skipping.pop()
+    def end_implied(self, tag: str) -> None:
+        ended = set(ENDS.get(tag, ()))
+        if tag in BLOCKS and tag not in ("body", "html", "option"):
+            ended |= {"p"}
+        border = LISTS.get(tag, {"table"} if tag in ENDS else set())
+        for i in range(len(self.open) - 1, -1, -1):
+            held = self.open[i][0]
+            if held in border or held == "table" or held in CELLS and held not in ended or held in ("caption", "figcaption", "button"):
+                return
+            if held in ended:
+                self.pop_to(held)
+                if tag not in ("tr", "tbody", "tfoot"):
+                    return
+                self.end_implied(tag)
+                return
+
+    def pop_to(self, tag: str) -> None:
+        """End the innermost such element and all inside it; nothing if there is none."""
+        if all(held != tag for held, _ in self.open):
             return
-        if tag in ("td", "th", "tr"):
-            self.end_cell()
-        elif tag == "table" and self.table is not None:
-            self.end_cell()
-            self.table["text"] = markdown_table(self.rows)
-            self.table = None
-        elif tag == "figure":
-            self.close_block()
-            self.pending_captions = []
-        elif tag in LABELS:
-            self.close_block()
+        while True:
+            held, furniture = self.open[-1]
+            if not furniture and (held in BLOCKS):
+                self.flush()
+            self.open.pop()
+            if not furniture:
+                self.ended(held)
+            if held == tag:
+                return
+
+    def ended(self, tag: str) -> None:
+        if tag in CELLS and self.tables and self.tables[-1]["cell"] is not None:
+            table = self.tables[-1]
+            if not table["rows"]:
+                table["rows"].append([])
+            table["rows"][-1].append(" ".join("".join(table["cell"]).split()))
+            table["cell"] = None
+        elif tag == "table" and self.tables:
+            table = self.tables.pop()
+            table["item"]["text"] = markdown_table(table["rows"])
+            if self.tables and self.tables[-1]["cell"] is not None:
+                self.text.append(" ")
+        elif tag == "figure" and self.figures:
+            self.figures.pop()
+        elif tag in BLOCKS and self.tables and self.tables[-1]["cell"] is not None:
+            self.text.append(" ")
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag not in VOID:
+            self.pop_to(tag)
+
+    def handle_startendtag(self, tag: str, attrs) -> None:
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self.handle_endtag(tag)
 
     def handle_data(self, data: str) -> None:
-        if self.skipping:
-            return
-        if self.cell is not None:
-            self.cell.append(data)
-        elif self.block is not None:
+        if not self.hidden():
             self.text.append(data)
 
     def finish(self) -> list[dict]:
         self.close()
-        if self.table is not None:
-            self.handle_endtag("table")
-        self.close_block()
+        while self.open:
+            self.pop_to(self.open[-1][0])
+        self.flush()
         return self.items
 
 
@@ -173,9 +242,9 @@ def markdown_table(rows: list[list[str]]) -> str:
     return "\n".join([lines[0], "|" + " --- |" * width, *lines[1:]])
 
 
-def read_html(html: str) -> list[dict]:
-    """Layout items of one page, in reading order."""
-    reader = _Reader()
+def read_html(html: str, furniture_classes: frozenset[str] = FURNITURE_CLASSES) -> list[dict]:
+    """Layout items of one page, in reading order; elements of ``furniture_classes`` are left out."""
+    reader = _Reader(frozenset(furniture_classes))
     reader.feed(html or "")
     return reader.finish()
 
@@ -199,8 +268,11 @@ def html_layout(
     html: str = "html",
     segment_items: int = SEGMENT_ITEMS,
     extract=read_html,
+    furniture_classes: frozenset[str] | None = None,
 ) -> DataFrame:
     """One layout row per segment of each page; ``extract`` may be swapped for another format."""
+    if furniture_classes is not None:
+        extract = partial(read_html, furniture_classes=frozenset(furniture_classes))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
