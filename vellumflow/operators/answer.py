@@ -89,7 +89,9 @@ def answer_chats(
 
     With a rephraser the question is first put in the light of the history. Adds
     ``question, context, documents, reply, error, response``. A conversation
-    without a user message is kept, with a null question and nothing retrieved.
+    without a user message is kept, with a null question and nothing retrieved,
+    and no model is asked. Where the model failed, or was not asked, the response
+    holds no content, ``error`` says why, and all messages stay in the history.
     """
     if rephraser is not None:
         chats = chat.generate(chats, chat.rephrase_prompt(F.col("messages")), rephraser, "user", retry)
@@ -101,8 +103,10 @@ def answer_chats(
     documents = find_documents(questions, corpus, embedder, how, **search)
     found = chat.contexts(documents, how.uri, how.template).withColumnRenamed("qid", "conv_id")
     joined = asked.join(found, "conv_id", "left")
-    done = chat.generate(joined, chat.context_prompt(F.col("question"), F.col("context")), model, "assistant", retry)
-    parts = chat.answer_and_history(done, "context")
+    prompt = F.when(F.col("question").isNotNull(), chat.context_prompt(F.col("question"), F.col("context")))
+    # The reply is read by several columns; the model is asked once.
+    done = settled(chat.generate(joined, prompt, model, "assistant", retry))
+    parts = chat.answer_and_history(done, "context", F.col("error").isNull() & F.col("reply").isNotNull())
     return parts.withColumn("response", chat.response(F.col("answer"), F.col("history"), F.col("documents"))).drop(
         "answer", "history"
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellumflow import schemas
@@ -70,20 +70,32 @@ def appended(messages: Column, role: str | Column, content: Column) -> Column:
 
 
 def append_rows(messages: DataFrame, new: DataFrame) -> DataFrame:
-    """Message table with one new message ``(conv_id, role, content)`` after the last turn of each conversation."""
+    """Message table with new messages ``(conv_id, role, content)`` after the last turn of each conversation.
+
+    Several new messages of one conversation need a column ``position`` that orders
+    them; without one they are ordered by role and content.
+    """
     last = messages.groupBy("conv_id").agg(F.max("turn").alias("_last"))
-    numbered = new.join(last, "conv_id", "left").select(
-        "conv_id", (F.coalesce("_last", F.lit(-1)) + 1).cast(messages.schema["turn"].dataType).alias("turn"), "role", "content"
+    order = ["position"] if "position" in new.columns else ["role", "content"]
+    nth = F.row_number().over(Window.partitionBy("conv_id").orderBy(*order))
+    numbered = new.withColumn("_nth", nth).join(last, "conv_id", "left").select(
+        "conv_id", (F.coalesce("_last", F.lit(-1)) + F.col("_nth")).cast(messages.schema["turn"].dataType).alias("turn"), "role", "content"
     )
     return messages.unionByName(numbered)
 
 
-def answer_and_history(chats: DataFrame, context: str | None = None) -> DataFrame:
-    """Answer is the last message, history all before it, with the context as a tool message."""
-    history = F.slice("messages", 1, F.greatest(F.size("messages") - 1, F.lit(0)))
+def answer_and_history(chats: DataFrame, context: str | None = None, answered: Column | None = None) -> DataFrame:
+    """Answer is the last message, history all before it, with the context as a tool message.
+
+    Where ``answered`` is false the last message is no answer: the answer is null and all messages are history.
+    """
+    answered = F.lit(True) if answered is None else F.coalesce(answered, F.lit(False))
+    before = F.slice("messages", 1, F.greatest(F.size("messages") - 1, F.lit(0)))
+    history = F.when(answered, before).otherwise(F.col("messages"))
     if context:
         history = F.when(F.col(context).isNull(), history).otherwise(appended(history, "tool", F.col(context)))
-    return chats.withColumn("answer", F.element_at("messages", -1).content).withColumn("history", history)
+    last = F.try_element_at("messages", F.lit(-1)).content
+    return chats.withColumn("answer", F.when(answered, last)).withColumn("history", history)
 
 
 def response(answer: Column, history: Column, documents: Column, always_documents: bool = True) -> Column:
@@ -172,15 +184,16 @@ def generate(
     """Send ``prompt`` as JSON and append the reply to ``messages`` under ``role``.
 
     With role ``user`` the reply becomes the next last question (a rephrased one).
-    A failed call appends nothing and leaves its message in ``error``.
+    A failed call appends nothing and leaves its message in ``error``. A null
+    prompt is not sent; reply and error are then null, and nothing is appended.
     """
-    asked = rows.withColumn("_r", model_reply(F.to_json(prompt), factory, retry))
+    asked = rows.withColumn("_r", model_reply(F.when(prompt.isNotNull(), F.to_json(prompt)), factory, retry))
     return (
         asked.withColumn("reply", F.col("_r.text"))
         .withColumn("error", F.col("_r.error"))
         .withColumn(
             "messages",
-            F.when(F.col("error").isNull(), appended(F.col("messages"), role, F.col("reply"))).otherwise(F.col("messages")),
+            F.when(F.col("error").isNull() & F.col("reply").isNotNull(), appended(F.col("messages"), role, F.col("reply"))).otherwise(F.col("messages")),
         )
         .drop("_r")
     )

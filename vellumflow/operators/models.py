@@ -38,19 +38,46 @@ class Retry:
         raise ValueError("attempts must be at least 1")
 
 
-def _answer(model, retry: Retry, inputs: list[str]) -> list[tuple[str, str | None]]:
-    """Replies with errors; one bad input costs only its own reply, which becomes empty."""
-    if not inputs:
-        return []
+# A model is sent at most so many inputs in one call.
+CALL_INPUTS = 256
+
+
+def _answer(model, retry: Retry, inputs: list[str], most: int = CALL_INPUTS) -> list[tuple[str, str | None]]:
+    """Replies with errors, asked for in calls of at most ``most`` inputs.
+
+    One bad input costs only its own reply, which becomes empty. A model that is
+    still rate limited after the last wait fails the whole call and all later
+    ones of this batch: asking it row by row would only wait again for each.
+    """
+    out: list[tuple[str, str | None]] = []
+    limited: str | None = None
+    for a in range(0, len(inputs), most):
+        part = inputs[a : a + most]
+        if limited is None:
+            try:
+                out += _replies(model, retry, part)
+                continue
+            except RateLimited as failed:
+                limited = f"{type(failed).__name__}: {failed}"
+        out += [("", limited)] * len(part)
+    return out
+
+
+def _replies(model, retry: Retry, part: list[str]) -> list[tuple[str, str | None]]:
     try:
-        return [(text, None) for text in retry.call(model, inputs)]
+        texts = list(retry.call(model, part))
+        if len(texts) != len(part):
+            raise ValueError(f"{len(texts)} replies to {len(part)} inputs")
+        return [(text, None) for text in texts]
+    except RateLimited:
+        raise
     except Exception as failed:
-        if len(inputs) == 1:
+        if len(part) == 1:
             return [("", f"{type(failed).__name__}: {failed}")]
-        return [reply for one in inputs for reply in _answer(model, retry, [one])]
+        return [reply for one in part for reply in _replies(model, retry, [one])]
 
 
-def model_reply(inputs: Column, factory: ModelFactory, retry: Retry = Retry()) -> Column:
+def model_reply(inputs: Column, factory: ModelFactory, retry: Retry = Retry(), most: int = CALL_INPUTS) -> Column:
     """``struct<text, error>`` per row; a null input is not sent and gives null fields."""
 
     @F.pandas_udf(REPLY)
@@ -59,7 +86,7 @@ def model_reply(inputs: Column, factory: ModelFactory, retry: Retry = Retry()) -
         for batch in batches:
             out = pd.DataFrame({"text": None, "error": None}, index=batch.index, dtype=object)
             known = batch.notna()
-            replies = _answer(model, retry, batch[known].tolist())
+            replies = _answer(model, retry, batch[known].tolist(), most)
             out.loc[known, "text"] = [t for t, _ in replies]
             out.loc[known, "error"] = [e for _, e in replies]
             yield out
@@ -67,7 +94,7 @@ def model_reply(inputs: Column, factory: ModelFactory, retry: Retry = Retry()) -
     return run.asNondeterministic()(inputs)
 
 
-def model_replies(inputs: Column, factory: ModelFactory, retry: Retry = Retry()) -> Column:
+def model_replies(inputs: Column, factory: ModelFactory, retry: Retry = Retry(), most: int = CALL_INPUTS) -> Column:
     """The same for an array of inputs per row; the replies keep their order."""
 
     @F.pandas_udf(f"array<{REPLY}>")
@@ -75,7 +102,7 @@ def model_replies(inputs: Column, factory: ModelFactory, retry: Retry = Retry())
         model = factory()
         for batch in batches:
             lists = [[] if b is None else list(b) for b in batch]
-            replies = iter(_answer(model, retry, [x for b in lists for x in b]))
+            replies = iter(_answer(model, retry, [x for b in lists for x in b], most))
             yield pd.Series([[dict(zip(("text", "error"), next(replies))) for _ in b] for b in lists], index=batch.index)
 
     return run.asNondeterministic()(inputs)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellumflow.operators.chat import MESSAGES, appended
@@ -20,6 +20,15 @@ DECISION = (
     "struct<content:string,tool_calls:array<struct<id:string,function:struct<name:string,arguments:string>>>>"
 )
 LIMIT_REACHED = "max iter reached"
+# Messages of these rounds: an answer to a call carries the id of the call.
+TOLD = "array<struct<role:string,content:string,tool_call_id:string>>"
+NO_RESULT = "null"
+
+
+
+def _no_id() -> Column:
+    return F.lit(None).cast("string").alias("tool_call_id")
+
 
 # A tool takes calls ``(conv_id, call_no, arguments)`` and returns ``(conv_id, call_no, result)``, result as JSON.
 Tool = Callable[[DataFrame], DataFrame]
@@ -37,8 +46,8 @@ def tool_rounds(
     ``chats`` is ``(conv_id, messages)``. Returns ``(conv_id, messages, answer,
     rounds, error)``; one row for every conversation, finished or not.
     """
-    spark = chats.sparkSession
-    pending = settled(chats.select("conv_id", F.col("messages").cast(MESSAGES).alias("messages")))
+    given = F.transform(F.col("messages").cast(MESSAGES), lambda m: F.struct(m.role.alias("role"), m.content.alias("content"), _no_id()))
+    pending = settled(chats.select("conv_id", given.alias("messages")))
     done: list[DataFrame] = []
     for number in range(1, max_rounds + 1):
         replied = pending.withColumn("_r", model_reply(F.to_json("messages"), factory, retry))
@@ -59,7 +68,10 @@ def tool_rounds(
         done.append(
             decided.where(finished).select(
                 "conv_id",
-                F.when(wrong.isNull(), appended(F.col("messages"), "assistant", F.col("content")))
+                F.when(
+                    wrong.isNull(),
+                    F.concat("messages", F.array(F.struct(F.lit("assistant").alias("role"), F.col("content"), _no_id()))),
+                )
                 .otherwise(F.col("messages"))
                 .alias("messages"),
                 answered.alias("answer"),
@@ -79,17 +91,19 @@ def tool_rounds(
             got = tool(mine).select("conv_id", "call_no", "result")
             results = got if results is None else results.unionByName(got)
         # A conversation makes a handful of calls per round.
-        answers = results.groupBy("conv_id").agg(
+        # Each call gets a message under its id, also one to which no tool returned a row.
+        told = calls.join(results, ["conv_id", "call_no"], "left")
+        answers = told.groupBy("conv_id").agg(
             F.transform(
-                F.array_sort(F.collect_list(F.struct("call_no", "result"))),
-                lambda r: F.struct(F.lit("tool").alias("role"), r.result.alias("content")),
+                F.array_sort(F.collect_list(F.struct("call_no", F.coalesce("result", F.lit(NO_RESULT)).alias("result"), F.col("call.id").alias("id")))),
+                lambda r: F.struct(F.lit("tool").alias("role"), r.result.alias("content"), r.id.alias("tool_call_id")),
             ).alias("_tools")
         )
-        asked = F.struct(F.lit("assistant").alias("role"), F.to_json("calls").alias("content"))
+        asked = F.struct(F.lit("assistant").alias("role"), F.to_json("calls").alias("content"), _no_id())
         pending = settled(
             open_chats.join(answers, "conv_id", "left").select(
                 "conv_id",
-                F.concat("messages", F.array(asked), F.coalesce("_tools", F.array().cast(MESSAGES))).alias("messages"),
+                F.concat("messages", F.array(asked), F.coalesce("_tools", F.array().cast(TOLD))).alias("messages"),
             )
         )
     left_over = pending.select(
@@ -109,6 +123,9 @@ def _all(parts: list[DataFrame]) -> DataFrame:
     return whole
 
 
+NOT_ENDED = "not ended"
+
+
 def critique_rounds(
     chats: DataFrame,
     writer: ModelFactory,
@@ -120,27 +137,34 @@ def critique_rounds(
     """Write, then criticise, until a conversation has more than ``stop_above`` messages.
 
     The writer sees all messages; the critic sees the last one and speaks as a user.
+    Adds ``rounds`` and ``error``: a failed call ends its conversation as it then
+    stands, and what is still open after ``max_rounds`` is marked as not ended.
     """
     pending = settled(chats.select("conv_id", F.col("messages").cast(MESSAGES).alias("messages")))
     done: list[DataFrame] = []
     for number in range(1, max_rounds + 1):
-        written = settled(
-            pending.withColumn("_r", model_reply(F.to_json("messages"), writer, retry)).select(
-                "conv_id",
-                appended(F.col("messages"), "assistant", F.coalesce("_r.text", F.lit(""))).alias("messages"),
-            )
-        )
-        ended = F.size("messages") > stop_above
+        written = settled(_said(pending, F.to_json("messages"), writer, "assistant", retry))
+        ended = (F.size("messages") > stop_above) | F.col("error").isNotNull()
         done.append(written.where(ended).withColumn("rounds", F.lit(number)))
-        open_chats = written.where(~ended)
+        open_chats = written.where(~ended).drop("error")
         if open_chats.isEmpty():
             return _all(done)
         if number == max_rounds:
-            return _all([*done, open_chats.withColumn("rounds", F.lit(number))])
-        last = F.element_at("messages", -1).content
-        pending = settled(
-            open_chats.withColumn("_r", model_reply(last, critic, retry)).select(
-                "conv_id", appended(F.col("messages"), "user", F.coalesce("_r.text", F.lit(""))).alias("messages")
-            )
-        )
+            left_over = open_chats.withColumn("error", F.lit(NOT_ENDED)).withColumn("rounds", F.lit(number))
+            return _all([*done, left_over])
+        criticised = settled(_said(open_chats, F.element_at("messages", -1).content, critic, "user", retry))
+        done.append(criticised.where("error IS NOT NULL").withColumn("rounds", F.lit(number)))
+        pending = criticised.where("error IS NULL").drop("error")
     raise ValueError("max_rounds must be at least 1")
+
+
+def _said(chats: DataFrame, prompt: Column, factory: ModelFactory, role: str, retry: Retry) -> DataFrame:
+    """The conversations with a reply appended under ``role``, or with the error of the call."""
+    replied = chats.withColumn("_r", model_reply(prompt, factory, retry))
+    ok = F.col("_r.error").isNull()
+    text = F.coalesce("_r.text", F.lit(""))
+    return replied.select(
+        "conv_id",
+        F.when(ok, appended(F.col("messages"), role, text)).otherwise(F.col("messages")).alias("messages"),
+        F.col("_r.error").alias("error"),
+    )

@@ -33,7 +33,7 @@ def driver_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = drivers.fetch_bytes(_driver_rows(spark, sf_dir), lambda: stubs.url_fetcher(), tasks=8)
+    got = drivers.fetch_bytes(_driver_rows(spark, sf_dir), lambda: stubs.url_fetcher(), tasks=spark.sparkContext.defaultParallelism)
     path = new_folder(spark, "bronze")
     store.write_bronze(got.select("document_name", "document_url", "status", "bytes"), path)
     return store.read_bronze(spark, path).select(
@@ -43,7 +43,7 @@ def fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "landing").removeprefix("file:")
-    got = drivers.fetch_bytes(_driver_rows(spark, sf_dir), lambda: stubs.url_fetcher(), tasks=8)
+    got = drivers.fetch_bytes(_driver_rows(spark, sf_dir), lambda: stubs.url_fetcher(), tasks=spark.sparkContext.defaultParallelism)
     written = drivers.write_files(got, drivers.landing_path(folder, F.col("document_name")), F.col("bytes"))
     return settled(written.select("document_name", "downloaded"))
 
@@ -52,7 +52,7 @@ def folder_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "scan").removeprefix("file:")
     suffix = F.when(F.startswith("url", F.lit("https")), F.lit(".pdf")).otherwise(F.lit(".PDF"))
     path = F.concat(F.lit(folder + "/"), F.col("page_id").cast("string"), suffix)
-    pages = table(spark, sf_dir, "pages").repartition(8)
+    pages = texts(spark, sf_dir, "pages", "page_id")
     settled(drivers.write_files(pages, path, F.col("html").cast("binary")).select("page_id", "downloaded"))
     return files.scan_folder(spark, folder, with_bytes=True).select("filename", "size", "content_md5")
 

@@ -42,13 +42,19 @@ def streamed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streamed_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The old version arrives, then the rows of the new one."""
+    """The old version arrives, then changes: rows of the new one, an older state of each of them, and deletes."""
     base, columns = new_folder(spark, "sync"), ["id", "text", "source"]
     source = f"{base}/source"
-    for rows in (_old(spark, sf_dir), _new(spark, sf_dir)):
+    old, new = _old(spark, sf_dir), _new(spark, sf_dir)
+    marked = lambda rows, version, gone: rows.select(*columns, F.lit(version).alias("version"), F.lit(gone).alias("deleted"))
+    stale = marked(new.withColumn("text", F.concat("text", F.lit(" stale"))), 2, False)
+    removed = marked(old.join(new.select("id"), "id", "left_anti").where("id % 5 = 0"), 3, True)
+    for rows in (marked(old, 1, False), marked(new, 3, False).union(stale).union(removed)):
         rows.write.mode("append").parquet(source)
         arrived = spark.readStream.schema(rows.schema).parquet(source)
-        jobs.sync_stream(arrived, f"{base}/embedded", stubs.letter_embedder, columns, f"{base}/ledger").awaitTermination()
+        jobs.sync_stream(
+            arrived, f"{base}/embedded", stubs.letter_embedder, columns, f"{base}/ledger", version="version", deleted="deleted"
+        ).awaitTermination()
     now = sync.read_latest(spark, f"{base}/embedded")
     return now.select("id", F.md5("text").alias("text_md5"), F.get("embedding", F.lit(4)).cast("bigint").alias("e"))
 
@@ -109,7 +115,7 @@ QUERIES = {
 
 ORACLE = {
     "streamed_chunks": f"WITH RECURSIVE {ITEMS_SQL}, {TEXT_CHUNKS_SQL} SELECT filename, pages, doc_refs, text, id FROM textchunks",
-    "streamed_sync": f"""WITH {_VERSIONS}, now AS (SELECT * FROM new UNION ALL SELECT * FROM old WHERE id NOT IN (SELECT id FROM new))
+    "streamed_sync": f"""WITH {_VERSIONS}, now AS (SELECT * FROM new UNION ALL SELECT * FROM old WHERE id NOT IN (SELECT id FROM new) AND id % 5 <> 0)
         SELECT id, md5(text) AS text_md5, length(lower(text)) - length(replace(lower(text), 'e', '')) AS e FROM now""",
     "streamed_search": _topk(K),
     "streamed_events": f"""WITH qs AS (SELECT item_id, text, {letters_sql('text')} AS e FROM benchmark),

@@ -69,7 +69,8 @@ def convert_stream(
 ) -> StreamingQuery:
     """Convert only documents without a stored conversion.
 
-    Each batch writes its own folder, so a batch that is run again after a
+    A document that comes twice in one batch is converted once, from the first
+    of its rows in the order of their digest. Each batch writes its own folder, so a batch that is run again after a
     failure replaces what it wrote before.
     """
 
@@ -77,7 +78,8 @@ def convert_stream(
         spark = batch.sparkSession
         first = f"{layout_path}/batch={number}"
         stored = _stored_before(spark, layout_path, number)
-        fresh = batch if stored is None else pending(batch, stored)
+        once = batch.groupBy("input_hash").agg(F.min_by(F.struct(*batch.columns), F.xxhash64(*batch.columns)).alias("_d")).select("_d.*")
+        fresh = once if stored is None else pending(once, stored)
         to_layout(fresh).write.mode("overwrite").parquet(first)
         to_chunks(spark.read.parquet(first)).write.mode("overwrite").parquet(f"{chunk_path}/batch={number}")
 
@@ -95,20 +97,35 @@ def _stored_before(spark: SparkSession, path: str, number: int) -> DataFrame | N
 
 
 def sync_stream(
-    chunks: DataFrame, folder: str, embedder: EmbedderFactory, columns: list[str], checkpoint: str, key: str = "id"
+    chunks: DataFrame,
+    folder: str,
+    embedder: EmbedderFactory,
+    columns: list[str],
+    checkpoint: str,
+    key: str = "id",
+    version: str | None = None,
+    deleted: str | None = None,
 ) -> StreamingQuery:
-    """Apply each batch of new or changed chunk rows to the embedded table.
+    """Apply each batch of new, changed or deleted chunk rows to the embedded table.
 
-    Rows that a batch does not name are kept. A batch that is run again finds nothing to change.
+    Of several rows of one key in a batch the one with the largest ``version``
+    counts, of equal ones the last in the order of their digest. A row with
+    ``deleted`` true removes its key. Rows that a batch does not name are kept. A
+    batch that is run again finds nothing to change.
     """
 
     def each(batch: DataFrame, _: int) -> None:
-        rows = batch.select(*columns).dropDuplicates([key])
-        if not table_exists(batch.sparkSession, folder):
+        spark = batch.sparkSession
+        mark = F.coalesce(F.col(deleted), F.lit(False)) if deleted else F.lit(False)
+        newest = F.struct(*([F.col(version).alias("_v")] if version else []), F.xxhash64(*columns).alias("_h"))
+        row = F.struct(*columns, mark.alias("_gone"))
+        named_rows = settled(batch.groupBy(F.col(key).alias("_key")).agg(F.max_by(row, newest).alias("_r")).select("_r.*"))
+        rows = named_rows.where("NOT _gone").drop("_gone")
+        if not table_exists(spark, folder):
             sync(rows, folder, embedder, columns, key)
             return
-        old = read_latest(batch.sparkSession, folder)
-        named = old.join(rows.select(key), key, "left_semi")
+        old = read_latest(spark, folder)
+        named = old.join(named_rows.select(key), key, "left_semi")
         changes = few(settled(change_set(named, rows, key, [c for c in columns if c != key])))
         if not changes.isEmpty():
             write_version(upsert(old, changes, embed(changed_rows(rows, changes, key), embedder), key), folder)
@@ -178,7 +195,7 @@ class _Conversation(StatefulProcessor):
     conversation is folded slice by slice and the state stays one small row.
     """
 
-    def __init__(self, ttl_ms: int) -> None:
+    def __init__(self, ttl_ms: int | None) -> None:
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -203,11 +220,11 @@ class _Conversation(StatefulProcessor):
 
 
 def conversation_stream(
-    messages: DataFrame, out: str, checkpoint: str, ttl_ms: int = 7 * 24 * 3600 * 1000
+    messages: DataFrame, out: str, checkpoint: str, ttl_ms: int | None = None
 ) -> StreamingQuery:
     """Update form: the state of every conversation that got messages in a batch.
 
-    A conversation that is silent for ``ttl_ms`` is forgotten.
+    A conversation is remembered for ever, or with ``ttl_ms`` until it was silent for so long.
     """
     spark = messages.sparkSession
     states = (
@@ -217,7 +234,7 @@ def conversation_stream(
             statefulProcessor=_Conversation(ttl_ms),
             outputStructType=CONVERSATION,
             outputMode="Update",
-            timeMode="ProcessingTime",
+            timeMode="ProcessingTime" if ttl_ms else "None",
         )
     )
 
