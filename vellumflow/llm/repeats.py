@@ -168,7 +168,8 @@ class _Block:
         self.run = np.cumsum(new) - 1
         begin = np.flatnonzero(new)
         self.whose = np.searchsorted(self.ends, self.at, "right")
-        self.names = _Hashes(value[begin], self.doc[self.whose[begin]])
+        # Least hashes are small numbers: mixed once more, they fill all buckets alike.
+        self.names = _Hashes(_mixed(value[begin] * C), self.doc[self.whose[begin]])
 
     def discard(self, found: np.ndarray) -> None:
         """Keep windows whose sampled string another document has."""
