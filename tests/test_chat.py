@@ -164,3 +164,42 @@ def test_answers_with_rephrasing_and_cells(spark):
     to_b = lambda: lambda prompts: ["b" for _ in prompts]
     turned = answer.answer_chats(chats, corpus, stubs.letter_embedder, stubs.prompt_echo, how, rephraser=to_b)
     assert {r.question for r in turned.collect()} == {"b"}
+
+
+def test_rate_limited_model_is_not_asked_row_by_row():
+    from vellumflow.operators.models import RateLimited, Retry, _answer
+
+    calls = []
+
+    def model(inputs):
+        calls.append(len(inputs))
+        raise RateLimited("later")
+
+    got = _answer(model, Retry(attempts=3, sleep=lambda s: None), ["a"] * 50, most=20)
+    assert calls == [20, 20, 20] and len(got) == 50 and all(e for _, e in got)
+
+
+def test_wrong_number_of_replies_is_an_error():
+    from vellumflow.operators.models import Retry, _answer
+
+    got = _answer(lambda inputs: ["x"] if len(inputs) == 1 else ["x"], Retry(), ["a", "b", "c"])
+    assert got == [("x", None)] * 3
+    assert all("replies" in e for _, e in _answer(lambda inputs: [], Retry(), ["a", "b"]))
+
+
+def test_several_new_messages_get_turns_of_their_own(spark):
+    from vellumflow.operators import chat
+
+    old = spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, content string")
+    new = spark.createDataFrame([(1, 2, "assistant", "z"), (1, 1, "user", "b"), (2, 1, "user", "c")], "conv_id long, position int, role string, content string")
+    got = sorted((r["conv_id"], r["turn"], r["content"]) for r in chat.append_rows(old, new).collect())
+    assert got == [(1, 0, "a"), (1, 1, "b"), (1, 2, "z"), (2, 0, "c")]
+
+
+def test_unfinished_critique_is_marked(spark):
+    from vellumflow.operators import rounds
+
+    chats = spark.createDataFrame([(1, [("user", "hi")]), (2, [("user", "x")] * 5)], "conv_id long, messages array<struct<role:string,content:string>>")
+    writer = lambda: lambda prompts: ["draft"] * len(prompts)
+    got = {r["conv_id"]: r["error"] for r in rounds.critique_rounds(chats, writer, writer, stop_above=5, max_rounds=2).collect()}
+    assert got == {1: rounds.NOT_ENDED, 2: None}

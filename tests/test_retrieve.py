@@ -43,7 +43,7 @@ def found(hits):
 def test_exact_hits_with_ties(questions, vectors, size, monkeypatch):
     monkeypatch.setattr(retrieve, "QUESTION_BLOCK", 16)
     monkeypatch.setattr(retrieve, "CORPUS_BLOCK", 20)
-    monkeypatch.setattr(retrieve, "HELD_BLOCKS", 2)
+    monkeypatch.setattr(retrieve, "TILE", 7)
     assert found(retrieve.exact_hits(questions, vectors, 4, broadcast_bytes=size)) == brute(questions, vectors, 4)
 
 

@@ -1,9 +1,10 @@
 """Similarity search for a whole table of questions.
 
-Questions and corpus vectors are compared block against block: a block is one
-row holding the ids and vectors of a bounded number of rows. Blocks meet on an
-equal key, each pair of blocks is one matrix product, and a task keeps only the
-best ``k`` per question while it reads, so no table of pairs ever exists.
+A few questions go to all tasks as one matrix, and the corpus passes by once.
+More are compared block against block: a block is one row holding the ids and
+vectors of a bounded number of rows, and blocks meet on an equal key. Either way
+a task keeps only the best ``k`` per question while it reads, so no table of
+pairs ever exists.
 """
 
 from __future__ import annotations
@@ -18,12 +19,12 @@ from pyspark.sql import types as T
 
 from vellumflow.session import BROADCAST_BYTES, few, settled
 
-QUESTION_BLOCK = 1024
+# Questions that a block of the corpus meets at once, and rows of one matrix product.
+QUESTION_BLOCK = 16384
+TILE = 1024
 CORPUS_BLOCK = 4096
 # Upper estimate of a hit row in memory, keys of 100 characters included.
 HIT_BYTES = 400
-# A task holds running results of this many question blocks before it hands them on.
-HELD_BLOCKS = 64
 SCORE_DIGITS = 9
 
 
@@ -94,57 +95,88 @@ def _best(q: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int):
     return q[keep], ids[keep], scores[keep]
 
 
+def _hit_schema(qid: T.DataType, id: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField("qid", qid), T.StructField("id", id), T.StructField("score", T.DoubleType())])
+
+
+class _Running:
+    """The best ``k`` so far for some questions, in tiles that keep each matrix product bounded."""
+
+    def __init__(self, qids: np.ndarray, unit: np.ndarray, k: int, threshold: float) -> None:
+        self.qids, self.unit, self.k, self.threshold = qids, unit, k, threshold
+        self.best: list[tuple | None] = [None] * -(-len(qids) // TILE)
+
+    def meet(self, ids: np.ndarray, corpus: np.ndarray) -> None:
+        for tile in range(len(self.best)):
+            unit = self.unit[tile * TILE : (tile + 1) * TILE]
+            q0, i0, s0 = self.best[tile] or (np.zeros(0, np.int64), ids[:0], np.zeros(0))
+            scores = np.round(unit @ corpus.T, SCORE_DIGITS)
+            n, k = scores.shape[1], self.k
+            floor = np.full(len(unit), -np.inf) if n < k else np.partition(scores, n - k, axis=1)[:, n - k]
+            full = np.bincount(q0, minlength=len(unit)) >= k
+            if full.any():
+                lowest = np.full(len(unit), np.inf)
+                np.minimum.at(lowest, q0, s0)
+                floor = np.where(full, np.maximum(floor, lowest), floor)
+            q1, c1 = np.nonzero(scores >= np.maximum(floor, self.threshold)[:, None])
+            self.best[tile] = _best(np.r_[q0, q1], np.r_[i0, ids[c1]], np.r_[s0, scores[q1, c1]], k)
+
+    def out(self) -> Iterator[pa.RecordBatch]:
+        for tile, best in enumerate(self.best):
+            if best is not None:
+                q, ids, scores = best
+                yield pa.RecordBatch.from_arrays([pa.array(self.qids[tile * TILE + q]), pa.array(ids), pa.array(scores)], ["qid", "id", "score"])
+
+
 def _block_hits(pairs: DataFrame, k: int, threshold: float) -> DataFrame:
-    """Best ``k`` hits per question of the block pairs seen by each task."""
-    schema = T.StructType(
-        [
-            T.StructField("qid", pairs.schema["qids"].dataType.elementType),
-            T.StructField("id", pairs.schema["ids"].dataType.elementType),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
+    """Best ``k`` hits per question of the block pairs seen by each task.
 
-    def out(qids: np.ndarray, held) -> pa.RecordBatch:
-        q, ids, scores = held
-        arrays = [pa.array(qids[q]), pa.array(ids), pa.array(scores)]
-        return pa.RecordBatch.from_arrays(arrays, ["qid", "id", "score"])
+    Pairs come sorted by question block, so a task holds one block's results at a time.
+    """
+    schema = _hit_schema(pairs.schema["qids"].dataType.elementType, pairs.schema["ids"].dataType.elementType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict = {}
+        held: _Running | None = None
         for batch in batches:
             for row in range(batch.num_rows):
                 qids = batch.column(0)[row].values.to_numpy(zero_copy_only=False)
                 ids = batch.column(2)[row].values.to_numpy(zero_copy_only=False)
                 if not len(qids) or not len(ids):
                     continue
-                # A question block is known by its question ids.
-                name = tuple(qids.tolist())
-                if name not in held:
-                    if len(held) >= HELD_BLOCKS:
-                        old = next(iter(held))
-                        yield out(*held.pop(old)[1:])
-                    unit = _unit(batch.column(1)[row].values.to_numpy(), len(qids))
-                    empty = (np.zeros(0, np.int64), ids[:0], np.zeros(0))
-                    held[name] = (unit, qids, empty)
-                unit, qids, (q0, i0, s0) = held[name]
-                corpus = _unit(batch.column(3)[row].values.to_numpy(), len(ids))
-                scores = np.round(unit @ corpus.T, SCORE_DIGITS)
-                n = scores.shape[1]
-                floor = np.full(len(qids), -np.inf) if n < k else np.partition(scores, n - k, axis=1)[:, n - k]
-                full = np.bincount(q0, minlength=len(qids)) >= k
-                if full.any():
-                    lowest = np.full(len(qids), np.inf)
-                    np.minimum.at(lowest, q0, s0)
-                    floor = np.where(full, np.maximum(floor, lowest), floor)
-                q1, c1 = np.nonzero(scores >= np.maximum(floor, threshold)[:, None])
-                best = _best(np.r_[q0, q1], np.r_[i0, ids[c1]], np.r_[s0, scores[q1, c1]], k)
-                held[name] = (unit, qids, best)
-        for _, qids, best in held.values():
-            yield out(qids, best)
+                if held is None or not np.array_equal(held.qids, qids):
+                    if held is not None:
+                        yield from held.out()
+                    held = _Running(qids, _unit(batch.column(1)[row].values.to_numpy(), len(qids)), k, threshold)
+                held.meet(ids, _unit(batch.column(3)[row].values.to_numpy(), len(ids)))
+        if held is not None:
+            yield from held.out()
 
     return pairs.select("qids", "qvecs", "ids", "vecs").mapInArrow(run, schema)
 
 
+def _one_pass(questions: DataFrame, corpus: DataFrame, k: int, threshold: float, qid: str, id_col: str, vec: str) -> DataFrame:
+    """Best ``k`` of each task's corpus rows for all of a few questions, which go to the tasks once as one matrix."""
+    asked = questions.where(F.col(vec).isNotNull()).select(qid, vec).toArrow()
+    source = corpus.where(F.col(vec).isNotNull()).select(id_col, vec)
+    schema = _hit_schema(questions.schema[qid].dataType, source.schema[id_col].dataType)
+    qids = asked.column(0).to_numpy()
+    flat = asked.column(1).combine_chunks()
+    flat = flat.flatten() if isinstance(flat, pa.Array) else pa.concat_arrays([c.flatten() for c in flat.chunks]) if flat.num_chunks else pa.array([], pa.float32())
+    shared = questions.sparkSession.sparkContext.broadcast((qids, _unit(flat.to_numpy(), len(qids)) if len(qids) else np.zeros((0, 1))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Running(*shared.value, k, threshold)
+        if not len(held.qids):
+            return
+        for batch in batches:
+            for at in range(0, batch.num_rows, CORPUS_BLOCK):
+                part = batch.slice(at, CORPUS_BLOCK)
+                held.meet(part.column(0).to_numpy(zero_copy_only=False), _unit(part.column(1).flatten().to_numpy(), part.num_rows))
+        yield from held.out()
+
+    return source.mapInArrow(run, schema)
+
+
 def ranked(hits: DataFrame, k: int) -> DataFrame:
     """Top ``k`` per question by score, then id; Spark limits each group before the shuffle."""
     order = Window.partitionBy("qid").orderBy(F.desc("score"), F.asc("id"))
@@ -170,25 +202,24 @@ def exact_hits(
 ) -> DataFrame:
     """Exact top ``k`` by cosine: ``(qid, id, score, rank)``.
 
-    ``where`` filters the corpus before scoring and reaches its scan. Every
-    corpus block meets every question block on the block number. While the
-    questions are small they travel to the corpus and nothing of it is moved;
-    beyond that both sides are shuffled on block number and stripe.
+    ``where`` filters the corpus before scoring and reaches its scan. While the
+    questions are small they go to every task as one matrix: the corpus is read
+    once, nothing of it is moved, and a task gives ``k`` rows for each question.
+    Beyond that blocks of both sides are shuffled on question block and stripe.
     """
     n, width = _width(questions, vec)
     if where is not None:
         corpus = corpus.where(where)
+    if n * (width * 4 + 16) <= broadcast_bytes:
+        return ranked(_one_pass(questions, corpus, k, threshold, qid, id_col, vec), k)
     asked = question_blocks(questions, qid, vec, n)
     n_blocks = max(1, -(-n // QUESTION_BLOCK))
     every_block = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("qblock")
     blocks = corpus_blocks(corpus, id_col, vec)
-    if n * (width * 4 + 16) <= broadcast_bytes:
-        pairs = blocks.select("*", every_block).join(F.broadcast(asked), "qblock")
-    else:
-        stripes = int(questions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        striped = blocks.withColumn("stripe", F.pmod(F.xxhash64("ids"), F.lit(stripes)).cast("int"))
-        copies = asked.select("*", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))).alias("stripe"))
-        pairs = striped.select("*", every_block).join(copies.hint("merge"), ["qblock", "stripe"])
+    stripes = int(questions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    striped = blocks.withColumn("stripe", F.pmod(F.xxhash64("ids"), F.lit(stripes)).cast("int"))
+    copies = asked.select("*", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))).alias("stripe"))
+    pairs = striped.select("*", every_block).join(copies.hint("merge"), ["qblock", "stripe"])
     return ranked(_block_hits(pairs, k, threshold), k)
 
 

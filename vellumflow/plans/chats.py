@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vellumflow.functions import stubs, templates
 from vellumflow.operators import answer, chat, embed, retrieve, rounds
+from vellumflow.operators.models import RateLimited, Retry
 from vellumflow.plans.common import letters_sql, table
 from vellumflow.plans.retrieval import text_corpus
 from vellumflow.session import settled
@@ -135,6 +136,71 @@ def rag_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def refusing_echo():
+    """Refuses prompts whose last message has a length divisible by three."""
+    echo = stubs.prompt_echo()
+
+    def reply(prompts: list[str]) -> list[str]:
+        if any(len(json.loads(p)[-1]["content"]) % 3 == 0 for p in prompts):
+            raise ValueError("refused")
+        return echo(prompts)
+
+    return reply
+
+
+def failed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain where the model refuses some questions, and users of every seventh conversation said nothing."""
+    heard = messages(spark, sf_dir).where(~((F.col("conv_id") % 7 == 0) & F.col("role").isin("user", "human")))
+    done = answer.answer_chats(
+        chat.conversations(heard), text_corpus(spark, sf_dir), stubs.letter_embedder, refusing_echo, HOW,
+        rows=_rows(spark, sf_dir),
+    )
+    made = F.col("response")
+    return done.select(
+        F.col("conv_id").alias("qid"),
+        F.get(made.choices, F.lit(0)).message.content.alias("answer"),
+        "error",
+        F.size(made.custom_outputs.message_history).cast("bigint").alias("n_history"),
+    )
+
+
+def rephrased_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain with the question first put in the light of the history."""
+    done = answer.answer_chats(
+        _chats(spark, sf_dir), text_corpus(spark, sf_dir), stubs.letter_embedder, stubs.prompt_echo, HOW,
+        rephraser=stubs.prompt_echo, rows=_rows(spark, sf_dir),
+    )
+    made = F.col("response")
+    return done.select(
+        F.col("conv_id").alias("qid"), "question", F.get(made.choices, F.lit(0)).message.content.alias("answer"),
+        F.size(made.custom_outputs.message_history).cast("bigint").alias("n_history"),
+    )
+
+
+def busy_echo():
+    """Is rate limited at every first call for the same prompts."""
+    echo, seen = stubs.prompt_echo(), set()
+
+    def reply(prompts: list[str]) -> list[str]:
+        key = tuple(prompts)
+        if key not in seen:
+            seen.add(key)
+            raise RateLimited("later")
+        return echo(prompts)
+
+    return reply
+
+
+def no_wait(seconds: float) -> None:
+    """Waits for nothing."""
+
+
+def retried_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _chats(spark, sf_dir).join(chat.last_user_message(messages(spark, sf_dir)), "conv_id").where("has_question")
+    done = chat.generate(rows, chat.simple_prompt(F.col("question")), busy_echo, retry=Retry(attempts=2, sleep=no_wait))
+    return done.select("conv_id", "reply", "error", F.size("messages").cast("bigint").alias("n_messages"))
+
+
 # --- rounds -----------------------------------------------------------------------------------
 
 
@@ -217,6 +283,9 @@ QUERIES = {
     "contexts": contexts,
     "cards": cards,
     "rag_answers": rag_answers,
+    "failed_answers": failed_answers,
+    "rephrased_answers": rephrased_answers,
+    "retried_answers": retried_answers,
     "bounded_rounds": bounded_rounds,
     "critique_rounds": critique_rounds,
 }
@@ -260,6 +329,19 @@ ORACLE = {
         'So, yeah. 2 messages, the last has ' || length(question) || ' characters' AS answer,
         n + 1 AS n_history, ids AS document_ids
         FROM lasts JOIN chats USING (conv_id) JOIN passages USING (conv_id)""",
+    "failed_answers": f"""WITH heard AS (SELECT * FROM conversations WHERE NOT (conv_id % 7 = 0 AND role = 'user')),
+        said AS (SELECT conv_id, count(*) AS n, arg_max(text, turn) FILTER (role = 'user') AS question FROM heard GROUP BY conv_id)
+        SELECT conv_id AS qid, CASE WHEN length(question) % 3 > 0 THEN
+            'So, yeah. 2 messages, the last has ' || length(question) || ' characters' END AS answer,
+        CASE WHEN length(question) % 3 = 0 THEN 'ValueError: refused' END AS error,
+        n + CASE WHEN question IS NULL THEN 0 ELSE 1 END AS n_history FROM said""",
+    "rephrased_answers": f"""WITH {_CHATS}, asked AS (SELECT conv_id, n,
+        'So, yeah. ' || (n + 1) || ' messages, the last has ' || length(last_text) || ' characters' AS question FROM chats)
+        SELECT conv_id AS qid, question, 'So, yeah. 2 messages, the last has ' || length(question) || ' characters' AS answer,
+        n + 2 AS n_history FROM asked""",
+    "retried_answers": f"""WITH {_LAST}, {_CHATS} SELECT conv_id,
+        'So, yeah. 2 messages, the last has ' || length(question) || ' characters' AS reply, CAST(NULL AS VARCHAR) AS error,
+        n + 1 AS n_messages FROM lasts JOIN chats USING (conv_id) WHERE question IS NOT NULL""",
     "bounded_rounds": f"""WITH {_CHATS}, qs AS (SELECT conv_id, {letters_sql('last_text')} AS e FROM chats),
         ds AS (SELECT doc_id, {letters_sql('text')} AS e FROM documents), scored AS (
             SELECT conv_id, doc_id, round(list_cosine_similarity(qs.e, ds.e), 9) AS s FROM qs, ds
