@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from vellumflow.operators import chunking, enrich, graph
 from vellumflow.plans.common import ITEMS_SQL, TEXT_CHUNKS_SQL, W, document_layout, flat, table, texts
 from vellumflow.session import new_folder, settled
 from vellumflow.sources import drivers, files, store
-from vellumflow.sources.html_layout import html_layout
+from vellumflow.sources.html_layout import html_layout, html_seconds, register_html_items
 from vellumflow.sources.text_layout import flat_items, nested_items
 
 MODEL = "size-describer"
@@ -291,9 +293,87 @@ def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversion_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stands in for timings by a second per thousand characters."""
-    timed = table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") / 1000).alias("seconds"))
-    return store.seconds_per_document(timed).select("documents", "avg_seconds")
+    """Times taken while pages are converted; they differ from run to run, so only what must hold is shown."""
+    pages = texts(spark, sf_dir, "pages", "page_id")
+    timed = settled(html_seconds(pages, F.md5(F.concat(F.lit("/pages/"), F.col("page_id"))), "html"))
+    told = store.seconds_per_document(timed)
+    return told.select("documents", (F.col("avg_seconds") >= 0).alias("timed"), (F.col("median_seconds") > 0).alias("measured"))
+
+
+# --- further forms -----------------------------------------------------------------------------
+
+
+def html_page_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page chunks of web pages, whose headings are real."""
+    return flat(chunking.page_chunks(_described(page_layout(spark, sf_dir)))).select(
+        "filename", "input_hash", "pages", "doc_refs", "headings", "text", "enriched_text", "id"
+    )
+
+
+def captioned_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Picture and table chunks of pages with a captioned figure, a table with two captions, and a bare picture."""
+    number = F.col("page_id").cast("string")
+    page = F.concat(
+        F.lit("<body><figure><img alt=chart><figcaption>Figure "), number, F.lit("</figcaption></figure><table><caption>Table "),
+        number, F.lit("</caption><caption>continued<tr><th>a<th>b<tr><td>"), number, F.lit("<br>x<td></table>tail <img alt=photo>"),
+    )
+    pages = texts(spark, sf_dir, "pages", "page_id").select("page_id", page.alias("html"))
+    layout = html_layout(pages, F.md5(F.concat(F.lit("/pages/"), number)), number)
+    described = enrich.describe_pictures(layout, lambda: stubs.size_describer(), MODEL)
+    chunks = chunking.picture_chunks(described).unionByName(chunking.table_chunks(described))
+    return flat(chunks.select("filename", "chunk_type", "doc_refs", "captions", "text", "enriched_text", "id"))
+
+
+def chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text chunks written as a named table and read again."""
+    name = f"chunks_{uuid.uuid4().hex}"
+    store.write_chunks(chunking.text_chunks(document_layout(spark, sf_dir)), name)
+    return flat(store.scan_chunks(spark.table(name), ["input_hash", "pages", "text", "id"]))
+
+
+def saved_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images written to the shared folder, and where they lie below it."""
+    folder = new_folder(spark, "images").removeprefix("file:").replace("//", "/")
+    saved = settled(store.save_images(images(spark, sf_dir), folder))
+    return saved.select("input_hash", "kind", "ref", F.replace("path", F.lit(folder), F.lit("")).alias("path"))
+
+
+def html_items_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layout reader as a table function of SQL."""
+    register_html_items(spark)
+    pages = texts(spark, sf_dir, "pages", "page_id")
+    return spark.sql(
+        "SELECT page_id, CAST(i.seq AS BIGINT) AS seq, i.ref, i.label, i.text FROM {pages}, LATERAL html_items(html) i", pages=pages
+    )
+
+
+def stored_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page chunks from descriptions kept apart from the pages; those of every other page are missing."""
+    pages = chunking.page_table(document_layout(spark, sf_dir))
+    kept = settled(enrich.describe_pages(pages, lambda: stubs.size_describer(), MODEL).select("input_hash", "page", "description"))
+    found = chunking.with_descriptions(pages, kept.where("page % 2 = 1"))
+    return flat(chunking.page_chunks(found)).select("id", "text", "enriched_text")
+
+
+def metadata_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classifications, relationships and connections read from JSON."""
+    name = F.concat(F.lit("doc-"), F.col("doc_id"))
+    node = lambda label: F.struct(name.alias("id"), label.alias("label"))
+    text = F.to_json(F.struct(
+        F.element_at(F.array(*map(F.lit, ("classification", "relationship", "connection"))), (F.col("doc_id") % 3 + 1).cast("int")).alias("kind"),
+        F.when(F.col("doc_id") % 3 == 0, F.array(F.struct(F.col("lang").alias("class_name"), F.lit(0.5).alias("confidence")))).alias("predicted_classes"),
+        F.when(F.col("doc_id") % 3 > 0, F.lit("PART_OF")).alias("predicate"),
+        F.when(F.col("doc_id") % 3 == 2, node(F.col("lang"))).alias("subject"),
+        F.when(F.col("doc_id") % 3 == 2, node(F.col("source"))).alias("object"),
+    ))
+    rows = table(spark, sf_dir, "documents").select("doc_id", text.alias("json"))
+    parts = [store.metadata_of_kind(rows, "json", kind) for kind in ("classification", "relationship", "connection")]
+    made = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    first = F.get("metadata.predicted_classes", F.lit(0))
+    return made.select(
+        "doc_id", "metadata.kind", first.class_name.alias("class_name"), first.confidence.alias("confidence"), "metadata.predicate",
+        F.col("metadata.subject.label").alias("subject"), F.col("metadata.object.label").alias("object"),
+    )
 
 
 QUERIES = {
@@ -326,6 +406,13 @@ QUERIES = {
     "graph_nodes": graph_nodes,
     "graph_edges": graph_edges,
     "conversion_summary": conversion_summary,
+    "html_page_chunks": html_page_chunks,
+    "captioned_chunks": captioned_chunks,
+    "chunk_table": chunk_table,
+    "saved_images": saved_images,
+    "html_items_in_sql": html_items_in_sql,
+    "stored_descriptions": stored_descriptions,
+    "metadata_kinds": metadata_kinds,
 }
 
 _NL = "chr(10)"
@@ -470,5 +557,34 @@ ORACLE = {
         UNION ALL SELECT source, 'source' FROM documents UNION ALL SELECT lang, 'language' FROM documents)""",
     "graph_edges": """SELECT DISTINCT 'doc-' || doc_id AS src, 'part_of' AS predicate, source AS dst, true AS known_predicate
         FROM documents UNION ALL SELECT DISTINCT 'doc-' || doc_id, 'has_property', lang, true FROM documents""",
-    "conversion_summary": "SELECT count(*) AS documents, round(avg(n_chars / 1000), 1) AS avg_seconds FROM documents",
+    "conversion_summary": "SELECT count(*) AS documents, true AS timed, true AS measured FROM pages",
+    "html_page_chunks": f"""WITH {_HTML_SQL}, paged AS (SELECT input_hash, any_value(filename) AS filename,
+        string_agg(text, {_NL} ORDER BY seq) AS payload, array_to_string(list('#/texts/' || seq ORDER BY seq), '|') AS doc_refs,
+        any_value(text) FILTER (label = 'title') AS headings FROM htmlitems GROUP BY input_hash
+        ), told AS (SELECT *, length(payload) || ' characters in ' ||
+        (length(payload) - length(replace(payload, {_NL}, '')) + 1) || ' lines' AS description FROM paged)
+        SELECT filename, input_hash, '1' AS pages, doc_refs, headings, description AS text,
+        {_filled(templates.PAGE_TEXT, headings="headings", text="description")} AS enriched_text,
+        md5(input_hash || '/page/1') AS id FROM told""",
+    "captioned_chunks": f"""WITH p AS (SELECT CAST(page_id AS VARCHAR) AS n, md5('/pages/' || page_id) AS h FROM pages
+        ), made AS (
+        SELECT n, h, 'picture' AS chunk_type, '#/pictures/0' AS ref, 'Figure ' || n AS captions, '5 characters in 1 lines' AS text FROM p
+        UNION ALL SELECT n, h, 'picture', '#/pictures/1', '', '5 characters in 1 lines' FROM p
+        UNION ALL SELECT n, h, 'table', '#/tables/0', 'Table ' || n || 'continued',
+        '| a | b |' || {_NL} || '| --- | --- |' || {_NL} || '| ' || n || ' x |  |' FROM p)
+        SELECT n AS filename, chunk_type, ref AS doc_refs, captions, text, CASE WHEN chunk_type = 'table'
+        THEN {_filled(templates.TABLE_TEXT, captions="captions", text="text")}
+        ELSE {_filled(templates.PICTURE_TEXT, captions="captions", text="text")} END AS enriched_text,
+        md5(h || '/' || chunk_type || '/' || ref) AS id FROM made""",
+    "chunk_table": f"WITH RECURSIVE {ITEMS_SQL}, {TEXT_CHUNKS_SQL} SELECT input_hash, pages, text, id FROM textchunks",
+    "saved_images": """SELECT md5('label/' || label) AS input_hash, 'pictures' AS kind, CAST(vec_id AS VARCHAR) AS ref,
+        '/' || md5('label/' || label) || '/pictures/' || vec_id || '.webp' AS path FROM embeddings WHERE embedding[1] > 0""",
+    "html_items_in_sql": f"WITH {_HTML_SQL} SELECT page_id, seq, '#/texts/' || seq AS ref, label, text FROM htmlitems",
+    "stored_descriptions": f"""WITH {ITEMS_SQL}, {_DESCRIBED_SQL}, kept AS (SELECT * REPLACE (
+        CASE WHEN page % 2 = 1 THEN description ELSE '' END AS description) FROM described2)
+        SELECT md5(input_hash || '/page/' || page) AS id, description AS text, {_PAGE_TEXT} AS enriched_text FROM kept""",
+    "metadata_kinds": """SELECT doc_id, ['classification', 'relationship', 'connection'][doc_id % 3 + 1] AS kind,
+        CASE WHEN doc_id % 3 = 0 THEN lang END AS class_name, CASE WHEN doc_id % 3 = 0 THEN CAST(0.5 AS DOUBLE) END AS confidence,
+        CASE WHEN doc_id % 3 > 0 THEN 'PART_OF' END AS predicate, CASE WHEN doc_id % 3 = 2 THEN lang END AS subject,
+        CASE WHEN doc_id % 3 = 2 THEN source END AS object FROM documents""",
 }
