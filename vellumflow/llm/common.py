@@ -38,10 +38,10 @@ def whole(text: str) -> Column:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Let Arrow batches hold at most ``rows`` rows, where the session has no such limit of its own: whole texts are long."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(name) == "10000":
-        spark.conf.set(name, rows)
+    """Let Arrow batches hold at most ``rows`` rows and 8 MB, or one row, where the session has no such limits of its own: whole texts are long."""
+    for name, usual, value in (("maxRecordsPerBatch", "10000", rows), ("maxBytesPerBatch", "67108864b", "8m")):
+        if spark.conf.get(f"spark.sql.execution.arrow.{name}", usual) == usual:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", value)
 
 
 def by_text(df: DataFrame, text: str, added: str, make: Callable[[pa.Array], list[pa.Array]], most: int = 4 << 20) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from vellumflow.llm.common import fan_out, new_folder, small_batches, written
 
 WINDOW, GRAM = 50, 24
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 # Bytes of text for each bucket of hashes.
 BUCKET_BYTES = 16 << 20
 A, B, C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -160,8 +160,10 @@ class _Block:
         self.words = _words(self.data)
         sampled = _samples(self.words)
         use = np.repeat(self.live, self.size)[: len(sampled)]
-        last = np.repeat(self.ends - WINDOW, self.size)[: len(sampled)]
-        self.at = np.flatnonzero(use & (np.arange(len(sampled)) <= last))
+        # No window begins in the last bytes of a document.
+        for end, size in zip(self.ends.tolist(), self.size.tolist()):
+            use[max(0, end - min(size, WINDOW - 1)) : end] = False
+        self.at = np.flatnonzero(use)
         value = sampled[self.at]
         new = np.ones(len(value), bool)
         new[1:] = (value[1:] != value[:-1]) | (np.diff(self.at) != 1)
@@ -298,6 +300,7 @@ def _answers(blocks: DataFrame, known: DataFrame | None, step: int, bits: int) -
 def _rows(batch: pa.RecordBatch, names: list[str]) -> Iterator[dict]:
     for i in range(batch.num_rows):
         yield {n: batch.column(j)[i] for j, n in enumerate(names)} | {"block": batch.column(names.index("block"))[i].as_py()}
+        pa.default_memory_pool().release_unused()
 
 
 def _worked(row: dict, bits: int, step: int) -> _Hashes | _Block:
@@ -323,7 +326,7 @@ def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
 
     Every byte goes that lies in a string of 50 bytes which also starts in a row
     of a smaller id; strings are judged on the input. Texts are shuffled once,
-    to their blocks. A block holds about 4 MB, more only for rows of one id or one
+    to their blocks. A block holds about 2 MB, more only for rows of one id or one
     longer text. Windows are told apart by 72 bits of hashes.
 
     Nulls: a null text is empty; rows of a null id lose nothing and make no other
