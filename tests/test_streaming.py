@@ -88,3 +88,34 @@ def test_conversation_state_over_batches(spark, tmp_path):
     state, history = arrive([(1, 2, "human", "c")])
     assert state == {1: (3, 2, "c")} and history == {1: ["a", "b", "c"]}
     assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+
+
+def test_sync_leaves_untouched_buckets_alone(spark, tmp_path):
+    import glob
+    import os
+
+    folder = str(tmp_path / "buckets")
+    make = lambda texts: spark.createDataFrame(list(texts.items()), "id long, text string")
+    texts = {i: f"text {i}" for i in range(300)}
+    sync.sync(make(texts), folder, stubs.letter_embedder, ["id", "text"])
+    before = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{folder}/version=1/bucket=*/*.parquet")}
+    now = sync.sync(make({**texts, 7: "changed"}), folder, stubs.letter_embedder, ["id", "text"])
+    assert {r.id: r.text for r in now.collect()} == {**texts, 7: "changed"}
+    assert {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{folder}/version=1/bucket=*/*.parquet")} == before
+    assert len(glob.glob(f"{folder}/version=2/bucket=*")) == 1 < len(before)
+    del texts[9]
+    sync.sync(make({**texts, 7: "changed"}), folder, stubs.letter_embedder, ["id", "text"])
+    assert sync.forget_versions(spark, folder) == [1] and sync.versions(spark, folder) == [2, 3]
+    assert {r.id for r in sync.read_latest(spark, folder).collect()} == set(texts)
+    sync.sync(make({1: "only"}), folder, stubs.letter_embedder, ["id", "text"])
+    assert [tuple(r)[:2] for r in sync.read_latest(spark, folder).collect()] == [(1, "only")]
+
+
+def test_sync_stream_takes_the_newest_and_deletes(spark, tmp_path):
+    source, folder = str(tmp_path / "in"), str(tmp_path / "table")
+    schema = "id long, text string, v int, gone boolean"
+    for n, rows in enumerate([[(1, "a", 1, False), (1, "b", 3, False), (1, "c", 2, False), (2, "x", 1, False)], [(2, "x", 2, True), (3, "y", 1, None)]]):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        jobs.sync_stream(stream, folder, stubs.letter_embedder, ["id", "text"], str(tmp_path / "ledger"), version="v", deleted="gone").awaitTermination()
+    assert sorted((r.id, r.text) for r in sync.read_latest(spark, folder).collect()) == [(1, "b"), (3, "y")]

@@ -15,13 +15,13 @@ from vellumflow.operators.chat import conversations
 from vellumflow.operators.embed import EmbedderFactory, embed
 from vellumflow.operators.retrieve import exact_hits
 from vellumflow.operators.sync import (
+    apply_changes,
     change_set,
     changed_rows,
     read_latest,
     sync,
     table_exists,
-    upsert,
-    write_version,
+    touched,
 )
 from vellumflow.session import few, settled
 from vellumflow.sources.store import pending
@@ -124,11 +124,11 @@ def sync_stream(
         if not table_exists(spark, folder):
             sync(rows, folder, embedder, columns, key)
             return
-        old = read_latest(spark, folder)
+        old = read_latest(spark, folder, touched(spark, folder, named_rows, key))
         named = old.join(named_rows.select(key), key, "left_semi")
         changes = few(settled(change_set(named, rows, key, [c for c in columns if c != key])))
         if not changes.isEmpty():
-            write_version(upsert(old, changes, embed(changed_rows(rows, changes, key), embedder), key), folder)
+            apply_changes(spark, folder, changes, embed(changed_rows(rows, changes, key), embedder), key)
 
     return _drain(chunks, checkpoint, each)
 
