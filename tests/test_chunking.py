@@ -145,7 +145,7 @@ def test_text_layout_cut_and_whole(spark):
     text = "\n".join(["alpha beta"] * 7 + ["a | b", "c | d", "", "   ", "omega"] + ["| solo"])
     docs = spark.createDataFrame([("x", text), ("y", ""), ("z", None)], "name string, text string")
     make = lambda **k: text_layout(docs, F.md5("name"), F.col("name"), **k)
-    whole, cut = flat_items(make()).collect(), flat_items(make(whole_chars=0, segment_items=3)).collect()
+    whole, cut = flat_items(make()).collect(), flat_items(make(segment_items=3)).collect()
     assert sorted(whole) == sorted(cut)
     tables = [r.text for r in whole if r.label == "table"]
     assert sorted(tables) == ["a | b\nc | d", "| solo"]

@@ -211,18 +211,21 @@ def _captioned(layout: DataFrame, kind: str) -> DataFrame:
     ones look them up across segments.
     """
     short = layout.where(F.col("n_segs") == 1)
-    texts = F.map_from_entries(
-        F.transform(
-            F.filter("items", lambda it: it.label == "caption"), lambda it: F.struct(it.ref.alias("k"), it.text.alias("v"))
-        )
-    )
+    # A reference met twice stands for both texts, as in the join of longer documents.
+    told = F.filter("items", lambda it: it.label == "caption")
     near = (
-        short.withColumn("_texts", texts)
-        .select("input_hash", "filename", "_texts", F.inline(F.filter("items", lambda it: it.label == kind)))
+        short.withColumn("_told", F.transform(told, lambda it: F.struct(it.ref.alias("k"), it.text.alias("v"))))
+        .select("input_hash", "filename", "_told", F.inline(F.filter("items", lambda it: it.label == kind)))
         .withColumn(
-            "caption", F.array_join(F.transform("caption_refs", lambda r: F.try_element_at(F.col("_texts"), r)), "")
+            "caption",
+            F.array_join(
+                F.flatten(
+                    F.transform("caption_refs", lambda r: F.transform(F.filter("_told", lambda c: c.k == r), lambda c: c.v))
+                ),
+                "",
+            ),
         )
-        .drop("_texts")
+        .drop("_told")
     )
     long = layout.where(F.col("n_segs") > 1)
     far = _owners(long, kind)

@@ -12,8 +12,6 @@ ITEMS_PER_PAGE = 40
 SEGMENT_ITEMS = 4096
 # Items added to the end of a body after extraction are numbered from here.
 ADDED_SEQ = 1 << 30
-# A text up to this size is one segment; longer ones are cut into segments of items.
-WHOLE_CHARS = 4_000_000
 
 # An item is a run of lines with a pipe sign (a table) or any other single line.
 ITEM = r"(?:[^\n|]*\|[^\n]*(?:\n|\z))++|[^\n]+"
@@ -49,12 +47,12 @@ def text_layout(
     size: str | None = None,
     items_per_page: int = ITEMS_PER_PAGE,
     segment_items: int = SEGMENT_ITEMS,
-    whole_chars: int = WHOLE_CHARS,
 ) -> DataFrame:
-    """One layout row per segment of each document in ``docs``.
+    """One layout row per segment of at most ``segment_items`` items of each document in ``docs``.
 
-    ``size`` may name a stored length column: the split of long from short
-    documents is then pushed down to the file scan.
+    A text too short for more items than one segment holds needs no look at its
+    items to tell. ``size`` may name a stored length column: that split is then
+    pushed down to the file scan.
     """
     length = F.col(size) if size else F.length(text)
     blocks = F.filter(
@@ -69,16 +67,18 @@ def text_layout(
             F.transform(blocks, lambda b, i: _item(b, i, items_per_page)).alias("items"),
         )
 
-    short = laid(docs.where((length <= whole_chars) | length.isNull())).select(
+    # Every item has a character and, but for the last, a line break.
+    few = 2 * segment_items
+    short = laid(docs.where((length <= few) | length.isNull())).select(
         "input_hash", "filename", F.lit(0).alias("seg"), F.lit(1).alias("n_segs"), "items"
     )
-    n_segs = F.greatest(F.ceil(F.size("items") / segment_items).cast("int"), F.lit(2))
+    n_segs = F.greatest(F.ceil(F.size("items") / segment_items).cast("int"), F.lit(1))
     cut = F.transform(
         F.sequence(F.lit(0), F.col("n_segs") - 1),
         lambda s: F.slice("items", s * segment_items + 1, F.lit(segment_items)),
     )
     long = (
-        laid(docs.where(length > whole_chars))
+        laid(docs.where(length > few))
         .withColumn("n_segs", n_segs)
         .select("input_hash", "filename", "n_segs", F.posexplode(cut).alias("seg", "items"))
         .select("input_hash", "filename", "seg", "n_segs", "items")
