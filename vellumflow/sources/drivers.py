@@ -86,6 +86,9 @@ def write_files(rows: DataFrame, path: Column, payload: Column, into: str = "dow
         for paths, bodies in batches:
             done = []
             for target, body in zip(paths, bodies):
+                if target is not None and ":" in target.split("/")[0]:
+                    # Each machine would write a folder of that name on its own disk.
+                    raise ValueError(f"not a path on a mounted folder: {target}")
                 if body is not None and target is not None:
                     os.makedirs(os.path.dirname(target), exist_ok=True)
                     part = f"{os.path.dirname(target)}/.{uuid.uuid4().hex}"

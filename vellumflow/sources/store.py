@@ -138,8 +138,3 @@ def seconds_per_document(timed: DataFrame) -> DataFrame:
         F.round(F.avg("seconds"), 1).alias("avg_seconds"),
         F.percentile_approx("seconds", 0.5).alias("median_seconds"),
     )
-
-
-def refs_of(layout: DataFrame) -> DataFrame:
-    """Parent and child references, own reference first."""
-    return flat_items(layout).select("input_hash", "ref", F.concat(F.array("ref"), "children").alias("doc_refs"))

@@ -253,14 +253,27 @@ def conversation_stream(
     return _started_with(spark, {STATE_STORE: ROCKSDB, NO_DATA_BATCHES: "false"}, start)
 
 
+# Messages lie in so many folders by a hash of their conversation.
+HISTORY_BUCKETS = 64
+
+
 def history_stream(messages: DataFrame, store: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Rewrite form: the whole history of every conversation that got messages in a batch."""
+    """Rewrite form: the whole history of every conversation that got messages in a batch.
+
+    Messages are stored by bucket of their conversation, and a batch reads only
+    the buckets that its conversations lie in.
+    """
+    bucket = F.pmod(F.xxhash64("conv_id"), F.lit(HISTORY_BUCKETS)).cast("int")
+    schema = T.StructType([*messages.schema.fields, T.StructField("batch", T.IntegerType()), T.StructField("bucket", T.IntegerType())])
 
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{store}/batch={number}")
-        seen = spark.read.option("basePath", store).parquet(store).where(F.col("batch") <= number)
-        touched = spark.read.parquet(f"{store}/batch={number}").select("conv_id").distinct()
-        conversations(seen.join(touched, "conv_id", "left_semi")).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        batch.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/batch={number}")
+        stored = spark.read.schema(schema).option("basePath", store)
+        own = stored.parquet(f"{store}/batch={number}")
+        buckets = [r[0] for r in own.select("bucket").distinct().collect()]
+        seen = stored.parquet(store).where((F.col("batch") <= number) & F.col("bucket").isin(buckets))
+        touched_now = own.select("conv_id").distinct()
+        conversations(seen.join(touched_now, "conv_id", "left_semi")).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return _drain(messages, checkpoint, each)
