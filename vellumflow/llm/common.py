@@ -44,6 +44,16 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
             spark.conf.set(f"spark.sql.execution.arrow.{name}", value)
 
 
+def hashed_share(key: Column, n: int, wanted: int) -> Column:
+    """A condition that about ``8 * wanted`` of ``n`` rows meet, by a hash of ``key``; all do where there are fewer.
+
+    Before a bounded sample is taken in the order of a hash: without it every task
+    would hand on a sample of its own.
+    """
+    share = min(1.0, 8 * wanted / max(n, 1))
+    return F.lit(True) if share == 1.0 else F.pmod(F.xxhash64(key, F.lit(1)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
+
+
 def by_text(df: DataFrame, text: str, added: str, make: Callable[[pa.Array], list[pa.Array]], most: int = 4 << 20) -> DataFrame:
     """``df`` with further columns that ``make`` builds from an array of texts (null: empty).
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellumflow.llm.common import fan_out, small_batches, written
+from vellumflow.llm.common import fan_out, hashed_share, small_batches, written
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -155,7 +155,7 @@ def nearest(
         .select("uid", "packed", "ids", F.col("ids")[0].alias("least"), F.coalesce("asked", F.lit(False)).alias("asked")),
         "points",
     )
-    fitted = points.orderBy("uid").limit(sample).select("packed").toArrow()
+    fitted = points.where(hashed_share(F.col("uid"), points.count(), sample)).orderBy("uid").limit(sample).select("packed").toArrow()
     model = Curves(_matrix(fitted["packed"], dim, kind), dim, curves)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +222,8 @@ def nearest(
 
 def _window(points: DataFrame, line: DataFrame, k: int, wanted: float, probes: int, dim: int, kind: str) -> int:
     """The distance along the best curve within which the share ``wanted`` of the true neighbours of some query points lie."""
-    asked = points.where("asked").orderBy("uid").limit(probes).select("uid", "packed").toArrow()
+    asked = points.where("asked")
+    asked = asked.where(hashed_share(F.col("uid"), asked.count(), probes)).orderBy("uid").limit(probes).select("uid", "packed").toArrow()
     if not len(asked):
         return k + 1
     x, names = _matrix(asked["packed"], dim, kind), asked["uid"].to_pylist()

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellumflow.llm.common import by_text
+from vellumflow.llm.common import by_text, hashed_share
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
@@ -226,7 +226,7 @@ def labelled(pages: DataFrame, html_column: str = "html", most: int = SAMPLE) ->
     """Pages that say themselves, by one article or main element, where their content is: the training set, of bounded size."""
     own = F.col(html_column)
     marks = F.regexp_count(own, F.lit("(?i)<(article|main)[ >]"))
-    few = pages.where(own.isNotNull() & (F.length(own) < 50_000) & (marks == 1))
+    few = pages.where(hashed_share(own, pages.count(), most)).where(own.isNotNull() & (F.length(own) < 50_000) & (marks == 1))
     return [r[0] for r in few.orderBy(F.xxhash64(own), own).select(own).limit(most).collect()]
 
 

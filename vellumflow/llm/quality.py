@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellumflow.llm.common import by_text
+from vellumflow.llm.common import by_text, hashed_share
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -214,9 +214,10 @@ def trained(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
     Only these few rows' texts are counted. Rows without a label take no part.
     """
     marked = labels.where(F.col(label).isNotNull() & F.col(id).isNotNull()).groupBy(F.col(id).alias("_id")).agg(F.max(label).alias("_good"))
+    sizes = {r["_good"]: r["count"] for r in marked.where(F.col("_good").isin(0, 1)).groupBy("_good").count().collect()}
     picked = None
     for good in (0, 1):
-        part = marked.where(F.col("_good") == good).orderBy(F.xxhash64("_id"), "_id").limit(2 * most)
+        part = marked.where((F.col("_good") == good) & hashed_share(F.col("_id"), sizes.get(good, 0), 2 * most)).orderBy(F.xxhash64("_id"), "_id").limit(2 * most)
         picked = part if picked is None else picked.union(part)
     rows = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(picked), "_id")
     few = base_failed(counted(rows, "_text").drop("_text")).where(~F.col("base_failed"))
