@@ -329,3 +329,39 @@ def test_pipeline(spark, sf_dir, docs):
     assert {r["doc_id"] for r in final} == firsts
     total = sum(r["n"] for r in final)
     assert corpus_pipeline.run(spark, sf_dir).agg(F.sum("length")).first()[0] == total
+
+
+def test_similar_texts(spark, docs):
+    """Near copies of different text go, whatever their fingerprints; what is less similar stays."""
+    random = np.random.default_rng(5)
+    word = lambda: "".join(chr(97 + c) for c in random.integers(0, 26, 6))
+    rows, at = [(None, "a row without an id"), (900, ""), (901, None), (902, "two words"), (903, "Two  WORDS")], 1000
+    for _ in range(15):
+        base = [word() for _ in range(300)]
+        for n in (0, 1, 3, 5, 6, 8, 12, 20, 40):
+            copy = list(base)
+            for i in random.integers(0, 300, n):
+                copy[i] = word()
+            rows.append((at, " ".join(copy)))
+            at += 1
+    rows += texts(docs)
+    sets = []
+    for _, text in rows:
+        words = (text or "").lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    left, right = [], []
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a == b or (both := len(a & b)) and 5 * both >= 4 * (len(a) + len(b) - both):
+                left.append(i)
+                right.append(j)
+    label = simhash._labels(len(rows), np.array(left), np.array(right))
+    least = {}
+    for k, (doc, _) in zip(label.tolist(), rows):
+        least[k] = min(doc, least.get(k, doc)) if doc is not None and least.get(k, doc) is not None else least.get(k, doc)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    made = corpus_pipeline.near_duplicates(spark, df, "")
+    assert made.columns == df.columns
+    assert by_repr(made.select("doc_id").collect()) == by_repr((x,) for x in least.values())
+    assert corpus_pipeline.near_duplicates(spark, df.limit(0), "").count() == 0
