@@ -365,3 +365,13 @@ def test_similar_texts(spark, docs):
     assert made.columns == df.columns
     assert by_repr(made.select("doc_id").collect()) == by_repr((x,) for x in least.values())
     assert corpus_pipeline.near_duplicates(spark, df.limit(0), "").count() == 0
+
+
+@pytest.mark.parametrize("block", [300, 1 << 20])
+def test_rows_without_id_remove_nothing(spark, block, monkeypatch):
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", block)
+    long = "A long text that stands in a row without an id and in a row of an id, more than fifty bytes. "
+    rows = [(None, long), (None, long * 3), (7, long), (-4, long * 3), (-5, "short"), (None, "short"), (6, "short"), (8, long * 2), (0, "z" + long * 3)]
+    made = repeats.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in made]
+    assert by_repr(got) == by_repr(brute.repeats(rows))

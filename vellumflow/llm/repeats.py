@@ -147,12 +147,15 @@ class _Block:
         rank = np.array([0 if x is None else x for x in ids], np.int64)
         self.doc = np.unique(rank, return_inverse=True)[1].astype(np.int64)
         self.size = np.diff(ends, prepend=0)
-        self.texts = _Hashes(digests, self.doc)
         self.live = ~null & (self.size >= WINDOW)
+        self.asking = np.flatnonzero(self.live)
+        self.texts = _Hashes(digests[self.asking], self.doc[self.asking])
 
     def drop_copies(self, found: np.ndarray) -> None:
         """Mark documents whose whole text an earlier one has; their windows are all in that one."""
-        copy = self.live & (found[self.texts.row] | (self.doc > self.texts.least[self.texts.row]))
+        row = self.texts.row
+        copy = np.zeros(len(self.live), bool)
+        copy[self.asking] = found[row] | (self.doc[self.asking] > self.texts.least[row])
         self.copy = copy
         self.live &= ~copy
 
