@@ -375,3 +375,21 @@ def test_rows_without_id_remove_nothing(spark, block, monkeypatch):
     made = repeats.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in made]
     assert by_repr(got) == by_repr(brute.repeats(rows))
+
+
+@pytest.mark.parametrize("block", [300, 2000])
+def test_one_id_fills_many_blocks(spark, block, monkeypatch):
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", block)
+    random = np.random.default_rng(8)
+    word = lambda: "".join(chr(97 + c) for c in random.integers(0, 26, 7))
+    parts = [" ".join(word() for _ in range(12)) for _ in range(40)]
+    some = lambda: " ".join(parts[i] if i < 40 else word() for i in random.integers(0, 60, 4))
+    rows = [(i, some()) for i in (*[7] * 80, *[None] * 40, *range(-10, 30), *[12] * 20)]
+    rows += [(7, rows[0][1]), (12, rows[0][1]), (20, rows[3][1]), (-20, rows[5][1]), (None, rows[0][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    made = repeats.dedup(df).collect()
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in made]
+    assert by_repr(got) == by_repr(brute.repeats(rows))
+    one = spark.range(400).selectExpr("1L AS _key", "repeat('x', 100) AS text").repartition(4)
+    sizes = [r[0] for r in repeats._blocks(one, "_key", "text").selectExpr("octet_length(data)").collect()]
+    assert sum(sizes) == 40_000 and max(sizes) <= block + 100

@@ -8,9 +8,12 @@ named; a window whose sampled string no other document has is discarded, which
 loses nothing. Then the windows that remain are sorted, and neighbours in that
 order with equal prefixes are one group; all but those of its first document go.
 
-Documents lie in blocks, in the order of their ids. Only hashes leave a block,
-sorted and packed by bucket, each once for a block however often it comes there,
-and one bit for each comes back. So no string is too frequent.
+Documents lie in blocks, in the order of their ids. Rows of one id may fill many
+blocks. Only hashes leave a block, sorted and packed by bucket, each once for a
+block however often it comes there, and one bit for each comes back. So no string
+is too frequent. With each hash go two bits: whether its least document is the
+first or the last of the block, whose ids go with the block; only these can be
+documents of other blocks too.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from vellumflow.llm.common import fan_out, new_folder, small_batches, written
 
 WINDOW, GRAM = 50, 24
 BLOCK_BYTES = 2 << 20
+# What a row counts besides its text.
+ROW_BYTES = 64
 # Bytes of text for each bucket of hashes.
 BUCKET_BYTES = 16 << 20
 A, B, C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -100,19 +105,20 @@ class _Hashes:
         self.shared = np.zeros(len(begin), bool)  # in two documents of this block
         self.shared[nth[d != self.least[nth]]] = True
 
-    def packed(self, bits: int) -> Iterator[tuple[int, bytes]]:
-        """For each bucket, by the highest bits, the hashes' remaining bytes, one place of all after another."""
+    def packed(self, bits: int, first: int, last: int) -> Iterator[tuple[int, bytes, bytes]]:
+        """For each bucket, by the highest bits, the hashes' remaining bytes, one place of all after another, and their two bits."""
         if not len(self.value):
             return
         bucket = (self.value >> np.uint64(64 - bits)).astype(np.int64)
         planes = np.concatenate([self.value.astype(">u8").view(np.uint8).reshape(-1, 8)[:, bits // 8 :], self.more[:, None]], axis=1)
         begin = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         for a, b in zip(begin, [*begin[1:], len(bucket)]):
-            yield int(bucket[a]), np.ascontiguousarray(planes[a:b].T).tobytes()
+            edges = np.packbits(np.stack([self.least[a:b] == first, self.least[a:b] == last]), axis=1)
+            yield int(bucket[a]), np.ascontiguousarray(planes[a:b].T).tobytes(), edges.tobytes()
 
 
 def _met(earlier_only: bool, width: int) -> Callable[[pa.Table], pa.Table]:
-    """For the hashes that blocks have in one bucket: a bit for each that another block, or an earlier one, has too."""
+    """For the hashes that blocks have in one bucket: a bit for each that another block, or an earlier document of one, has too."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
@@ -127,7 +133,11 @@ def _met(earlier_only: bool, width: int) -> Callable[[pa.Table], pa.Table]:
         same = (k[1:] == k[:-1]) & (m[1:] == m[:-1])
         hit = np.zeros(len(k), bool)
         hit[1:] = same
-        if not earlier_only:
+        if earlier_only:  # blocks, and so the documents of a run, are in order: the first is the least
+            rank = _ranks(table, sizes)[order]
+            begin = np.maximum.accumulate(np.where(hit, 0, np.arange(len(k))))
+            hit &= rank > rank[begin]
+        else:
             hit[:-1] |= same
         found = np.empty(len(k), bool)
         found[order] = hit
@@ -138,6 +148,23 @@ def _met(earlier_only: bool, width: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
+def _ranks(table: pa.Table, sizes: list[int]) -> np.ndarray:
+    """A number for the least document of each hash, in the order of ids, and equal for equal ids.
+
+    Ids inside a block, between its first and last one, are in no other block and share a number.
+    """
+    ids = np.stack([table["first"].to_numpy(), table["last"].to_numpy()])
+    nth = 2 * np.unique(ids, return_inverse=True)[1].reshape(2, -1)
+    out = np.repeat(nth[0] + 1, sizes)
+    a = 0
+    for i, (n, edges) in enumerate(zip(sizes, table["edges"].to_pylist())):
+        first, last = np.unpackbits(np.frombuffer(edges, np.uint8).reshape(2, -1), axis=1, count=n).astype(bool)
+        out[a : a + n][last] = nth[1, i]
+        out[a : a + n][first] = nth[0, i]
+        a += n
+    return out
+
+
 class _Block:
     """Documents of one block: their bytes end to end, and what is known of them so far."""
 
@@ -148,6 +175,8 @@ class _Block:
         self.doc = np.unique(rank, return_inverse=True)[1].astype(np.int64)
         self.size = np.diff(ends, prepend=0)
         self.live = ~null & (self.size >= WINDOW)
+        # The first and the last document that asks, and their ids.
+        self.edges = [f(x[self.live], initial=y) for x in (self.doc, rank) for f, y in ((np.min, np.iinfo(np.int64).max), (np.max, np.iinfo(np.int64).min))]
         self.asking = np.flatnonzero(self.live)
         self.texts = _Hashes(digests[self.asking], self.doc[self.asking])
 
@@ -205,11 +234,15 @@ def _bits_of(hashes: _Hashes, bits: int, given: list | None) -> np.ndarray:
 
 
 def _blocks(rows: DataFrame, id: str, text: str) -> DataFrame:
-    """Rows in ascending order of id, gathered to blocks: a table bucketed by block, so that joins with it do not move it."""
+    """Rows in ascending order of id, gathered to blocks: a table bucketed by block, so that joins with it do not move it.
+
+    Rows of one id, or of none, are dealt over partitions and blocks like all others.
+    """
     spark = rows.sparkSession
     names = rows.columns
-    at_id, at_text = names.index(id), names.index(text)
-    dealt = rows.repartitionByRange(fan_out(spark), F.col(id)).sortWithinPartitions(F.col(id))
+    at_text = names.index(text)
+    dealt = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(fan_out(spark), F.col(id), F.col("_tie"))
+    dealt = dealt.drop("_tie").sortWithinPartitions(F.col(id))
     kinds = T.StructType(
         [
             T.StructField("block", T.LongType()),
@@ -239,18 +272,15 @@ def _blocks(rows: DataFrame, id: str, text: str) -> DataFrame:
                 [pa.array([first + nth - 1], pa.int64()), pa.array([b"".join(texts)], pa.binary()), *(pa.ListArray.from_arrays(span, x) for x in lists)], names=out
             )
 
-        last = None
         for batch in batches:
-            ids, lens = batch.column(at_id).to_pylist(), batch.column(at_text).cast(pa.binary())
-            lens = [0 if x is None else len(x) for x in lens.to_pylist()]
+            lens = [0 if x is None else len(x) for x in batch.column(at_text).cast(pa.binary()).to_pylist()]
             a = 0
-            for i, (key, n) in enumerate(zip(ids, lens)):
-                if size >= BLOCK_BYTES and key != last:
+            for i, n in enumerate(lens):
+                if size >= BLOCK_BYTES:
                     held.append(batch.slice(a, i - a))
                     yield block()
                     held, size, a = [], 0, i
-                size += n
-                last = key
+                size += n + ROW_BYTES
             held.append(batch.slice(a))
         if held and sum(len(b) for b in held):
             yield block()
@@ -271,7 +301,7 @@ def _answers(blocks: DataFrame, known: DataFrame | None, step: int, bits: int) -
     """(block, b0, b1, ...): with the answers known so far, those of the next step.
 
     Steps: whole texts, sampled strings, windows. The first and last ask which
-    hashes an earlier block has, the second which any other block has.
+    hashes a document of smaller id in another block has, the second which any other block has.
     """
     need = ["ends", "digests", "c_id"] + (["data"] if step else [])
     source = blocks.select("block", *need)
@@ -282,14 +312,15 @@ def _answers(blocks: DataFrame, known: DataFrame | None, step: int, bits: int) -
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch, names):
-                hashes = _worked(row, bits, step)
-                made = list(hashes.packed(bits))
+                hashes, (first, last, first_id, last_id) = _worked(row, bits, step)
+                made = list(hashes.packed(bits, first, last))
+                columns = [[x[0] for x in made], *([x] * len(made) for x in (row["block"], first_id, last_id))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k for k, _ in made], pa.int64()), pa.array([row["block"]] * len(made), pa.int64()), pa.array([x for _, x in made], pa.binary())],
-                    names=["bucket", "block", "packed"],
+                    [*(pa.array(x, pa.int64()) for x in columns), *(pa.array([x[i] for x in made], pa.binary()) for i in (1, 2))],
+                    names=["bucket", "block", "first", "last", "packed", "edges"],
                 )
 
-    asked = source.mapInArrow(ask, "bucket long, block long, packed binary")
+    asked = source.mapInArrow(ask, "bucket long, block long, first long, last long, packed binary, edges binary")
     width = 9 - bits // 8
     met = asked.groupBy("bucket").applyInArrow(_met(step != 1, width), "block long, bucket long, bits binary")
     new = met.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias(f"b{step}"))
@@ -306,20 +337,20 @@ def _rows(batch: pa.RecordBatch, names: list[str]) -> Iterator[dict]:
         pa.default_memory_pool().release_unused()
 
 
-def _worked(row: dict, bits: int, step: int) -> _Hashes | _Block:
-    """The hashes that a block asks for in this step, or the block after all of them."""
+def _worked(row: dict, bits: int, step: int) -> tuple[_Hashes, list] | _Block:
+    """The hashes that a block asks for in this step and its first and last documents, or the block after all steps."""
     data = row["data"].as_buffer() if "data" in row else b""
     made = _Block(data, row["ends"].values.to_numpy(), row["c_id"].values.to_pylist(), row["digests"].values.to_numpy().view(np.uint64), bits)
     given = lambda k: row[f"b{k}"].as_py()
     if step == 0:
-        return made.texts
+        return made.texts, made.edges
     made.drop_copies(_bits_of(made.texts, bits, given(0)))
     made.sample()
     if step == 1:
-        return made.names
+        return made.names, made.edges
     made.discard(_bits_of(made.names, bits, given(1)))
     if step == 2:
-        return made.windows
+        return made.windows, made.edges
     made.gone = made.removed(_bits_of(made.windows, bits, given(2)))
     return made
 
@@ -329,7 +360,7 @@ def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
 
     Every byte goes that lies in a string of 50 bytes which also starts in a row
     of a smaller id; strings are judged on the input. Texts are shuffled once,
-    to their blocks. A block holds about 2 MB, more only for rows of one id or one
+    to their blocks. A block holds about 2 MB, more only for one
     longer text. Windows are told apart by 72 bits of hashes.
 
     Nulls: a null text is empty; rows of a null id lose nothing and make no other
