@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumflow.llm import bpe, coder, curves, licenses, main_text, packing, quality, repeats, sharding, simhash
+from vellumflow.llm import bpe, coder, curves, licenses, main_text, packing, quality, repeats, sharding, simhash, trie
 from vellumflow.llm.common import table
 
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -66,15 +66,25 @@ def op10_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coder.stored_ids(table(spark, sf_dir, "documents"), WORDS)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_neighbours, op3_bpe, op4_packing, op5_repeats, op6_licenses, op7_simhash, op8_main_text, op9_quality, op10_coder)}
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = trie.build(table(spark, sf_dir, "conversations"))
+    rows = made.nodes.join(trie.end_digests(made.ends), trie.KEY, "left")
+    return rows.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_neighbours, op3_bpe, op4_packing, op5_repeats, op6_licenses, op7_simhash, op8_main_text, op9_quality, op10_coder, op13_trie)}
 
 # The crc32 of bytes by its table of 256 remainders, which the fixed polynomial gives.
-OP1_SQL = """
-WITH remainders AS (
+REMAINDERS = """remainders AS (
   SELECT list(r ORDER BY b) AS rem FROM (
     SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS r
     FROM range(256) t(b))
-), sized AS (
+)"""
+OP1_SQL = f"""
+WITH {REMAINDERS}, sized AS (
   SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size,
          list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS bytes
   FROM documents
@@ -122,4 +132,36 @@ WITH known AS (
 SELECT t.doc_id, t.digest, k.license, coalesce(f.n_notices, 0) AS n_notices, coalesce(f.notices, '') AS notices
 FROM texts t LEFT JOIN known k ON k.digest = t.digest LEFT JOIN found f ON f.doc_id IS NOT DISTINCT FROM t.doc_id"""
 
-ORACLE = {"op1_sharding": OP1_SQL, "op6_licenses": OP6_SQL}
+OP13_SQL = f"""
+WITH {REMAINDERS}, turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL
+), lists AS (
+  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, left(role, 64), left(text, 64), md5(octet_length(encode(role)) || ':' || role || text)) AS own
+  FROM turns GROUP BY conv_id
+), bytes AS (
+  SELECT *, list_transform(regexp_extract_all(hex(encode(CAST(conv_id AS VARCHAR))), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS bytes FROM lists
+), heads AS (
+  SELECT conv_id, own, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes), lambda c, b: xor(c >> 8, rem[1 + xor(c, b) % 256])), 4294967295) % 6 AS h
+  FROM bytes, remainders
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.own[1:c.h], []), c.own[c.h + 1:]) AS turns
+  FROM heads c LEFT JOIN lists b ON b.conv_id = c.conv_id - c.conv_id % 100
+), members AS (
+  SELECT conv_id, d, turns[1:d] AS node, len(turns) = d AS ends, CASE WHEN d > 0 THEN length(turns[d].text) ELSE 0 END AS chars
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY node, d
+), children AS (
+  SELECT node[1:d - 1] AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1
+), known AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c USING (node)
+), under AS (
+  SELECT node[1:k] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * chars) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM known) GROUP BY 1
+)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, u.n_leaves, CAST(u.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM known n JOIN under u USING (node) LEFT JOIN nodes p ON n.d > 0 AND p.node = n.node[1:n.d - 1]"""
+
+ORACLE = {"op1_sharding": OP1_SQL, "op6_licenses": OP6_SQL, "op13_trie": OP13_SQL}
