@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumflow.llm import bpe, coder, curves, licenses, main_text, packing, quality, repeats, sharding, simhash, trie
+from vellumflow.llm import bpe, coder, contamination, curves, licenses, main_text, packing, quality, repeats, sharding, simhash, trie
 from vellumflow.llm.common import table
 
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -66,6 +66,15 @@ def op10_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coder.stored_ids(table(spark, sf_dir, "documents"), WORDS)
 
 
+def op12_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, sets = contamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digests = sets.select("item_set", F.size("items").cast("long").alias("n"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("digest"))
+    return rows.join(digests, "item_set", "left").select(
+        "doc_id", "n_words", "n_hit", F.coalesce("n", F.lit(0).cast("long")).alias("n_items"),
+        F.coalesce("digest", F.sha2(F.lit("").cast("binary"), 256)).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = trie.build(table(spark, sf_dir, "conversations"))
     rows = made.nodes.join(trie.end_digests(made.ends), trie.KEY, "left")
@@ -75,7 +84,7 @@ def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_neighbours, op3_bpe, op4_packing, op5_repeats, op6_licenses, op7_simhash, op8_main_text, op9_quality, op10_coder, op13_trie)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_neighbours, op3_bpe, op4_packing, op5_repeats, op6_licenses, op7_simhash, op8_main_text, op9_quality, op10_coder, op12_contamination, op13_trie)}
 
 # The crc32 of bytes by its table of 256 remainders, which the fixed polynomial gives.
 REMAINDERS = """remainders AS (
@@ -164,4 +173,31 @@ WITH {REMAINDERS}, turns AS (
 SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, u.n_leaves, CAST(u.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
 FROM known n JOIN under u USING (node) LEFT JOIN nodes p ON n.d > 0 AND p.node = n.node[1:n.d - 1]"""
 
-ORACLE = {"op1_sharding": OP1_SQL, "op6_licenses": OP6_SQL, "op13_trie": OP13_SQL}
+_WORDS_SQL = f"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{contamination.UPPER}', '{contamination.LOWER}'), '{contamination.GAPS}'), lambda w: w <> '')"
+OP12_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {_WORDS_SQL} AS words FROM documents
+), items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS_SQL} AS words FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, m, array_to_string(words[i + 1:i + m], ' ') AS phrase
+  FROM (SELECT *, unnest(range(0, len(words) - m + 1)) AS i FROM (SELECT *, least(10, len(words)) AS m FROM items) WHERE m > 0)
+), sizes AS (
+  SELECT DISTINCT m FROM windows
+), placed AS (
+  SELECT r, i, list(w) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS following
+  FROM (SELECT r, unnest(words) AS w, unnest(range(0, len(words))) AS i FROM docs)
+), places AS (
+  SELECT r, m, i, array_to_string(following[1:m], ' ') AS phrase FROM placed, sizes WHERE len(following) >= m
+), found AS (
+  SELECT DISTINCT p.r, p.m, p.i, w.item FROM places p JOIN windows w ON w.m = p.m AND w.phrase = p.phrase
+), hit AS (
+  SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS place FROM found) GROUP BY r
+), named AS (
+  SELECT r, count(item) AS n_items, sha256(coalesce(string_agg(item, ',' ORDER BY item), '')) AS items_sha256 FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+)
+SELECT d.doc_id, len(d.words) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(n.n_items, 0) AS n_items,
+       coalesce(n.items_sha256, sha256('')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit h USING (r) LEFT JOIN named n USING (r)"""
+
+ORACLE = {"op1_sharding": OP1_SQL, "op6_licenses": OP6_SQL, "op12_contamination": OP12_SQL, "op13_trie": OP13_SQL}

@@ -139,7 +139,7 @@ def _parents(nodes: DataFrame, heads: DataFrame) -> DataFrame:
     """
     up = ["up_depth", *(f"p{i}" for i in range(4))]
     above = nodes.select(*(F.col(k).alias(u) for k, u in zip(KEY, up)), F.col("conv_id").alias("parent_conv_id"), "n_children")
-    wide = F.col("n_children") > max(nodes.count() // 1000, BLOCK)
+    wide = F.col("n_children") > max(nodes.count() // 1000, 1)
     rows = heads.withColumn("up_depth", F.col("depth") - 1).select(*KEY, *up)
     met = rows.join(F.broadcast(above.where(wide).drop("n_children")), up, "left")
     others = met.where(F.col("parent_conv_id").isNull()).drop("parent_conv_id").join(above.where(~wide).drop("n_children"), up)
