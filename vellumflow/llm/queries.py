@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumflow.llm import bpe, coder, contamination, curves, licenses, main_text, packing, quality, repeats, sharding, simhash, trie
-from vellumflow.llm.common import table
+from vellumflow.llm import bpe, coder, contamination, curves, divergence, licenses, main_text, packing, quality, repeats, sharding, simhash, trie
+from vellumflow.llm.common import table, written
+from vellumflow.session import few
 
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -66,9 +67,14 @@ def op10_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coder.stored_ids(table(spark, sf_dir, "documents"), WORDS)
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op12_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, sets = contamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     digests = sets.select("item_set", F.size("items").cast("long").alias("n"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("digest"))
+    digests = few(written(digests, "digests"))
     return rows.join(digests, "item_set", "left").select(
         "doc_id", "n_words", "n_hit", F.coalesce("n", F.lit(0).cast("long")).alias("n_items"),
         F.coalesce("digest", F.sha2(F.lit("").cast("binary"), 256)).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
@@ -84,7 +90,7 @@ def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_neighbours, op3_bpe, op4_packing, op5_repeats, op6_licenses, op7_simhash, op8_main_text, op9_quality, op10_coder, op12_contamination, op13_trie)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_neighbours, op3_bpe, op4_packing, op5_repeats, op6_licenses, op7_simhash, op8_main_text, op9_quality, op10_coder, op11_divergence, op12_contamination, op13_trie)}
 
 # The crc32 of bytes by its table of 256 remainders, which the fixed polynomial gives.
 REMAINDERS = """remainders AS (
@@ -141,6 +147,43 @@ WITH known AS (
 SELECT t.doc_id, t.digest, k.license, coalesce(f.n_notices, 0) AS n_notices, coalesce(f.notices, '') AS notices
 FROM texts t LEFT JOIN known k ON k.digest = t.digest LEFT JOIN found f ON f.doc_id IS NOT DISTINCT FROM t.doc_id"""
 
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), found AS (
+  SELECT r, lang, source, term, count(*) AS n FROM (SELECT r, lang, source, unnest(terms) AS term FROM docs) GROUP BY ALL
+), kept AS (
+  SELECT lang, term FROM found GROUP BY lang, term HAVING count(*) >= 3
+), sizes AS (
+  SELECT l.lang, count(k.term) AS v FROM (SELECT DISTINCT lang FROM docs) l LEFT JOIN kept k ON k.lang = l.lang GROUP BY l.lang
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), counts AS (
+  SELECT lang, source, term, CAST(sum(n) AS HUGEINT) AS n FROM found SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), full_ AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, v,
+         sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total,
+         sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, k.term) AS all_n,
+         sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang) AS all_total
+  FROM groups g JOIN kept k ON k.lang = g.lang JOIN sizes s ON s.lang = g.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), shares AS (
+  SELECT lang, source, term, n, 1 + 1000000000 * (n + 1) // (total + v) AS p, 1 + 1000000000 * (all_n + 1) // (all_total + v) AS q FROM full_
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY ALL
+), rows_ AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(p.value, 0) AS value
+  FROM groups g JOIN groups h ON h.lang = g.lang AND h.source <> g.source LEFT JOIN pairs p ON p.lang = g.lang AND p.source = g.source AND p.item = h.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM rows_
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, rank FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
 OP13_SQL = f"""
 WITH {REMAINDERS}, turns AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL
@@ -200,4 +243,4 @@ SELECT d.doc_id, len(d.words) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesc
        coalesce(n.items_sha256, sha256('')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN hit h USING (r) LEFT JOIN named n USING (r)"""
 
-ORACLE = {"op1_sharding": OP1_SQL, "op6_licenses": OP6_SQL, "op12_contamination": OP12_SQL, "op13_trie": OP13_SQL}
+ORACLE = {"op1_sharding": OP1_SQL, "op6_licenses": OP6_SQL, "op11_divergence": OP11_SQL, "op12_contamination": OP12_SQL, "op13_trie": OP13_SQL}
