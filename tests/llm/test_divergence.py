@@ -65,6 +65,7 @@ def test_hard_rows(spark, tmp_path, monkeypatch, first, limit, cells):
     monkeypatch.setattr(divergence, "FIRST_PREFIX", first)
     monkeypatch.setattr(divergence, "BROADCAST_BYTES", limit)
     monkeypatch.setattr(divergence, "CELLS", cells)
+    monkeypatch.setattr(divergence, "HELD", cells)
     spark.createDataFrame([(i, *r, "x", 1, "y") for i, r in enumerate(ROWS)], SCHEMA).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     got = rows_of(queries.op11_divergence(spark, str(tmp_path)))
     assert got == plain(ROWS) and got == sql(f"{tmp_path}/documents.parquet/*.parquet")

@@ -17,61 +17,94 @@ from vellumflow.session import BROADCAST_BYTES
 AT_LEAST, SCALE, TOP = 3, 1_000_000_000, 200
 # Length in bytes of the first prefixes; every level doubles it.
 FIRST_PREFIX = 4
+# Terms by source, and bytes of text, that a task counts before it hands its counts on.
+HELD, HELD_BYTES = 400_000, 32 << 20
 # Counts that one task holds at once when sources are compared.
 CELLS = 1 << 20
 TERM = re.compile(rb"[a-z\x80-\xff]+")
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def terms_of(text: bytes) -> Counter:
-    """The terms of a text and how often each occurs. In UTF-8 all bytes of a character beyond ASCII are 128 or more."""
-    return Counter(TERM.findall(text.translate(LOWER)))
-
-
-def _common(a: bytes, b: bytes) -> int:
-    n = min(len(a), len(b))
-    if a[:n] == b[:n]:
-        return n
-    low, high = 0, n  # the first place where they differ, by halves
-    while high - low > 1:
-        mid = (low + high) // 2
-        low, high = (mid, high) if a[:mid] == b[:mid] else (low, mid)
-    return low
+class _Tally:
+    """Counts of some documents: by language the documents of each term, and those it stands for at each level; by source its occurrences."""
+
+    def __init__(self, shortest: int):
+        self.shortest = shortest
+        self.docs: dict[str, Counter] = {}
+        self.firsts: dict[str, list[Counter]] = {}
+        self.uses: dict[str, dict[str, Counter]] = {}
+        self.entries = self.size = 0
+
+    def add(self, lang: str, source: str, text: bytes) -> None:
+        terms = TERM.findall(text.translate(LOWER))
+        uses = self.uses.setdefault(lang, {}).setdefault(source, Counter())
+        before = len(uses)
+        uses.update(terms)
+        self.entries += len(uses) - before
+        self.size += len(text)
+        terms = set(terms)
+        self.docs.setdefault(lang, Counter()).update(terms)
+        firsts, level, high = self.firsts.setdefault(lang, []), 0, self.shortest
+        while terms := [t for t in terms if len(t) > high]:
+            if level == len(firsts):
+                firsts.append(Counter())
+            # One term of the document stands for all that go on from the same prefix, so a document counts once.
+            firsts[level].update({t[:high]: t for t in terms}.values())
+            level, high = level + 1, 2 * high
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        for lang, docs in self.docs.items():
+            terms = list(docs)
+            place = dict(zip(terms, range(len(terms))))
+            sizes = np.fromiter(map(len, terms), np.int64, len(terms))
+            firsts = self.firsts[lang]
+            levels = sum(((sizes > (self.shortest << i)).astype(np.int64) for i in range(len(firsts))), np.zeros(len(terms), np.int64))
+            offsets = np.r_[0, np.cumsum(levels)]
+            first = np.zeros(offsets[-1], np.int32)
+            for i, counted in enumerate(firsts):
+                at = np.fromiter(map(place.__getitem__, counted), np.int64, len(counted))
+                first[offsets[at] + i] = np.fromiter(counted.values(), np.int32, len(counted))
+            names = list(self.uses[lang])
+            rows = [np.fromiter(map(place.__getitem__, c), np.int64, len(c)) for c in self.uses[lang].values()]
+            row, whose = np.concatenate(rows), np.repeat(np.arange(len(names), dtype=np.int32), [len(r) for r in rows])
+            n = np.concatenate([np.fromiter(c.values(), np.int64, len(c)) for c in self.uses[lang].values()])
+            order = np.argsort(row, kind="stable")
+            of = np.searchsorted(row[order], np.arange(len(terms) + 1))
+            uses = pa.StructArray.from_arrays([pa.array(names, pa.string()).take(pa.array(whose[order])), pa.array(n[order])], names=["source", "n"])
+            made = pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang]).take(pa.array(np.zeros(len(terms), np.int32))), pa.array(terms, pa.binary()).cast(pa.string()),
+                    pa.array(np.fromiter(docs.values(), np.int32, len(terms))),
+                    pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(first)), pa.ListArray.from_arrays(pa.array(of.astype(np.int32)), uses),
+                ],
+                names=["lang", "term", "docs", "firsts", "uses"],
+            )
+            yield from (made.slice(i, 1 << 15) for i in range(0, len(terms), 1 << 15))
 
 
 def document_terms(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """(lang, source, term, n, shared): the distinct terms of each document with their counts.
+    """(lang, term, docs, firsts, uses): the terms of some documents of a task at a time, with the number of documents that hold each and its occurrences by source.
 
-    ``shared`` tells at which prefix lengths a term is the first of its document: a
-    prefix that other terms go on from is counted where it is longer than ``shared``, so a document counts once.
+    ``firsts`` has a number for each level whose prefixes the term goes on from: the documents in
+    which it stands for its prefix. Added up over the terms of a prefix these are the documents
+    of the prefix, each counted once.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))))
 
+    shortest, held, held_bytes = FIRST_PREFIX, HELD, HELD_BYTES
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = _Tally(shortest)
         for batch in batches:
-            whose, terms, counts, shared = [], [], [], []
-            for i, text in enumerate(batch.column(2).cast(pa.binary())):
-                found = terms_of(text.as_py())
-                before = b""
-                for term in sorted(found):
-                    lcp = 0 if term[:1] != before[:1] else _common(before, term)
-                    shared.append(lcp - (0 < lcp == len(before)))
-                    before = term
-                    terms.append(term)
-                    counts.append(found[term])
-                whose.append(np.full(len(found), i))
-                if len(terms) >= 1 << 16:
-                    yield made(batch, whose, terms, counts, shared)
-                    whose, terms, counts, shared = [], [], [], []
-            yield made(batch, whose, terms, counts, shared)
-
-    def made(batch: pa.RecordBatch, whose: list, terms: list, counts: list, shared: list) -> pa.RecordBatch:
-        at = pa.array(np.concatenate([np.empty(0, np.int64), *whose]).astype(np.int64))
-        columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(terms, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(shared, pa.int32())]
-        return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "shared"])
-
-    return rows.mapInArrow(run, "lang string, source string, term string, n long, shared int")
+            for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())):
+                tally.add(lang, source, text.as_py())
+                if tally.entries >= held or tally.size >= held_bytes:
+                    yield from tally.rows()
+                    tally = _Tally(shortest)
+        yield from tally.rows()
+
+    return rows.mapInArrow(run, "lang string, term string, docs int, firsts array<int>, uses array<struct<source: string, n: bigint>>")
 
 
 def _fits(df: DataFrame, row_bytes: int) -> DataFrame:
@@ -86,22 +119,23 @@ def kept_terms(found: DataFrame, at_least: int = AT_LEAST) -> DataFrame:
     others. A term that ends within a level is whole, and is kept if it is in enough documents
     itself. The last level is the one beyond which no prefix goes on.
     """
-    rows = found.select("lang", F.col("term").cast("binary").alias("term"), "shared").withColumn("size", F.octet_length("term"))
-    alive, low, high, kept = None, 0, FIRST_PREFIX, []
+    rows = found.select("lang", F.col("term").cast("binary").alias("term"), "docs", "firsts").withColumn("size", F.octet_length("term"))
+    alive, step, low, high, kept = None, 0, 0, FIRST_PREFIX, []
     while True:
         level = rows.where(F.col("size") > low)
         if alive is not None:
             level = level.withColumn("prefix", F.substring("term", 1, low)).join(alive, ["lang", "prefix"], "left_semi")
         goes_on = F.col("size") > high
-        counted = level.where(~goes_on | (F.col("shared") < high)).groupBy("lang", F.substring("term", 1, high).alias("prefix"), goes_on.alias("goes_on"))
-        counted = written(counted.agg(F.count("*").alias("docs")).where(F.col("docs") >= at_least).drop("docs"), "prefixes")
+        counted = level.groupBy("lang", F.substring("term", 1, high).alias("prefix"), goes_on.alias("goes_on"))
+        counted = counted.agg(F.sum(F.when(goes_on, F.get("firsts", F.lit(step))).otherwise(F.col("docs"))).alias("docs"))
+        counted = written(counted.where(F.col("docs") >= at_least).drop("docs"), "prefixes")
         kept.append(counted.where(~F.col("goes_on")).select("lang", F.col("prefix").cast("string").alias("term")))
         alive = counted.where("goes_on").select("lang", "prefix")
         n = alive.count()
         if not n:
             break
         alive = F.broadcast(alive) if n * (high + 60) <= BROADCAST_BYTES else alive
-        low, high = high, 2 * high
+        step, low, high = step + 1, high, 2 * high
     out = kept[0]
     for more in kept[1:]:
         out = out.union(more)
@@ -122,11 +156,11 @@ def pair_sums(counts: DataFrame, groups: DataFrame) -> DataFrame:
     """
     per_lang = groups.groupBy("lang").agg(F.count("*").alias("sources"), F.max("v").alias("v"))
     slices = _fits(written(per_lang.withColumn("slices", F.expr(f"1 + sources * v div {CELLS}")), "slices"), 100)
-    terms = counts.join(slices, "lang").select("lang", F.pmod(F.xxhash64("term"), "slices").alias("slice"), "term", "source", "n")
+    terms = counts.join(slices, "lang").select("lang", F.pmod(F.xxhash64("id"), "slices").alias("slice"), "id", "source", "n")
     heads = groups.join(slices.drop("v"), "lang").select("lang", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"), "source", "total", "v")
     none = lambda kind: F.lit(None).cast(kind)
     both = terms.withColumn("total", none("long")).withColumn("v", none("long")).union(
-        heads.select("lang", "slice", none("string"), "source", none("long"), "total", "v")
+        heads.select("lang", "slice", none("long"), "source", none("long"), "total", "v")
     )
 
     def compare(part: pa.Table) -> pa.Table:
@@ -136,7 +170,7 @@ def pair_sums(counts: DataFrame, groups: DataFrame) -> DataFrame:
         v = int(part.column("v").drop_null()[0].as_py()) if len(sources) else 0
         place = {s: i for i, s in enumerate(sources)}
         rows = part.filter(pa.array(~head))
-        term = rows.column("term").combine_chunks().dictionary_encode()
+        term = rows.column("id").combine_chunks().dictionary_encode()
         count = np.zeros((len(sources), len(term.dictionary)), np.int64)
         row = np.array([place[s] for s in rows.column("source").to_pylist()], np.int64)
         np.add.at(count, (row, term.indices.to_numpy(zero_copy_only=False)), rows.column("n").to_numpy())
@@ -151,7 +185,7 @@ def pair_sums(counts: DataFrame, groups: DataFrame) -> DataFrame:
         lang = pa.array([part.column("lang")[0].as_py()] * len(a), pa.string())
         return pa.table({"lang": lang, "source": names.take(pa.array(a)), "item": names.take(pa.array(b)), "value": pa.array(sums[a, b])})
 
-    parts = both.toDF("lang", "slice", "term", "source", "n", "total", "v").groupBy("lang", "slice").applyInArrow(compare, "lang string, source string, item string, value long")
+    parts = both.toDF("lang", "slice", "id", "source", "n", "total", "v").groupBy("lang", "slice").applyInArrow(compare, "lang string, source string, item string, value long")
     return parts.groupBy("lang", "source", "item").agg(F.sum(F.col("value").cast("decimal(38,0)")).cast("long").alias("value"))
 
 
@@ -175,9 +209,10 @@ def audit(docs: DataFrame, at_least: int = AT_LEAST, top: int = TOP, text: str =
     terms has values of 0. No rows: no rows. Other columns are not looked at.
     """
     found = written(document_terms(docs, text, lang, source), "terms")
-    kept = written(kept_terms(found, at_least), "kept")
-    kept_few = _fits(kept, 100)
-    counts = written(found.join(kept_few, ["lang", "term"]).groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "counts")
+    kept = written(kept_terms(found, at_least).withColumn("id", F.monotonically_increasing_id()), "kept")
+    kept_few = _fits(kept, 60)
+    used = found.join(kept_few, ["lang", "term"]).select("lang", "id", F.explode("uses").alias("u"))
+    counts = written(used.groupBy("lang", "id", F.col("u.source").alias("source")).agg(F.sum("u.n").alias("n")), "counts")
     named = docs.select(F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.coalesce(F.col(source), F.lit("")).alias("source")).distinct()
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     v = kept.groupBy("lang").agg(F.count("*").alias("v"))
@@ -186,11 +221,12 @@ def audit(docs: DataFrame, at_least: int = AT_LEAST, top: int = TOP, text: str =
     groups = written(groups.select("lang", "source", F.coalesce("total", zero).alias("total"), F.coalesce("v", zero).alias("v")), "groups")
 
     pairs = pair_sums(counts, groups)
-    whole = counts.groupBy("lang", "term").agg(F.sum("n").alias("all_n"))
-    whole = whole.join(groups.groupBy("lang").agg(F.sum("total").alias("all_total")), "lang")
-    terms = counts.join(whole, ["lang", "term"]).join(groups, ["lang", "source"])
-    terms = terms.select("lang", "source", F.col("term").alias("item"), _share("n", "total").alias("p"), _share("all_n", "all_total").alias("q")).where("p > q")
-    terms = terms.select("lang", "source", "item", F.expr("(p - q) * (p - q) div q").alias("value"))
+    whole = counts.groupBy("lang", "id").agg(F.sum("n").alias("all_n"))
+    whole = whole.join(groups.groupBy("lang").agg(F.sum("total").alias("all_total")), "lang").drop("lang")
+    terms = counts.join(whole, "id").join(groups, ["lang", "source"])
+    terms = terms.select("lang", "source", "id", _share("n", "total").alias("p"), _share("all_n", "all_total").alias("q")).where("p > q")
+    terms = terms.select("lang", "source", "id", F.expr("(p - q) * (p - q) div q").alias("value"))
+    terms = terms.join(kept_few.select("id", F.col("term").alias("item")), "id").select("lang", "source", "item", "value")
     ranked = lambda part, rows: rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))).select(
         "lang", "source", F.lit(part).alias("part"), "item", "value", "rank"
     )
