@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumflow.llm import packing, quality, repeats, similar
+from vellumflow.llm import packing, quality, repeats, simhash
 from vellumflow.llm.common import table, written
 from vellumflow.llm.queries import WORDS
 
@@ -16,8 +16,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a Jaccard similarity of 0.8 or more; shingles of five words."""
-    return similar.one_of_each(docs, shingle=5)
+    """One document of each group whose fingerprints of three-word shingles are linked at two differing bits or fewer."""
+    return simhash.one_of_each(docs, shingle=simhash.SHINGLE)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
