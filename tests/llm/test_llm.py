@@ -319,7 +319,7 @@ def test_pipeline(spark, sf_dir, docs):
     kept = {r["doc_id"] for r in quality.judged(docs, labels).where("kept").select("doc_id").collect()}
     assert {r["doc_id"] for r in made["quality_rules"].select("doc_id").collect()} == kept
     own = [x for x in texts(docs) if x[0] in kept]
-    firsts = {g for _, _, g in brute.near_groups(own, 5)}
+    firsts = {g for _, _, g in brute.near_groups(own)}
     assert {r["doc_id"] for r in made["near_duplicates"].select("doc_id").collect()} == firsts
     left = [x for x in own if x[0] in firsts]
     want = {(r[0], r[1] - r[2]) for r in brute.repeats(left)}
@@ -331,40 +331,19 @@ def test_pipeline(spark, sf_dir, docs):
     assert corpus_pipeline.run(spark, sf_dir).agg(F.sum("length")).first()[0] == total
 
 
-def test_similar_texts(spark, docs):
-    """Near copies of different text go, whatever their fingerprints; what is less similar stays."""
-    random = np.random.default_rng(5)
-    word = lambda: "".join(chr(97 + c) for c in random.integers(0, 26, 6))
-    rows, at = [(None, "a row without an id"), (900, ""), (901, None), (902, "two words"), (903, "Two  WORDS")], 1000
-    for _ in range(15):
-        base = [word() for _ in range(300)]
-        for n in (0, 1, 3, 5, 6, 8, 12, 20, 40):
-            copy = list(base)
-            for i in random.integers(0, 300, n):
-                copy[i] = word()
-            rows.append((at, " ".join(copy)))
-            at += 1
-    rows += texts(docs)
-    sets = []
-    for _, text in rows:
-        words = (text or "").lower().split()
-        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
-    left, right = [], []
-    for i, a in enumerate(sets):
-        for j in range(i):
-            b = sets[j]
-            if a == b or (both := len(a & b)) and 5 * both >= 4 * (len(a) + len(b) - both):
-                left.append(i)
-                right.append(j)
-    label = simhash._labels(len(rows), np.array(left), np.array(right))
-    least = {}
+def test_one_of_each_group(spark, hard, docs):
+    odd = hard.selectExpr("*", "1 as _fp", "2 as _stay", "3 as _nth", "4 as node", "5 as _key", "6 as fp", "7 as root")
+    made = corpus_pipeline.near_duplicates(spark, odd, "")
+    assert made.columns == odd.columns and made.where("_fp = 1 and _stay = 2 and _nth = 3 and _key = 5").count() == made.count()
+    rows = texts(hard)
+    fps = [brute.fingerprint(t) for _, t in rows]
+    near = [(i, j) for i in range(len(rows)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 2]
+    label, groups = simhash._labels(len(rows), *np.array(near).reshape(-1, 2).T), {}
     for k, (doc, _) in zip(label.tolist(), rows):
-        least[k] = min(doc, least.get(k, doc)) if doc is not None and least.get(k, doc) is not None else least.get(k, doc)
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    made = corpus_pipeline.near_duplicates(spark, df, "")
-    assert made.columns == df.columns
-    assert by_repr(made.select("doc_id").collect()) == by_repr((x,) for x in least.values())
-    assert corpus_pipeline.near_duplicates(spark, df.limit(0), "").count() == 0
+        groups.setdefault(k, []).append((doc is None, doc))
+    assert by_repr(made.select("doc_id").collect()) == by_repr((min(ids, key=lambda x: (x[0], x[1] or 0))[1],) for ids in groups.values())
+    assert corpus_pipeline.near_duplicates(spark, odd.limit(0), "").count() == 0
+    assert repeats.dedup(odd).where("_key = 5").count() == odd.count()
 
 
 @pytest.mark.parametrize("block", [300, 1 << 20])

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellumflow.llm.common import fan_out, new_folder, small_batches, written
+from vellumflow.llm.common import fan_out, new_folder, small_batches, unused, written
 
 WINDOW, GRAM = 50, 24
 BLOCK_BYTES = 2 << 20
@@ -371,17 +371,18 @@ def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.drop(*({"kept", "n_bytes", "n_removed", "n_spans"} - {id, text}))
-    rows = rows.withColumn("_key", F.col(id).cast("long"))
+    key = unused(rows, "_key")
+    rows = rows.withColumn(key, F.col(id).cast("long"))
     names = rows.columns
     at_text = names.index(text)
     total = docs.select(F.sum(F.octet_length(text))).first()[0] or 0
     bits = max(6, (total // BUCKET_BYTES).bit_length())
-    blocks = _blocks(rows, "_key", text).withColumnRenamed(f"c{names.index('_key')}", "c_id")
+    blocks = _blocks(rows, key, text).withColumnRenamed(f"c{names.index(key)}", "c_id")
     known = None
     for step in range(3):
         known = _answers(blocks, known, step, bits)
     source = blocks.join(known.hint("shuffle_hash"), "block", "left")
-    inside, others = source.columns, [i for i, n in enumerate(names) if i != at_text and n != "_key"]
+    inside, others = source.columns, [i for i, n in enumerate(names) if i != at_text and n != key]
     schema = T.StructType([*(rows.schema[i] for i in others), *T._parse_datatype_string("n_bytes long, n_removed long, n_spans long, kept binary").fields])
     out = schema.names
 

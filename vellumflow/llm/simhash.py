@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellumflow.llm.common import by_text, fan_out, written
+from vellumflow.llm.common import by_text, fan_out, unused, written
 from vellumflow.llm.components import components
 
 SHINGLE, SEED, SEGMENT, DISTANCE = 3, 42, 4, 2
@@ -205,13 +205,14 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle
     these by id and fingerprint, so that large groups are spread. Of several rows
     of that id and fingerprint one stays. Nulls as in ``near_groups``.
     """
-    known = written(fingerprints(docs, text, "_fp", shingle), "fingerprints")
-    found = classes(known.select(F.col(id).alias("doc_id"), F.col("_fp").alias("fp")))
+    fp, stay_id, stay_fp, nth = (unused(docs, c) for c in ("_fp", "_stay", "_stay_fp", "_nth"))
+    known = written(fingerprints(docs, text, fp, shingle), "fingerprints")
+    found = classes(known.select(F.col(id).alias("doc_id"), F.col(fp).alias("fp")))
     first = found.groupBy("root").agg(F.min(F.struct(F.isnull("least").alias("last"), "least", "fp")).alias("first"))
-    stay = first.select(F.col("first.least").alias("_stay"), F.col("first.fp").alias("_stay_fp"))
-    rows = known.join(stay, F.col("_fp").eqNullSafe(F.col("_stay_fp")) & F.col(id).eqNullSafe(F.col("_stay")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy(id, "_fp").orderBy(*(F.xxhash64(F.col(c)) for c in docs.columns)))
-    return rows.withColumn("_nth", nth).where(F.col("_nth") == 1).drop("_nth", "_fp")
+    stay = first.select(F.col("first.least").alias(stay_id), F.col("first.fp").alias(stay_fp))
+    rows = known.join(stay, F.col(fp).eqNullSafe(F.col(stay_fp)) & F.col(id).eqNullSafe(F.col(stay_id)), "left_semi")
+    at = F.row_number().over(Window.partitionBy(id, fp).orderBy(*(F.xxhash64(F.col(c)) for c in docs.columns)))
+    return rows.withColumn(nth, at).where(F.col(nth) == 1).drop(nth, fp)
 
 
 def hex_of(fp: str = "fp") -> object:
