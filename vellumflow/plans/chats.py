@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumflow.functions import stubs, templates
-from vellumflow.operators import answer, chat, embed, retrieve, rounds
+from vellumflow.operators import answer, cells, chat, embed, retrieve, rounds
 from vellumflow.operators.models import RateLimited, Retry
 from vellumflow.plans.common import letters_sql, table
 from vellumflow.plans.retrieval import text_corpus
-from vellumflow.session import settled
+from vellumflow.session import new_folder, settled
 
 K = 3
+CELLS = 16
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,6 +138,21 @@ def rag_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cell_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the chain answers from when it searches through cells, all of them probed."""
+    corpus = text_corpus(spark, sf_dir)
+    pivots = cells.choose_pivots(corpus, CELLS)
+    path = new_folder(spark, "cells")
+    cells.cell_table(corpus, pivots).write.partitionBy("cell").parquet(path)
+    how = replace(HOW, query_type="ann", probes=CELLS)
+    done = answer.answer_chats(
+        _chats(spark, sf_dir), corpus, stubs.letter_embedder, stubs.prompt_echo, how,
+        cells=answer.Cells(spark.read.parquet(path), pivots), rows=_rows(spark, sf_dir),
+    )
+    documents = F.col("response").custom_outputs.documents
+    return done.select(F.col("conv_id").alias("qid"), F.array_join(F.transform(documents, lambda d: d.id), ",").alias("document_ids"))
+
+
 def refusing_echo():
     """Refuses prompts whose last message has a length divisible by three."""
     echo = stubs.prompt_echo()
@@ -283,6 +300,7 @@ QUERIES = {
     "contexts": contexts,
     "cards": cards,
     "rag_answers": rag_answers,
+    "cell_answers": cell_answers,
     "failed_answers": failed_answers,
     "rephrased_answers": rephrased_answers,
     "retried_answers": retried_answers,
@@ -329,6 +347,8 @@ ORACLE = {
         'So, yeah. 2 messages, the last has ' || length(question) || ' characters' AS answer,
         n + 1 AS n_history, ids AS document_ids
         FROM lasts JOIN chats USING (conv_id) JOIN passages USING (conv_id)""",
+    "cell_answers": f"""WITH {HITS_SQL}, {_CHATS} SELECT conv_id AS qid, ids AS document_ids
+        FROM lasts JOIN chats USING (conv_id) JOIN passages USING (conv_id)""",
     "failed_answers": f"""WITH heard AS (SELECT * FROM conversations WHERE NOT (conv_id % 7 = 0 AND role = 'user')),
         said AS (SELECT conv_id, count(*) AS n, arg_max(text, turn) FILTER (role = 'user') AS question FROM heard GROUP BY conv_id)
         SELECT conv_id AS qid, CASE WHEN length(question) % 3 > 0 THEN
