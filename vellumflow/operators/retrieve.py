@@ -1,8 +1,7 @@
 """Similarity search for a whole table of questions.
 
 A few questions go to all tasks as one matrix, and the corpus passes by once.
-More are compared block against block: a block is one row holding the ids and
-vectors of a bounded number of rows, and blocks meet on an equal key. Either way
+More go to stripes of the corpus, which is shuffled once (``pruned``). Either way
 a task keeps only the best ``k`` per question while it reads, so no table of
 pairs ever exists.
 """
@@ -38,46 +37,6 @@ def _packed(rows: DataFrame, keys: list[str], id_col: str, vec: str, ids: str, v
     )
 
 
-def question_blocks(questions: DataFrame, qid: str, vec: str, n_questions: int, keys: list[str] | None = None) -> DataFrame:
-    """Questions in blocks of about ``QUESTION_BLOCK`` rows (per value of ``keys``)."""
-    n_blocks = max(1, -(-n_questions // QUESTION_BLOCK))
-    spread = questions.where(F.col(vec).isNotNull()).withColumn(
-        "qblock", F.pmod(F.xxhash64(F.col(qid)), F.lit(n_blocks)).cast("int")
-    )
-    return _packed(spread, [*(keys or []), "qblock"], qid, vec, "qids", "qvecs")
-
-
-def corpus_blocks(corpus: DataFrame, id_col: str, vec: str) -> DataFrame:
-    """Corpus rows in blocks, made where the rows are: no shuffle."""
-    source = corpus.where(F.col(vec).isNotNull()).select(id_col, vec)
-    schema = T.StructType(
-        [T.StructField("ids", T.ArrayType(source.schema[id_col].dataType)), T.StructField("vecs", source.schema[vec].dataType)]
-    )
-
-    def one(ids: list[pa.Array], vecs: list[pa.Array]) -> pa.RecordBatch:
-        columns = []
-        for parts in (ids, [v.flatten() for v in vecs]):
-            values = pa.concat_arrays(parts)
-            columns.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
-        return pa.RecordBatch.from_arrays(columns, ["ids", "vecs"])
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, vecs, held = [], [], 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, CORPUS_BLOCK):
-                part = batch.slice(at, CORPUS_BLOCK)
-                ids.append(part.column(0))
-                vecs.append(part.column(1))
-                held += part.num_rows
-                if held >= CORPUS_BLOCK:
-                    yield one(ids, vecs)
-                    ids, vecs, held = [], [], 0
-        if held:
-            yield one(ids, vecs)
-
-    return source.mapInArrow(pack, schema)
-
-
 def _unit(flat: np.ndarray, n: int) -> np.ndarray:
     rows = flat.astype(np.float64).reshape(n, -1)
     norms = np.linalg.norm(rows, axis=1, keepdims=True)
@@ -123,7 +82,7 @@ class _Running:
 
     def out(self) -> Iterator[pa.RecordBatch]:
         for tile, best in enumerate(self.best):
-            if best is not None:
+            if best is not None and len(best[0]):
                 q, ids, scores = best
                 yield pa.RecordBatch.from_arrays([pa.array(self.qids[tile * TILE + q]), pa.array(ids), pa.array(scores)], ["qid", "id", "score"])
 
@@ -205,22 +164,16 @@ def exact_hits(
     ``where`` filters the corpus before scoring and reaches its scan. While the
     questions are small they go to every task as one matrix: the corpus is read
     once, nothing of it is moved, and a task gives ``k`` rows for each question.
-    Beyond that blocks of both sides are shuffled on question block and stripe.
+    Beyond that the corpus is shuffled once, to stripes that only those questions reach which can have a hit there.
     """
     n, width = _width(questions, vec)
     if where is not None:
         corpus = corpus.where(where)
     if n * (width * 4 + 16) <= broadcast_bytes:
         return ranked(_one_pass(questions, corpus, k, threshold, qid, id_col, vec), k)
-    asked = question_blocks(questions, qid, vec, n)
-    n_blocks = max(1, -(-n // QUESTION_BLOCK))
-    every_block = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("qblock")
-    blocks = corpus_blocks(corpus, id_col, vec)
-    stripes = int(questions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    striped = blocks.withColumn("stripe", F.pmod(F.xxhash64("ids"), F.lit(stripes)).cast("int"))
-    copies = asked.select("*", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))).alias("stripe"))
-    pairs = striped.select("*", every_block).join(copies.hint("merge"), ["qblock", "stripe"])
-    return ranked(_block_hits(pairs, k, threshold), k)
+    from vellumflow.operators.pruned import pruned_hits  # it builds on this module
+
+    return pruned_hits(questions, corpus, k, threshold, qid=qid, id_col=id_col, vec=vec)
 
 
 def with_rows(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumflow.functions import stubs
-from vellumflow.operators import cells, coded, embed, retrieve, sync
+from vellumflow.operators import cells, coded, embed, pruned, retrieve, sync
 from vellumflow.plans.common import letters_sql, table, texts
 from vellumflow.session import few, new_folder, settled, stored
 
@@ -46,6 +46,11 @@ def topk_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(hits)
 
 
+def topk_striped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact search as for more questions than fit a broadcast."""
+    return shown(pruned.pruned_hits(_questions(spark, sf_dir), _vectors(spark, sf_dir), K))
+
+
 def topk_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _vectors(spark, sf_dir)
     pivots = cells.choose_pivots(vectors, PIVOTS)
@@ -170,6 +175,7 @@ QUERIES = {
     "topk_exact": topk_exact,
     "topk_threshold": topk_threshold,
     "topk_filtered": topk_filtered,
+    "topk_striped": topk_striped,
     "topk_ann": topk_ann,
     "ann_recall": ann_recall,
     "coded_recall": coded_recall,
@@ -213,6 +219,7 @@ ORACLE = {
     "topk_exact": _topk(K),
     "topk_threshold": _topk(5, threshold=0.4),
     "topk_filtered": _topk(K, "label IN (1, 3, 5)"),
+    "topk_striped": _topk(K),
     "topk_ann": f"WITH {_ANN} SELECT qid, id, rank, round(s, 4) AS score FROM annbest WHERE rank <= {K}",
     "ann_recall": f"""WITH {_ANN}, exact AS (
         SELECT qid, id FROM (SELECT q.vec_id AS qid, c.vec_id AS id, row_number() OVER (PARTITION BY q.vec_id
