@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumflow.functions import stubs
-from vellumflow.operators import cells, coded, embed, pruned, retrieve, sync
+from vellumflow.operators import align, cells, coded, embed, pruned, retrieve, sync
 from vellumflow.plans.common import letters_sql, table, texts
 from vellumflow.session import few, new_folder, settled, stored
 
@@ -171,6 +171,26 @@ def synced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return now.select("id", F.md5("text").alias("text_md5"), F.get("embedding", F.lit(4)).cast("bigint").alias("e"))
 
 
+def _lines(docs: DataFrame, lines: Column) -> DataFrame:
+    """Every line of a document as a chunk whose id tells its place."""
+    rows = docs.select(F.col("doc_id").cast("string").alias("input_hash"), F.posexplode(lines).alias("position", "text"))
+    return rows.withColumn("id", F.md5(F.concat_ws("/", "input_hash", F.col("position").cast("string")).cast("binary")))
+
+
+def aligned_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of documents before and after a new first line and, in every third document, the loss of the last one."""
+    docs = table(spark, sf_dir, "documents")
+    lines = F.split(F.coalesce("text", F.lit("")), "\n")
+    left = F.when(F.col("doc_id") % 3 == 0, F.slice(lines, F.lit(1), F.size(lines) - 1)).otherwise(lines)
+    old, new = _lines(docs, lines), _lines(docs, F.concat(F.array(F.lit("A line that no document had.")), left))
+    found = align.align(old, new)
+    count = lambda *kinds: F.count(F.when(F.col("change").isin(*kinds), True))
+    moved = F.count(F.when(F.col("change") == "move", True)).alias("moved")
+    return found.groupBy("document").agg(
+        count("keep").alias("kept"), moved, count("insert").alias("inserted"), count("delete").alias("deleted"), F.countDistinct("id").alias("ids")
+    )
+
+
 QUERIES = {
     "topk_exact": topk_exact,
     "topk_threshold": topk_threshold,
@@ -184,6 +204,7 @@ QUERIES = {
     "embedded_documents": embedded_documents,
     "text_search": text_search,
     "change_set": change_set,
+    "aligned_chunks": aligned_chunks,
     "upserted": upserted,
     "synced": synced,
 }
@@ -242,6 +263,8 @@ ORACLE = {
         CASE WHEN o.id IS NULL THEN 'insert' WHEN n.id IS NULL THEN 'delete' ELSE 'update' END AS change
         FROM old o FULL JOIN new n ON o.id = n.id
         WHERE o.id IS NULL OR n.id IS NULL OR o.text IS DISTINCT FROM n.text OR o.source IS DISTINCT FROM n.source""",
+    "aligned_chunks": r"""SELECT CAST(doc_id AS VARCHAR) AS document, n - lost AS kept, 0 AS moved, 1 AS inserted, lost AS deleted, n + 1 AS ids
+        FROM (SELECT doc_id, len(string_split(coalesce(text, ''), chr(10))) AS n, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS lost FROM documents)""",
     "upserted": f"WITH {_VERSIONS} SELECT id, md5(text) AS text_md5, source FROM new",
     "synced": f"""WITH {_VERSIONS} SELECT id, md5(text) AS text_md5,
         length(lower(text)) - length(replace(lower(text), 'e', '')) AS e FROM new""",
