@@ -11,7 +11,7 @@ from vellumflow.functions import refs, stubs, templates
 from vellumflow.operators import chunking, enrich, graph
 from vellumflow.plans.common import ITEMS_SQL, TEXT_CHUNKS_SQL, W, document_layout, flat, table, texts
 from vellumflow.session import new_folder, settled
-from vellumflow.sources import drivers, files, store
+from vellumflow.sources import drivers, files, landing, store
 from vellumflow.sources.html_layout import html_layout, html_seconds, register_html_items
 from vellumflow.sources.text_layout import flat_items, nested_items
 
@@ -50,6 +50,16 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settled(written.select("document_name", "downloaded"))
 
 
+def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page landed through the sink, on a path with a scheme, and read back."""
+    folder = new_folder(spark, "landing")
+    folder = folder if "://" in folder else "file://" + folder.removeprefix("file:")
+    name = F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".html"))
+    landing.land(texts(spark, sf_dir, "pages", "page_id").select(name.alias("name"), F.col("html").cast("binary").alias("bytes")), folder)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return found.select(F.regexp_extract("path", "pages/[0-9]+[.]html$", 0).alias("name"), F.md5("content").alias("body_md5"))
+
+
 def folder_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "scan").removeprefix("file:")
     suffix = F.when(F.startswith("url", F.lit("https")), F.lit(".pdf")).otherwise(F.lit(".PDF"))
@@ -380,6 +390,7 @@ QUERIES = {
     "driver_list": driver_list,
     "fetched": fetched,
     "landed": landed,
+    "landed_files": landed_files,
     "folder_scan": folder_scan,
     "paths": paths,
     "pending_documents": pending_documents,
@@ -477,6 +488,7 @@ ORACLE = {
     "fetched": """SELECT 'page-' || page_id AS document_name, CASE WHEN contains(url, '#') THEN 404 ELSE 200 END AS status,
         CASE WHEN contains(url, '#') THEN NULL ELSE md5('body of ' || url) END AS body_md5 FROM pages""",
     "landed": "SELECT 'page-' || page_id AS document_name, NOT contains(url, '#') AS downloaded FROM pages",
+    "landed_files": "SELECT 'pages/' || page_id || '.html' AS name, md5(html) AS body_md5 FROM pages WHERE html IS NOT NULL",
     "folder_scan": """SELECT page_id || '.pdf' AS filename, octet_length(encode(html)) AS size, md5(html) AS content_md5
         FROM pages WHERE url LIKE 'https%'""",
     "paths": """SELECT h AS input_hash, '/volumes/silver/' || h AS output_path,

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import urllib.error
 import urllib.request
-import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumflow import schemas
+from vellumflow.sources.landing import place
 
 # Makes a fetcher in the task: a function from a URL to (status, body).
 FetcherFactory = Callable[[], Callable[[str], tuple[int, bytes | None]]]
@@ -75,7 +74,7 @@ def landing_path(folder: str, title: Column, suffix: str = ".pdf") -> Column:
 
 
 def write_files(rows: DataFrame, path: Column, payload: Column, into: str = "downloaded") -> DataFrame:
-    """Write ``payload`` to ``path`` on a mounted shared folder; ``into`` tells whether it was written.
+    """Write ``payload`` to ``path``, on a mounted shared folder or the file system that its scheme names; ``into`` tells whether it was written.
 
     Rows without bytes are not written. A file appears whole or not at all, so a
     retried task does no harm.
@@ -86,15 +85,8 @@ def write_files(rows: DataFrame, path: Column, payload: Column, into: str = "dow
         for paths, bodies in batches:
             done = []
             for target, body in zip(paths, bodies):
-                if target is not None and ":" in target.split("/")[0]:
-                    # Each machine would write a folder of that name on its own disk.
-                    raise ValueError(f"not a path on a mounted folder: {target}")
                 if body is not None and target is not None:
-                    os.makedirs(os.path.dirname(target), exist_ok=True)
-                    part = f"{os.path.dirname(target)}/.{uuid.uuid4().hex}"
-                    with open(part, "wb") as out:
-                        out.write(body)
-                    os.replace(part, target)
+                    place(target, body)
                 done.append(body is not None and target is not None)
             yield pd.Series(done, index=paths.index)
 
