@@ -2,11 +2,13 @@
 
 import base64
 import hashlib
+import os
 
 import brute
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyspark
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -286,6 +288,35 @@ def test_licences(spark):
     assert made[4] == (None, 2, ["CC-BY-NC-4.0", "MIT"])
 
 
+FILES = "/usr/share/common-licenses"
+FILE_NAMES = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0", "BSD": "BSD-3-Clause"}
+
+
+def test_published_licence_files(spark):
+    """Whole files with titles, owners, comment marks and other line ends; digests of long ones need the files of this system."""
+    own = os.path.join(os.path.dirname(pyspark.__file__), "licenses")
+    found = [("MIT", f"{own}/LICENSE-bootstrap.txt"), ("ISC", f"{own}/LICENSE-d3.min.js.txt"), ("CC0-1.0", f"{own}/LICENSE-CC0.txt")]
+    found += [(name, f"{FILES}/{file}") for file, name in FILE_NAMES.items()]
+    files = [(name, open(path, encoding="utf-8").read()) for name, path in found if os.path.exists(path)]
+    bsd = "The BSD 3-Clause License\n\nCopyright (c) 2020, Somebody\nAll rights reserved.\n\n"
+    files += [("BSD-3-Clause", bsd + licenses._bsd(3, ["*", "*", "*"])), ("BSD-2-Clause", "BSD 2-Clause \"Simplified\" License\n" + licenses._bsd(2, ["1.", "2."]))]
+    files += [("MIT", "The MIT License (MIT)\n=====================\n\nCopyright © 2020 Somebody\n\n" + licenses.KNOWN[0][1].replace('"', "”")), ("Unlicense", licenses.UNLICENSE + "<https://unlicense.org>")]
+    files += [(name, "# " + text.replace("\n", "\r\n# ")) for name, text in files] + [(None, "MIT License\n\nand other words"), (None, "MIT License")]
+    df = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(files)], "doc_id int, text string")
+    made = {r["doc_id"]: r["license"] for r in licenses.scan(df).collect()}
+    assert made == {i: name for i, (name, _) in enumerate(files)}
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    assert {r[0]: r[2] for r in con.sql(queries.OP6_SQL).fetchall()} == made
+
+
+def test_licences_of_a_table(spark):
+    known = spark.createDataFrame([("B", "All words\nof this"), ("A", "ALL WORDS, of this!"), ("C", "other")], "license string, text string")
+    df = spark.createDataFrame([(1, "all words of this"), (2, "x\nother"), (3, None)], "doc_id int, text string")
+    made = {r["doc_id"]: (r["license"], r["notices"]) for r in licenses.scan(df, known).collect()}
+    assert made == {1: ("A", ["A"]), 2: (None, ["C"]), 3: (None, [])}
+
+
 def test_empty_tables(none, spark):
     assert sharding.shards(none).count() == 0
     assert bpe.encode(none, queries.MULTI, public_tokenizers.PATTERN).count() == 0

@@ -123,17 +123,22 @@ FROM cut"""
 
 def _canonical_sql(text: str) -> str:
     out = f"translate({text}, '{licenses.UPPER}', '{licenses.LOWER}')"
-    out = rf"regexp_replace({out}, '(?m)^[ \t*#/;-]*{licenses.OWNER}[^\n]*$', '', 'g')"
-    out = rf"' ' || regexp_replace({out}, '[\x00-/:-@\[-`{{-\x7f]+', ' ', 'g') || ' '"
+    lines = rf"(?m)^{licenses.MARGIN}(?:{licenses.OWNER}[^\n]*|{licenses.TITLE})$".replace("'", "''")
+    out = f"regexp_replace({out}, '{lines}', '', 'g')"
+    out = f"' ' || regexp_replace({out}, '{licenses.SIGNS}', ' ', 'g') || ' '"
     for old, new in licenses.SAME:
         out = f"replace({out}, ' {old} ', ' {new} ')"
     return f"trim(regexp_replace({out}, ' +', ' ', 'g'))"
 
 
+_DIGESTS_SQL = ", ".join(f"({len(licenses.KNOWN) + i}, '{a}', '{b}')" for i, (a, b) in enumerate(licenses.DIGESTS))
 _KNOWN_SQL = ", ".join("({}, '{}', '{}')".format(i, a, b.replace("'", "''")) for i, (a, b) in enumerate(licenses.KNOWN))
 OP6_SQL = f"""
 WITH known AS (
-  SELECT md5({_canonical_sql("t")}) AS digest, arg_min(name, i) AS license FROM (VALUES {_KNOWN_SQL}) v(i, name, t) GROUP BY 1
+  SELECT digest, arg_min(name, i) AS license FROM (
+    SELECT i, name, md5({_canonical_sql("t")}) AS digest FROM (VALUES {_KNOWN_SQL}) v(i, name, t)
+    UNION ALL SELECT * FROM (VALUES {_DIGESTS_SQL}) w(i, name, digest)
+  ) GROUP BY 1
 ), lines AS (
   SELECT doc_id, md5({_canonical_sql("line")}) AS digest FROM (
     SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents
