@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import random
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumflow.functions import stubs, templates
-from vellumflow.operators import answer, cells, chat, embed, retrieve, rounds
+from vellumflow.operators import answer, cells, chat, deferred, embed, retrieve, rounds
 from vellumflow.operators.models import RateLimited, Retry
 from vellumflow.plans.common import letters_sql, table
 from vellumflow.plans.retrieval import text_corpus
@@ -218,6 +219,25 @@ def retried_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("conv_id", "reply", "error", F.size("messages").cast("bigint").alias("n_messages"))
 
 
+def crowded_describer():
+    """Describes texts by their size, but refuses every twentieth call, as a busy service would."""
+    describe = stubs.size_describer()
+
+    def call(texts: list[str]) -> list[str]:
+        if random.random() < 0.05:
+            raise RateLimited("busy")
+        return describe(texts)
+
+    return call
+
+
+def replies_in_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Descriptions of all documents; what is refused comes back in a later round."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = deferred.replies(docs, F.col("text"), crowded_describer, deferred.Rounds(attempts=10, first_wait=0.01, patience=1000), most=64)
+    return done.select("doc_id", F.col("reply.text").alias("description"), F.col("reply.error").alias("error"))
+
+
 # --- rounds -----------------------------------------------------------------------------------
 
 
@@ -301,6 +321,7 @@ QUERIES = {
     "cards": cards,
     "rag_answers": rag_answers,
     "cell_answers": cell_answers,
+    "replies_in_rounds": replies_in_rounds,
     "failed_answers": failed_answers,
     "rephrased_answers": rephrased_answers,
     "retried_answers": retried_answers,
@@ -359,6 +380,8 @@ ORACLE = {
         'So, yeah. ' || (n + 1) || ' messages, the last has ' || length(last_text) || ' characters' AS question FROM chats)
         SELECT conv_id AS qid, question, 'So, yeah. 2 messages, the last has ' || length(question) || ' characters' AS answer,
         n + 2 AS n_history FROM asked""",
+    "replies_in_rounds": """SELECT doc_id, length(text) || ' characters in ' || (length(text) - length(replace(text, chr(10), '')) + 1) || ' lines' AS description,
+        CAST(NULL AS VARCHAR) AS error FROM documents""",
     "retried_answers": f"""WITH {_LAST}, {_CHATS} SELECT conv_id,
         'So, yeah. 2 messages, the last has ' || length(question) || ' characters' AS reply, CAST(NULL AS VARCHAR) AS error,
         n + 1 AS n_messages FROM lasts JOIN chats USING (conv_id) WHERE question IS NOT NULL""",
