@@ -11,9 +11,9 @@ from vellumflow.functions import refs, stubs, templates
 from vellumflow.operators import chunking, enrich, graph
 from vellumflow.plans.common import ITEMS_SQL, TEXT_CHUNKS_SQL, W, document_layout, flat, table, texts
 from vellumflow.session import new_folder, settled
-from vellumflow.sources import drivers, files, landing, store
+from vellumflow.sources import conversions, drivers, files, landing, store
 from vellumflow.sources.html_layout import html_layout, html_seconds, register_html_items
-from vellumflow.sources.text_layout import flat_items, nested_items
+from vellumflow.sources.text_layout import flat_items, nested_items, text_layout
 
 MODEL = "size-describer"
 
@@ -91,6 +91,26 @@ def reused_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.reused(_keyed(spark, sf_dir, "documents"), _keyed(spark, sf_dir, "labels"))
 
 
+def _convert_text(docs: DataFrame) -> DataFrame:
+    return text_layout(docs, F.col("input_hash"), F.col("filename"), size="n_chars")
+
+
+def _convert_late(docs: DataFrame) -> DataFrame:
+    return _convert_text(docs.withColumn("filename", F.concat(F.lit("late "), "filename")))
+
+
+def converted_or_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents are converted first; then all are asked for, and only the others are converted."""
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
+    docs = texts(spark, sf_dir, "documents", "doc_id").withColumn("filename", name)
+    docs = docs.withColumn("input_hash", F.md5(F.concat(F.lit("/documents/"), "filename")))
+    path = new_folder(spark, "conversions")
+    labelled = docs.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+    conversions.convert_or_load(labelled, path, _convert_text)
+    items = flat_items(conversions.convert_or_load(docs, path, _convert_late))
+    return items.select("input_hash", "filename", F.col("seq").cast("bigint").alias("seq"), "ref", "label", "text")
+
+
 # --- layout ------------------------------------------------------------------------------
 
 
@@ -395,6 +415,7 @@ QUERIES = {
     "paths": paths,
     "pending_documents": pending_documents,
     "reused_documents": reused_documents,
+    "converted_or_loaded": converted_or_loaded,
     "text_items": text_items,
     "html_items": html_items,
     "html_text_chunks": html_text_chunks,
@@ -498,6 +519,8 @@ ORACLE = {
         WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
     "reused_documents": """SELECT doc_id, md5(CAST(doc_id AS VARCHAR)) AS input_hash FROM documents
         WHERE doc_id IN (SELECT doc_id FROM labels)""",
+    "converted_or_loaded": f"""WITH {ITEMS_SQL} SELECT input_hash,
+        CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN '' ELSE 'late ' END || filename AS filename, seq, ref, label, text FROM items""",
     "text_items": f"WITH {ITEMS_SQL} SELECT input_hash, filename, seq, ref, label, page, text FROM items",
     "html_items": f"""WITH {_HTML_SQL} SELECT input_hash, filename, seq, '#/texts/' || seq AS ref, label,
         first_value(text) OVER (PARTITION BY page_id ORDER BY seq) AS headings, text FROM htmlitems""",
