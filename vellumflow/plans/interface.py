@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumflow.functions import porter, text
+from vellumflow.operators import dictionary
 from vellumflow.operators import highlight as marks
 from vellumflow.plans.common import L, W, table, texts
 
@@ -53,7 +54,15 @@ def highlight_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "highlighted")
 
 
+def highlighted_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same marks, with each distinct word stemmed once."""
+    rows = _paired(spark, sf_dir).withColumn("text", text.clean(F.col("text")))
+    done = dictionary.highlight(rows, "doc_id", "text", "query", dictionary.stem_table(rows, ["text", "query"]))
+    return done.select("doc_id", "highlighted")
+
+
 QUERIES = {
+    "highlighted_by_table": highlighted_by_table,
     "clean_text": clean_text,
     "tokens": tokens,
     "query_terms": query_terms,
@@ -161,6 +170,7 @@ _HIGHLIGHT_SQL = f"""WITH n AS (SELECT count(*) AS n FROM benchmark), qs AS (
 ORACLE = {
     "stems": _STEMS_SQL,
     "highlight": _HIGHLIGHT_SQL,
+    "highlighted_by_table": _HIGHLIGHT_SQL,
     "clean_text": rf"""SELECT doc_id, trim(regexp_replace(regexp_replace(text, '[^a-zA-Z0-9{W}]', '', 'g'), '[{W}]+', ' ', 'g'))
         AS cleaned FROM documents""",
     "tokens": f"""SELECT doc_id, len(t) AS n_tokens, len(list_distinct(t)) AS n_distinct, array_to_string(t, '') = text AS lossless
