@@ -133,8 +133,8 @@ def test_packing_against_the_plain_rule(spark):
             words = " ".join(f"w{seq}" for _ in range(counts[-1][1]))
             made.append(item(f"doc{d}", seq, "text", words, run=run))
         expected[f"doc{d}"] = sorted([f"#/texts/{i}" for i in c] for c in pack(counts, limit))
-    for segment_items in (4096, 7, 1):
-        chunks = chunking.text_chunks(layout(spark, made, segment_items), limit).collect()
+    for segment_items, block in ((4096, None), (7, None), (1, 3)):
+        chunks = chunking.text_chunks(layout(spark, made, segment_items), limit, block=block).collect()
         got = {}
         for c in chunks:
             got.setdefault(c.input_hash, []).append(list(c.doc_refs))

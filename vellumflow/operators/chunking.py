@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vellumflow import schemas
 from vellumflow.functions import refs, templates
 from vellumflow.functions.text import SPACED_TERMS_SQL, TRIMMED_SQL
+from vellumflow.operators import scan
 
 # Labels that never become body text.
 NOT_BODY = [
@@ -82,37 +83,47 @@ def _exits(max_tokens: int) -> Column:
           s -> named_struct('n', s.n, 'cut', s.cut)))""")
 
 
-def _entries(pieced: DataFrame, max_tokens: int) -> DataFrame:
+# A row of the scan over segments holds at most so many bytes of maps.
+SCAN_BYTES = 1 << 20
+
+
+def _entries(pieced: DataFrame, max_tokens: int, block: int, levels: int) -> DataFrame:
     """State in which each segment of a long document is entered.
 
     Each segment is first reduced to a small map from entry to exit state, so
     that only these maps, never the texts, are composed along a document.
     """
-    maps = pieced.where(F.size("pieces") > 0).select(
-        "input_hash",
-        "seg",
-        F.expr("pieces[0].run").alias("first_run"),
-        F.expr("element_at(pieces, -1).run").alias("last_run"),
-        _exits(max_tokens).alias("exits"),
+    maps = (
+        pieced.where(F.size("pieces") > 0)
+        .select("input_hash", "seg", "pieces", _exits(max_tokens).alias("exits"))
+        .select(
+            "input_hash",
+            F.col("seg").alias("at"),
+            F.expr("""named_struct('first_run', pieces[0].run, 'last_run', element_at(pieces, -1).run,
+                'n', transform(exits, e -> e.n), 'seg', transform(exits, e -> IF(e.cut >= 0, seg, -1)),
+                'i', transform(exits, e -> e.cut))""").alias("m"),
+        )
     )
     # A chunk of other headings cannot go on, which is the same as a full one.
-    gone = f"element_at(m.exits, IF(s.run = m.first_run, s.n, {max_tokens}) + 1)"
-    folded = F.expr(f"""
-        aggregate(ms,
-          named_struct('n', {max_tokens}, 'run', -2, 'open_seg', -1, 'open_i', -1,
-            'seen', CAST(array() AS ARRAY<STRUCT<seg: INT, open_n: INT, open_run: INT, open_seg: INT, open_i: INT>>)),
-          (s, m) -> named_struct(
-            'n', {gone}.n,
-            'run', m.last_run,
-            'open_seg', IF({gone}.cut >= 0, m.seg, s.open_seg),
-            'open_i', IF({gone}.cut >= 0, {gone}.cut, s.open_i),
-            'seen', concat(s.seen, array(named_struct(
-              'seg', m.seg, 'open_n', s.n, 'open_run', s.run, 'open_seg', s.open_seg, 'open_i', s.open_i)))),
-          s -> s.seen)""")
-    return (
-        maps.groupBy("input_hash")
-        .agg(F.expr(f"{_IN_ORDER.format(rows='collect_list(struct(seg, first_run, last_run, exits))')} AS ms"))
-        .select("input_hash", F.inline(folded))
+    gone = f"IF({{s}}.run = {{m}}.first_run, {{s}}.n, {max_tokens}) + 1"
+    met = f"IF({{a}}.last_run = {{b}}.first_run, v, {max_tokens}) + 1"
+    later = lambda name: (
+        f"transform({{a}}.n, (v, j) -> IF(element_at({{b}}.i, {met}) >= 0, element_at({{b}}.{name}, {met}), {{a}}.{name}[j]))"
+    )
+    opened = lambda name: f"IF(element_at({{m}}.i, {gone}) >= 0, element_at({{m}}.{name}, {gone}), {{s}}.open_{name})"
+    states = scan.states_before(
+        maps,
+        "input_hash",
+        start=f"named_struct('n', {max_tokens}, 'run', -2, 'open_seg', -1, 'open_i', -1)",
+        after=f"named_struct('n', element_at({{m}}.n, {gone}), 'run', {{m}}.last_run,"
+        f" 'open_seg', {opened('seg')}, 'open_i', {opened('i')})",
+        compose=f"named_struct('first_run', {{a}}.first_run, 'last_run', {{b}}.last_run,"
+        f" 'n', transform({{a}}.n, v -> element_at({{b}}.n, {met})), 'seg', {later('seg')}, 'i', {later('i')})",
+        block=block,
+        levels=levels,
+    )
+    return states.selectExpr(
+        "input_hash", "at AS seg", "s.n AS open_n", "s.run AS open_run", "s.open_seg AS open_seg", "s.open_i AS open_i"
     )
 
 
@@ -130,25 +141,34 @@ def _parts(cut: DataFrame) -> DataFrame:
     )
 
 
-def text_chunks(layout: DataFrame, max_tokens: int = DEFAULT_MAX_TOKENS, terms: str = SPACED_TERMS_SQL) -> DataFrame:
+def text_chunks(
+    layout: DataFrame, max_tokens: int = DEFAULT_MAX_TOKENS, terms: str = SPACED_TERMS_SQL, block: int | None = None
+) -> DataFrame:
     """Pack body items under one heading into chunks of at most ``max_tokens`` tokens.
 
     ``terms`` is the token counter: SQL that turns ``{text}`` into an array of
     tokens, which joined give the text back.
 
     A document of one segment is packed inside its row. A longer one is packed
-    per segment, after the state at each segment border has been worked out.
+    per segment, after the state at each segment border has been worked out by a
+    scan over blocks of ``block`` segments (by default as many as fit a row of 1 MB),
+    in as many levels as the longest document needs. Give it a stored layout: a
+    first small job looks at ``n_segs`` of long documents.
     """
     pieced = layout.select("input_hash", "filename", "seg", "n_segs", _pieces(max_tokens, terms).alias("pieces"))
 
     fresh = [f"{max_tokens} AS open_n", "-2 AS open_run", "-1 AS open_seg", "-1 AS open_i"]
     short = pieced.where("n_segs = 1").selectExpr("*", *fresh).withColumn("cuts", _cuts(max_tokens))
     short_chunks = _parts(short).select("input_hash", "filename", "open_seg", "open_i", "ps")
+    most = scan.longest(layout)
+    if most <= 1:
+        return _as_text_chunk(short_chunks)
 
+    block = block or max(2, min(scan.BLOCK, SCAN_BYTES // (12 * (max_tokens + 1))))
     long = pieced.where("n_segs > 1")
-    entered = long.join(_entries(long, max_tokens), ["input_hash", "seg"]).withColumn("cuts", _cuts(max_tokens))
+    entered = long.join(_entries(long, max_tokens, block, scan.levels_for(most, block)), ["input_hash", "seg"])
     long_chunks = (
-        _parts(entered)
+        _parts(entered.withColumn("cuts", _cuts(max_tokens)))
         .groupBy("input_hash", "filename", "open_seg", "open_i")
         .agg(F.expr(f"flatten(transform({_IN_ORDER.format(rows='collect_list(struct(seg, ps))')}, x -> x.ps)) AS ps"))
     )
