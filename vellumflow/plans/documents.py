@@ -11,7 +11,7 @@ from vellumflow.functions import refs, stubs, templates
 from vellumflow.operators import chunking, enrich, graph
 from vellumflow.plans.common import ITEMS_SQL, TEXT_CHUNKS_SQL, W, document_layout, flat, table, texts
 from vellumflow.session import new_folder, settled
-from vellumflow.sources import conversions, drivers, files, landing, store
+from vellumflow.sources import conversions, drivers, files, landing, store, structure
 from vellumflow.sources.html_layout import html_layout, html_seconds, register_html_items
 from vellumflow.sources.text_layout import flat_items, nested_items, text_layout
 
@@ -149,6 +149,33 @@ def heading_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.heading_in_force(items).select("input_hash", F.col("seq").cast("bigint").alias("seq"), "heading")
 
 
+def _structured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = texts(spark, sf_dir, "documents", "doc_id")
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
+    path = new_folder(spark, "structured")
+    laid = structure.structured_layout(docs, F.md5(F.concat(F.lit("/documents/"), name)), name, size="n_chars")
+    store.save_layout(laid, path)
+    return store.load_layout(spark, path)
+
+
+def structured_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of the documents with the headings that the shape of their lines tells."""
+    items = flat_items(_structured(spark, sf_dir))
+    return items.select("filename", F.col("seq").cast("bigint").alias("seq"), "ref", "label", F.col("level").cast("bigint").alias("level"),
+                        F.array_join("headings", "|").alias("headings"), F.col("run").cast("bigint").alias("run"), "text")
+
+
+def structured_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat(chunking.text_chunks(_structured(spark, sf_dir)).select("filename", "pages", "doc_refs", "headings", "text", "id"))
+
+
+def markdown_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages as Markdown, read back as plain text: headings are the same as in the page."""
+    texts_of = store.markdown(stored_layout(spark, sf_dir))
+    laid = structure.structured_layout(texts_of, F.col("input_hash"), F.col("filename"), text="markdown")
+    return flat_items(laid).select("filename", F.col("seq").cast("bigint").alias("seq"), F.array_join("headings", "|").alias("headings"), "text")
+
+
 def markdown_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.markdown(document_layout(spark, sf_dir)).select("filename", F.md5("markdown").alias("markdown_md5"),
                                                                  F.length("markdown").cast("bigint").alias("n_chars"))
@@ -417,6 +444,9 @@ QUERIES = {
     "reused_documents": reused_documents,
     "converted_or_loaded": converted_or_loaded,
     "text_items": text_items,
+    "structured_items": structured_items,
+    "structured_chunks": structured_chunks,
+    "markdown_structure": markdown_structure,
     "html_items": html_items,
     "html_text_chunks": html_text_chunks,
     "heading_in_force": heading_in_force,
@@ -468,6 +498,79 @@ articles AS (
   FROM plain WHERE text <> ''
 )"""
 
+_BLOCK_RE = structure.BLOCK.replace("++", "+")
+_LEVELS = range(1, 7)
+
+
+def _sql_re(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _newest(level: int) -> str:
+    return f"max(CASE WHEN kind = 'head' AND level = {level} THEN {{'seq': seq, 'text': text}} END) OVER before AS h{level}"
+
+
+def _still_open(level: int) -> str:
+    above = ", ".join(f"h{n}.seq" for n in range(1, level)) or "NULL"
+    return f"CASE WHEN h{level}.seq > coalesce(greatest({above}, -1), -1) THEN h{level} END"
+
+
+# A heading is in force until one of its level or a smaller one comes: of each level the newest counts.
+_STRUCTURED_SQL = f"""
+cutblocks AS (
+  SELECT doc_id, list_filter(regexp_extract_all(text, {_sql_re(_BLOCK_RE)}), lambda b: regexp_matches(b, '[^{W}]')) AS bl FROM documents
+), lined AS (
+  SELECT doc_id, unnest(bl) AS b, generate_subscripts(bl, 1) - 1 AS seq FROM cutblocks
+), matched AS (
+  SELECT *, contains(b, '|') AND NOT regexp_matches(b, {_sql_re('^' + structure.MARKED)}) AS is_table, length(b) <= {structure.HEADING_CHARS} AS short,
+         regexp_replace(b, {_sql_re(structure.ENDS)}, '', 'g') AS trimmed, regexp_replace(b, '\\n\\z', '') AS whole,
+         regexp_matches(b, {_sql_re(structure.UNDERLINED)}) AS underlined,
+         regexp_extract(b, {_sql_re(structure.HASHED)}, 2) <> '' AS hashed,
+         regexp_matches(b, {_sql_re(structure.NUMBERED)}) AS numbered,
+         regexp_matches(b, {_sql_re(structure.NAMED)}) OR (regexp_matches(b, {_sql_re(structure.FOUR_CAPITALS)})
+             AND regexp_matches(b, {_sql_re(structure.NO_SMALL)})) AS named,
+         regexp_matches(b, {_sql_re(structure.LISTED)}) AS listed
+  FROM lined
+), shaped AS (
+  SELECT doc_id, seq, CASE WHEN is_table THEN 'table' WHEN short AND (underlined OR hashed OR numbered OR named) THEN 'head'
+              WHEN listed THEN 'list_item' ELSE 'text' END AS kind,
+         CASE WHEN is_table THEN 1
+              WHEN short AND underlined THEN CASE WHEN regexp_extract(b, {_sql_re(structure.UNDERLINED)}, 2) = '=' THEN 1 ELSE 2 END
+              WHEN short AND hashed THEN length(regexp_extract(b, {_sql_re(structure.HASHED)}, 1))
+              WHEN short AND numbered THEN least(6, len(string_split(regexp_extract(b, {_sql_re(structure.NUMBERED)}, 1), '.')))
+              WHEN short AND named THEN 1
+              WHEN listed THEN length(replace(regexp_extract(b, {_sql_re(structure.LISTED)}, 1), chr(9), '    ')) // {structure.INDENT} + 1
+              ELSE 1 END AS level,
+         CASE WHEN is_table THEN whole
+              WHEN short AND underlined THEN regexp_extract(b, {_sql_re(structure.UNDERLINED)}, 1)
+              WHEN short AND hashed THEN regexp_extract(b, {_sql_re(structure.HASHED)}, 2)
+              WHEN short AND (numbered OR named) THEN trimmed
+              WHEN listed THEN regexp_extract(b, {_sql_re(structure.LISTED)}, 2)
+              ELSE whole END AS text
+  FROM matched
+), newest AS (
+  SELECT *, {", ".join(_newest(n) for n in _LEVELS)} FROM shaped
+  WINDOW before AS (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), paths AS (
+  SELECT *, list_filter([{", ".join(_still_open(n) for n in _LEVELS)}], lambda h: h IS NOT NULL) AS path FROM newest
+), structured AS (
+  SELECT doc_id, md5('/documents/' || doc_id || '.txt') AS input_hash, doc_id || '.txt' AS filename, seq,
+         CASE WHEN kind = 'table' THEN '#/tables/' ELSE '#/texts/' END || seq AS ref,
+         CASE WHEN kind <> 'head' THEN kind WHEN level = 1 THEN 'title' ELSE 'section_header' END AS label, level,
+         CASE WHEN len(path) > 0 THEN array_to_string(list_transform(path, lambda h: h.text), '|') END AS headings,
+         coalesce(path[-1].seq, -1) AS run, seq // 40 + 1 AS page, text
+  FROM paths
+)"""
+# The packing rule where headings part the chunks.
+_HEADED_CHUNKS_SQL = (
+    TEXT_CHUNKS_SQL.replace("FROM items WHERE label = 'text'", "FROM structured WHERE label IN ('text', 'list_item')")
+    .replace("SELECT doc_id, input_hash, filename, seq, page, ref, j,", "SELECT doc_id, input_hash, filename, headings, run, seq, page, ref, j,")
+    .replace("SELECT doc_id, i, n AS open, i AS start FROM", "SELECT doc_id, i, n AS open, i AS start, run FROM")
+    .replace("CASE WHEN k.open + p.n > 200", "CASE WHEN k.run <> p.run OR k.open + p.n > 200")
+    .replace("ELSE k.start END\n", "ELSE k.start END, p.run\n")
+    .replace("any_value(filename) AS filename,", "any_value(filename) AS filename, any_value(headings) AS headings,")
+)
+
 _DESCRIBED_SQL = f"""
 described AS (
   SELECT input_hash, any_value(filename) AS filename, page, string_agg(text, {_NL} ORDER BY seq) AS payload,
@@ -522,6 +625,11 @@ ORACLE = {
     "converted_or_loaded": f"""WITH {ITEMS_SQL} SELECT input_hash,
         CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN '' ELSE 'late ' END || filename AS filename, seq, ref, label, text FROM items""",
     "text_items": f"WITH {ITEMS_SQL} SELECT input_hash, filename, seq, ref, label, page, text FROM items",
+    "structured_items": f"WITH {_STRUCTURED_SQL} SELECT filename, seq, ref, label, level, headings, run, text FROM structured",
+    "structured_chunks": f"""WITH RECURSIVE {_STRUCTURED_SQL}, {_HEADED_CHUNKS_SQL}
+        SELECT filename, pages, doc_refs, headings, text, id FROM textchunks""",
+    "markdown_structure": f"""WITH {_HTML_SQL} SELECT filename, seq,
+        first_value(text) OVER (PARTITION BY page_id ORDER BY seq) AS headings, text FROM htmlitems""",
     "html_items": f"""WITH {_HTML_SQL} SELECT input_hash, filename, seq, '#/texts/' || seq AS ref, label,
         first_value(text) OVER (PARTITION BY page_id ORDER BY seq) AS headings, text FROM htmlitems""",
     "html_text_chunks": f"""WITH RECURSIVE {_HTML_SQL}, items AS (

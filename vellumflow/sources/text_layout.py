@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,16 +49,20 @@ def text_layout(
     size: str | None = None,
     items_per_page: int = ITEMS_PER_PAGE,
     segment_items: int = SEGMENT_ITEMS,
+    pattern: str = ITEM,
+    shape: Callable[[Column, Column, int], Column] = _item,
 ) -> DataFrame:
     """One layout row per segment of at most ``segment_items`` items of each document in ``docs``.
 
+    ``pattern`` cuts a text into blocks, ``shape`` makes an item of a block, its number and the items of a page.
+
     A text too short for more items than one segment holds needs no look at its
     items to tell. ``size`` may name a stored length column: that split is then
     pushed down to the file scan.
     """
     length = F.col(size) if size else F.length(text)
     blocks = F.filter(
-        F.regexp_extract_all(F.col(text), F.lit(ITEM), F.lit(0)),
+        F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)),
         lambda b: F.regexp_like(b, F.lit(rf"[^{SPACE}]")),
     )
 
@@ -64,7 +70,7 @@ def text_layout(
         return part.select(
             key.alias("input_hash"),
             filename.alias("filename"),
-            F.transform(blocks, lambda b, i: _item(b, i, items_per_page)).alias("items"),
+            F.transform(blocks, lambda b, i: shape(b, i, items_per_page)).alias("items"),
         )
 
     # Every item has a character and, but for the last, a line break.
