@@ -75,7 +75,7 @@ def test_conversation_state_over_batches(spark, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
         stream = spark.readStream.schema(schema).parquet(f"{base}/in")
         jobs.conversation_stream(stream, f"{base}/state", f"{base}/ledger").awaitTermination()
-        jobs.history_stream(stream, f"{base}/store", f"{base}/full", f"{base}/ledger2").awaitTermination()
+        jobs.history_stream(stream, f"{base}/full", f"{base}/ledger2").awaitTermination()
         out = spark.read.option("basePath", f"{base}/state").parquet(f"{base}/state")
         full = spark.read.option("basePath", f"{base}/full").parquet(f"{base}/full")
         last = out.agg(F.max("batch")).first()[0]
@@ -87,6 +87,8 @@ def test_conversation_state_over_batches(spark, tmp_path):
     assert state == {1: (2, 1, "a"), 2: (1, 0, None)} and history == {1: ["a", "b"], 2: ["s"]}
     state, history = arrive([(1, 2, "human", "c")])
     assert state == {1: (3, 2, "c")} and history == {1: ["a", "b", "c"]}
+    held = {(r.conv_id, r.turn, r.role, r.content) for r in jobs.kept_histories(spark, f"{base}/ledger2").collect()}
+    assert held == {(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "human", "c"), (2, 0, "system", "s")}
     assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
 
 
@@ -119,3 +121,42 @@ def test_sync_stream_takes_the_newest_and_deletes(spark, tmp_path):
         stream = spark.readStream.schema(schema).parquet(source)
         jobs.sync_stream(stream, folder, stubs.letter_embedder, ["id", "text"], str(tmp_path / "ledger"), version="v", deleted="gone").awaitTermination()
     assert sorted((r.id, r.text) for r in sync.read_latest(spark, folder).collect()) == [(1, "b"), (3, "y")]
+
+
+def test_histories_of_late_empty_and_null_messages(spark, tmp_path):
+    """Late turns find their place, nulls stay nulls, and no batch reads what an earlier one wrote."""
+    import shutil
+
+    base, schema = str(tmp_path), "conv_id long, turn long, role string, content string"
+
+    def arrive(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{base}/in")
+        jobs.history_stream(stream, f"{base}/out", f"{base}/ledger").awaitTermination()
+        out = spark.read.schema(jobs.HISTORY).parquet(f"{base}/out/*").collect()
+        return {r.conv_id: [tuple(m) for m in r.messages] for r in out}
+
+    assert arrive([(1, 5, "user", "later"), (None, 0, "user", "nobody")]) == {1: [(5, "user", "later")], None: [(0, "user", "nobody")]}
+    shutil.move(f"{base}/out", f"{base}/gone")
+    long = "x" * 300_000
+    got = arrive([(1, 2, None, None), (1, None, "user", long), (1, 2, "user", "")])
+    assert got == {1: [(None, "user", long), (2, None, None), (2, "user", ""), (5, "user", "later")]}
+
+
+def test_silent_conversations_are_closed(spark, tmp_path):
+    import time
+
+    base, schema = str(tmp_path), "conv_id long, turn long, role string, content string"
+
+    def arrive(rows, idle_ms):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{base}/in")
+        jobs.history_stream(stream, f"{base}/out", f"{base}/ledger", idle_ms).awaitTermination()
+        out = spark.read.option("basePath", f"{base}/out").parquet(f"{base}/out")
+        last = out.agg(F.max("batch")).first()[0]
+        return {(r.conv_id, r.event): [m.content for m in r.messages] for r in out.where(F.col("batch") == last).collect()}
+
+    assert arrive([(1, 0, "user", "a")], 1000) == {(1, "history"): ["a"]}
+    time.sleep(2)
+    assert arrive([(2, 0, "user", "b")], 1000) == {(1, "closed"): ["a"], (2, "history"): ["b"]}
+    assert {r.conv_id for r in jobs.kept_histories(spark, f"{base}/ledger").collect()} == {2}

@@ -106,3 +106,11 @@ def test_segments_do_not_change_headings(spark):
         assert got == expected
     one, two = (sorted(map(str, chunking.text_chunks(x, 4).collect())) for x in (whole, cut))
     assert one == two
+
+
+def test_very_long_lines(spark):
+    """Lines of a megabyte are read in linear time, as text."""
+    line = "word " * 200_000
+    found = items(laid(spark, [("a", f"# Head\n{line}\n{'-' * 1_000_000}\n{'A' * 1_000_000}")]), "a")
+    assert [(x[0], len(x[2])) for x in found] == [("title", 4), ("text", 2_000_001), ("text", 1_000_000)]
+    assert all(x[3] == ["Head"] for x in found)

@@ -498,7 +498,7 @@ articles AS (
   FROM plain WHERE text <> ''
 )"""
 
-_BLOCK_RE = structure.BLOCK.replace("++", "+")
+_BLOCK_RE = structure.BLOCK.replace("++", "+").replace("*+", "*")
 _LEVELS = range(1, 7)
 
 

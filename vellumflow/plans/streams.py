@@ -100,8 +100,16 @@ def conversation_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def streamed_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = new_folder(spark, "histories")
-    jobs.history_stream(_message_stream(spark, sf_dir), f"{base}/store", f"{base}/out", f"{base}/ledger").awaitTermination()
-    return read_batches(spark, f"{base}/out").select("conv_id", F.to_json("messages").alias("messages"))
+    jobs.history_stream(_message_stream(spark, sf_dir), f"{base}/out", f"{base}/ledger").awaitTermination()
+    shown = F.transform("messages", lambda m: F.struct(m.role.alias("role"), m.content.alias("content")))
+    return read_batches(spark, f"{base}/out").select("conv_id", F.to_json(shown).alias("messages"))
+
+
+def histories_in_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages read back from the state of a stream that has stopped."""
+    base = new_folder(spark, "histories")
+    jobs.history_stream(_message_stream(spark, sf_dir), f"{base}/out", f"{base}/ledger").awaitTermination()
+    return jobs.kept_histories(spark, f"{base}/ledger")
 
 
 QUERIES = {
@@ -111,6 +119,7 @@ QUERIES = {
     "streamed_events": streamed_events,
     "conversation_state": conversation_state,
     "streamed_histories": streamed_histories,
+    "histories_in_state": histories_in_state,
 }
 
 ORACLE = {
@@ -130,4 +139,5 @@ ORACLE = {
         FROM conversations GROUP BY conv_id""",
     "streamed_histories": """SELECT conv_id, CAST(to_json(list({'role': role, 'content': text} ORDER BY turn)) AS VARCHAR) AS messages
         FROM conversations GROUP BY conv_id""",
+    "histories_in_state": "SELECT conv_id, CAST(turn AS BIGINT) AS turn, role, text AS content FROM conversations",
 }

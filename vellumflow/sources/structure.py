@@ -29,14 +29,15 @@ from vellumflow.sources import text_layout as plain
 HEADING_CHARS = 120
 INDENT = 2
 
-# A line and the rule below it are one block.
-_RULED = rf"[^\n|]*[^\n|{SPACE}][^\n|]*\n(?:={{3,}}|-{{3,}})[ \t]*(?:\n|\z)"
+# A line and the rule below it are one block. Repeats never give back what they took, so a line is read twice at most.
+_GAP = r"\t\x0b-\r\x1c-\x20\x85\p{Z}"
+_RULED = rf"[{_GAP}]*+[^\n|{SPACE}][^\n|]*+\n(?:={{3,}}|-{{3,}})[ \t]*(?:\n|\z)"
 MARKED = r"[ \t]*#{1,6}[ \t][^\n]*(?:\n|\z)"
 BLOCK = rf"{MARKED}|(?:[^\n|]*\|[^\n]*(?:\n|\z))++|{_RULED}|[^\n]+"
 
 # No pattern looks ahead or behind, so that SQL engines with plain regular expressions take them too.
 UNDERLINED = rf"^[{SPACE}]*([^\n]*[^\n{SPACE}])[{SPACE}]*\n([=-])[=-]*[ \t]*\n?\z"
-HASHED = rf"^[{SPACE}]*(#{{1,6}})[ \t]+([^\n]*?)[ \t]*#*[{SPACE}]*\z"
+HASHED = rf"^[{SPACE}]*(#{{1,6}})[ \t]+([^\n]*?)(?:[ \t]+#+)?[{SPACE}]*\z"
 NUMBERED = rf"^[{SPACE}]*([0-9]+(?:\.[0-9]+)+)\.?[ \t]+\p{{L}}[^\n]*[^\n{SPACE}.!?:;,][{SPACE}]*\z"
 NAMED = (
     rf"^[{SPACE}]*(?i:chapter|part|section|appendix)[ \t]+(?:[0-9]+|[A-Z]|[IVXLC]+)"

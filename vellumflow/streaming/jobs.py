@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from vellumflow.operators.chat import conversations
 from vellumflow.operators.embed import EmbedderFactory, embed
 from vellumflow.operators.retrieve import exact_hits
 from vellumflow.operators.sync import (
@@ -253,27 +252,107 @@ def conversation_stream(
     return _started_with(spark, {STATE_STORE: ROCKSDB, NO_DATA_BATCHES: "false"}, start)
 
 
-# Messages lie in so many folders by a hash of their conversation.
-HISTORY_BUCKETS = 64
+# --- histories held in state --------------------------------------------------------------------
+
+TURN = T.StructType([T.StructField("turn", T.LongType()), T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
+HISTORY = T.StructType(
+    [
+        T.StructField("conv_id", T.LongType()),
+        T.StructField("event", T.StringType()),
+        T.StructField("messages", T.ArrayType(TURN)),
+    ]
+)
 
 
-def history_stream(messages: DataFrame, store: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Rewrite form: the whole history of every conversation that got messages in a batch.
+class _History(StatefulProcessor):
+    """Per conversation: the list of its messages, appended to as they arrive, and a timer where it may fall silent.
 
-    Messages are stored by bucket of their conversation, and a batch reads only
-    the buckets that its conversations lie in.
+    The list lies in the state store message by message, so a batch adds only its
+    own; it is read whole only where the history is shown.
     """
-    bucket = F.pmod(F.xxhash64("conv_id"), F.lit(HISTORY_BUCKETS)).cast("int")
-    schema = T.StructType([*messages.schema.fields, T.StructField("batch", T.IntegerType()), T.StructField("bucket", T.IntegerType())])
+
+    def __init__(self, idle_ms: int | None) -> None:
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.turns = handle.getListState("turns", TURN)
+        self.due = handle.getValueState("due", T.StructType([T.StructField("at", T.LongType())]))
+
+    def _shown(self, key, event: str) -> pd.DataFrame:
+        kept = sorted(self.turns.get(), key=lambda t: (t[0] is not None, t[0] or 0))
+        messages = [dict(zip(TURN.fieldNames(), t)) for t in kept]
+        return pd.DataFrame({"conv_id": [key[0]], "event": [event], "messages": [messages]})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for part in rows:
+            plain = part[TURN.fieldNames()].astype(object).where(part[TURN.fieldNames()].notna(), None)
+            self.turns.appendList([(None if t is None else int(t), r, c) for t, r, c in plain.itertuples(index=False)])
+        if self.idle_ms:
+            if self.due.exists():
+                self.handle.deleteTimer(self.due.get()[0])
+            at = timerValues.getCurrentProcessingTimeInMs() + self.idle_ms
+            self.handle.registerTimer(at)
+            self.due.update((at,))
+        yield self._shown(key, "history")
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        last = self._shown(key, "closed")
+        self.turns.clear()
+        self.due.clear()
+        yield last
+
+    def close(self) -> None:
+        pass
+
+
+def history_stream(messages: DataFrame, out: str, checkpoint: str, idle_ms: int | None = None) -> StreamingQuery:
+    """Rewrite form: the whole history of every conversation that got messages in a batch, as ``(conv_id, event, messages)``.
+
+    Messages are kept in the state store; no batch reads what an earlier one
+    wrote. Messages are in order of ``turn`` (null first), those of equal turns in the order they came.
+    With ``idle_ms`` a conversation that was silent for so long is shown once more with the event ``closed`` and forgotten,
+    in the next batch that has rows. A checkpoint stays with or without ``idle_ms``, as it was begun.
+    """
+    spark = messages.sparkSession
+    histories = (
+        messages.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "content")
+        .groupBy("conv_id")
+        .transformWithStateInPandas(
+            statefulProcessor=_History(idle_ms),
+            outputStructType=HISTORY,
+            outputMode="Update",
+            timeMode="ProcessingTime" if idle_ms else "None",
+        )
+    )
 
     def each(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        batch.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/batch={number}")
-        stored = spark.read.schema(schema).option("basePath", store)
-        own = stored.parquet(f"{store}/batch={number}")
-        buckets = [r[0] for r in own.select("bucket").distinct().collect()]
-        seen = stored.parquet(store).where((F.col("batch") <= number) & F.col("bucket").isin(buckets))
-        touched_now = own.select("conv_id").distinct()
-        conversations(seen.join(touched_now, "conv_id", "left_semi")).write.mode("overwrite").parquet(f"{out}/batch={number}")
-
-    return _drain(messages, checkpoint, each)
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    def start() -> StreamingQuery:
+        return (
+            histories.writeStream.foreachBatch(each)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("update")
+            .trigger(availableNow=True)
+            .start()
+        )
+
+    return _started_with(spark, {STATE_STORE: ROCKSDB, NO_DATA_BATCHES: "false"}, start)
+
+
+def kept_histories(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Messages that a stopped ``history_stream`` holds, one row each, read from its state alone."""
+
+    def read() -> DataFrame:
+        state = (
+            spark.read.format("statestore").option("stateVarName", "turns").option("flattenCollectionTypes", True).load(checkpoint)
+        )
+        return state.select("key.conv_id", "list_element.turn", "list_element.role", "list_element.content")
+
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        return settled(read())
+    finally:
+        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
