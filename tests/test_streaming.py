@@ -160,3 +160,15 @@ def test_silent_conversations_are_closed(spark, tmp_path):
     time.sleep(2)
     assert arrive([(2, 0, "user", "b")], 1000) == {(1, "closed"): ["a"], (2, "history"): ["b"]}
     assert {r.conv_id for r in jobs.kept_histories(spark, f"{base}/ledger").collect()} == {2}
+
+
+def test_tables_of_many_files_and_of_one_as_streams(spark, sf_dir, tmp_path):
+    from vellumflow.plans import streams
+
+    tables = str(tmp_path)
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    rows.repartition(3).write.parquet(f"{tables}/conversations.parquet")
+    spark.range(3).write.parquet(f"{tables}/other.parquet")
+    wanted = sorted(map(str, streams.conversation_state(spark, sf_dir).collect()))
+    assert len(wanted) == rows.select("conv_id").distinct().count()
+    assert sorted(map(str, streams.conversation_state(spark, tables).collect())) == wanted

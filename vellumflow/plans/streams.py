@@ -16,9 +16,12 @@ from vellumflow.streaming import jobs
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table as a stream of its files."""
+    """A table as a stream of its files, whether it is one file or a folder of them.
+
+    A pattern of one alternative names the table: a path that is no pattern must be a folder.
+    """
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{{name}.parquet}}")
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
