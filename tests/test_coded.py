@@ -98,3 +98,33 @@ def test_nothing_to_learn_from(spark):
         coded.fit(frame(spark, [("a", None)]), 4)
     with pytest.raises(ValueError, match="at least one"):
         coded.fit(frame(spark, [("a", [1, 2])]), 0)
+
+
+def test_long_lists_are_not_written(spark, rows, tmp_path, monkeypatch):
+    """The table passes by the questions where lists would be longer than it: the same hits, and no list is made."""
+    corpus = frame(spark, rows)
+    questions = frame(spark, [(f"q{i}", v) for i, v in enumerate(clustered(1, 60))] + [("q-null", None), ("q-zero", [0] * 20)]).withColumnRenamed("id", "qid")
+    model = coded.fit(corpus, 12)
+    path = f"{tmp_path}/coded"
+    coded.save(coded.encode(corpus, model), path)
+    table = coded.load(spark, path)
+    shown = lambda df: sorted((r["qid"], r["id"], round(r["score"], 6), r["rank"]) for r in df.collect())
+    few, some = coded.search(questions.limit(2), table, model, 5, 4, 20), coded.search(questions, table, model, 5, 4, 20, 0.2)
+    listed = coded.short_lists(questions, table, model, 4, 20)
+    unit = {i: np.asarray(v, float) / (np.linalg.norm(v) or 1) for i, v in rows if v is not None}
+    asked = {r["qid"]: coded._unit(np.asarray(r["embedding"]), 1)[0] for r in questions.collect() if r["embedding"] is not None}
+    wanted = []
+    for qid in asked:
+        mine = [(-round(float(asked[qid] @ unit[r["id"]]), 9), r["id"]) for r in listed.where(F.col("qid") == qid).collect()] if qid in ("q3", "q-zero") else []
+        wanted += [(qid, i, round(-s, 6), n + 1) for n, (s, i) in enumerate(sorted(m for m in mine if -m[0] >= 0.2)[:5])]
+    assert [h for h in shown(some) if h[0] in ("q3", "q-zero")] == sorted(wanted)
+    assert few.count() == 10
+    monkeypatch.setattr(coded, "short_lists", None)
+    monkeypatch.setattr(cells, "TILE", 7)
+    monkeypatch.setattr(cells, "QUESTION_BLOCK", 4)
+    every = coded.search(questions, table, model, 5, len(model.cells), 900)
+    assert shown(every) == shown(retrieve.exact_hits(questions, corpus, 5))
+    assert shown(coded.search(questions, table, model, 5, len(model.cells), 899)) == shown(every)
+    pivots = cells.choose_pivots(corpus, 6)
+    placed = cells.cell_table(corpus, pivots)
+    assert shown(cells.cell_hits(questions, placed, pivots, 5, 6)) == shown(every)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vellumflow.operators.cells import listed, passed
 from vellumflow.operators.retrieve import CORPUS_BLOCK, HIT_BYTES, QUESTION_BLOCK, TILE, _best, _hit_schema, _packed, _unit, exact_hits, ranked
 from vellumflow.session import BROADCAST_BYTES, few, settled
 
@@ -47,6 +48,11 @@ class Model:
         far = np.round((self.books**2).sum(2)[None] - 2 * np.einsum("npd,pcd->npc", left, self.books), DIGITS)
         return far.argmin(2).astype(np.int16)
 
+    def decoded(self, cell: int, codes: np.ndarray) -> np.ndarray:
+        """The vectors that codes of one cell stand for; their products with questions are the estimated cosines."""
+        parts = self.books[np.arange(len(self.books))[None], codes].reshape(len(codes), -1)
+        return self.centres[list(self.cells).index(cell)] + parts[:, : self.centres.shape[1]]
+
     def scores(self, unit: np.ndarray, cell: int, codes: np.ndarray) -> np.ndarray:
         """Estimated cosines of questions with coded vectors of one cell, from one table of products for each question."""
         tables = np.einsum("qpd,pcd->qpc", _parts(unit, len(self.books)), self.books)
@@ -175,10 +181,10 @@ def load(spark: SparkSession, path: str) -> DataFrame:
     return found.withColumn("cell", F.col("cell").cast("long")).where(F.col("id").isNotNull())
 
 
-def probing(questions: DataFrame, model: Model, probes: int, qid: str = "qid", vec: str = "embedding") -> DataFrame:
-    """(qid, embedding, cell, nth): the ``probes`` nearest cells of each question."""
+def probing_lists(questions: DataFrame, model: Model, probes: int, qid: str = "qid", vec: str = "embedding") -> DataFrame:
+    """(qid, embedding, cells): each question with the list of its ``probes`` nearest cells."""
     source = questions.where(F.col(vec).isNotNull()).select(F.col(qid).alias("qid"), F.col(vec).alias("embedding"))
-    schema = T.StructType([*source.schema.fields, *T._parse_datatype_string("cell long, nth int").fields])
+    schema = T.StructType([*source.schema.fields, *T._parse_datatype_string("cells array<long>").fields])
     shared = questions.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,13 +192,17 @@ def probing(questions: DataFrame, model: Model, probes: int, qid: str = "qid", v
         for batch in batches:
             if batch.num_rows:
                 near = known.order(_vectors(batch, 1), probes)[0]
-                again = pa.array(np.repeat(np.arange(batch.num_rows), near.shape[1]))
-                nth = np.tile(np.arange(near.shape[1], dtype=np.int32), batch.num_rows)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(again), batch.column(1).take(again), pa.array(known.cells[near.ravel()]), pa.array(nth)], schema.fieldNames())
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), listed(pa.array(known.cells[near.ravel()]), *near.shape)], schema.fieldNames())
 
     return source.mapInArrow(run, schema)
 
 
+def probing(questions: DataFrame, model: Model, probes: int, qid: str = "qid", vec: str = "embedding") -> DataFrame:
+    """(qid, embedding, cell, nth): the ``probes`` nearest cells of each question."""
+    found = probing_lists(questions, model, probes, qid, vec).select("qid", "embedding", F.posexplode("cells").alias("nth", "cell"))
+    return found.select("qid", "embedding", "cell", "nth")
+
+
 def short_lists(questions: DataFrame, table: DataFrame, model: Model, probes: int, short: int, qid: str = "qid", vec: str = "embedding") -> DataFrame:
     """The ``short`` best of each question by estimated cosine (qid, id, score, rank), from the codes of its nearest cells alone."""
     sizes = settled(_sized(table))
@@ -228,9 +238,20 @@ def short_lists(questions: DataFrame, table: DataFrame, model: Model, probes: in
 def search(
     questions: DataFrame, table: DataFrame, model: Model, k: int = 5, probes: int = 8, short: int = 64, threshold: float = -1.0, qid: str = "qid", vec: str = "embedding"
 ) -> DataFrame:
-    """Top ``k`` by exact cosine of each question's short list: ``(qid, id, score, rank)``, ties to the smaller id."""
-    listed = few(settled(short_lists(questions, table, model, probes, short, qid, vec).select("qid", "id")), HIT_BYTES)
-    met = table.select("id", F.col("embedding").alias("found")).join(listed, "id")
+    """Top ``k`` by exact cosine of each question's short list: ``(qid, id, score, rank)``, ties to the smaller id.
+
+    Lists that together are longer than the table are not written: the table passes by the questions instead. A
+    list as long as the table leaves out nothing, so the rows of the cells are scored exactly without one.
+    """
+    n, rows = questions.count(), table.count()
+    if n * short > rows:
+        asked = probing_lists(questions, model, probes, qid, vec)
+        if short >= rows:
+            return passed(asked, table, n, k, threshold)
+        shared = questions.sparkSession.sparkContext.broadcast(model)
+        return passed(asked, table, n, k, threshold, short, lambda cell, codes: shared.value.decoded(cell, codes))
+    short_list = few(settled(short_lists(questions, table, model, probes, short, qid, vec).select("qid", "id")), HIT_BYTES)
+    met = table.select("id", F.col("embedding").alias("found")).join(short_list, "id")
     asked = questions.where(F.col(vec).isNotNull()).select(F.col(qid).alias("qid"), F.col(vec).alias("asked"))
     rows = met.join(asked, "qid").select("qid", "id", "asked", "found")
     schema = _hit_schema(rows.schema["qid"].dataType, rows.schema["id"].dataType)

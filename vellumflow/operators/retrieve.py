@@ -16,12 +16,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellumflow.session import BROADCAST_BYTES, few, settled
+from vellumflow.session import BROADCAST_BYTES, SPLITS_PER_CORE, few, settled, spread
 
 # Questions that a block of the corpus meets at once, and rows of one matrix product.
 QUESTION_BLOCK = 16384
 TILE = 1024
 CORPUS_BLOCK = 4096
+# Pairs scored one by one at a time.
+PAIRS = 65536
 # Upper estimate of a hit row in memory, keys of 100 characters included.
 HIT_BYTES = 400
 SCORE_DIGITS = 9
@@ -58,6 +60,28 @@ def _hit_schema(qid: T.DataType, id: T.DataType) -> T.StructType:
     return T.StructType([T.StructField("qid", qid), T.StructField("id", id), T.StructField("score", T.DoubleType())])
 
 
+def _reaching(unit: np.ndarray, corpus: np.ndarray, rough: np.ndarray, floor: np.ndarray, more: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(question, row, score) of all pairs whose score may reach the question's ``floor``; where ``more``, at least the best ``k``.
+
+    A product of single precision tells which pairs are worth it: it is off by less than ``slack``.
+    Scores are of double precision.
+    """
+    longest = np.sqrt((corpus**2).sum(1).max(initial=1.0))
+    slack = (unit.shape[1] + 8) * 2.0**-23 * longest + 2 * 10.0**-SCORE_DIGITS
+    near = unit.astype(np.float32) @ rough.T
+    n = near.shape[1]
+    if n > k and more.any():
+        short = np.flatnonzero(more)
+        floor = floor.copy()
+        floor[short] = np.maximum(floor[short], np.partition(near[short], n - k, axis=1)[:, n - k] - slack)
+    at = np.flatnonzero(near >= (floor - slack).astype(np.float32)[:, None])
+    q, c = np.divmod(at, n)
+    if len(at) * 16 > near.size:
+        return q, c, np.round((unit @ corpus.T)[q, c], SCORE_DIGITS)
+    scores = [(unit[q[a : a + PAIRS]] * corpus[c[a : a + PAIRS]]).sum(1) for a in range(0, len(at), PAIRS)]
+    return q, c, np.round(np.concatenate(scores) if scores else np.zeros(0), SCORE_DIGITS)
+
+
 class _Running:
     """The best ``k`` so far for some questions, in tiles that keep each matrix product bounded."""
 
@@ -66,19 +90,20 @@ class _Running:
         self.best: list[tuple | None] = [None] * -(-len(qids) // TILE)
 
     def meet(self, ids: np.ndarray, corpus: np.ndarray) -> None:
+        rough = corpus.astype(np.float32)
         for tile in range(len(self.best)):
             unit = self.unit[tile * TILE : (tile + 1) * TILE]
             q0, i0, s0 = self.best[tile] or (np.zeros(0, np.int64), ids[:0], np.zeros(0))
-            scores = np.round(unit @ corpus.T, SCORE_DIGITS)
-            n, k = scores.shape[1], self.k
-            floor = np.full(len(unit), -np.inf) if n < k else np.partition(scores, n - k, axis=1)[:, n - k]
-            full = np.bincount(q0, minlength=len(unit)) >= k
+            full = np.bincount(q0, minlength=len(unit)) >= self.k
+            floor = np.full(len(unit), self.threshold)
             if full.any():
                 lowest = np.full(len(unit), np.inf)
                 np.minimum.at(lowest, q0, s0)
                 floor = np.where(full, np.maximum(floor, lowest), floor)
-            q1, c1 = np.nonzero(scores >= np.maximum(floor, self.threshold)[:, None])
-            self.best[tile] = _best(np.r_[q0, q1], np.r_[i0, ids[c1]], np.r_[s0, scores[q1, c1]], k)
+            q1, c1, s1 = _reaching(unit, corpus, rough, floor, ~full, self.k)
+            kept = s1 >= self.threshold
+            if kept.any():
+                self.best[tile] = _best(np.r_[q0, q1[kept]], np.r_[i0, ids[c1[kept]]], np.r_[s0, s1[kept]], self.k)
 
     def out(self) -> Iterator[pa.RecordBatch]:
         for tile, best in enumerate(self.best):
@@ -117,6 +142,9 @@ def _one_pass(questions: DataFrame, corpus: DataFrame, k: int, threshold: float,
     """Best ``k`` of each task's corpus rows for all of a few questions, which go to the tasks once as one matrix."""
     asked = questions.where(F.col(vec).isNotNull()).select(qid, vec).toArrow()
     source = corpus.where(F.col(vec).isNotNull()).select(id_col, vec)
+    if asked.num_rows > TILE:
+        # Many questions make long tasks: the corpus is dealt to several of them a core.
+        source = spread(source, id_col, SPLITS_PER_CORE)
     schema = _hit_schema(questions.schema[qid].dataType, source.schema[id_col].dataType)
     qids = asked.column(0).to_numpy()
     flat = asked.column(1).combine_chunks()
