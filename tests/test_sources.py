@@ -206,3 +206,15 @@ def test_captions_of_figures_and_tables():
     refs = {i["text"]: i["ref"] for i in items}
     assert items[0]["caption_refs"] == [refs["one"]]
     assert next(i for i in items if i["label"] == "table")["caption_refs"] == [refs["two"]]
+
+
+def test_items_of_many_pages_leave_in_bounded_batches():
+    import pyarrow as pa
+
+    from vellumflow.sources import html_layout as module
+
+    page = "<h1>Head</h1>" + "<p>Some text</p>" * 9
+    batch = pa.RecordBatch.from_pydict({"input_hash": [str(i) for i in range(3000)], "filename": ["a"] * 3000, "html": [page] * 2999 + [None]})
+    found = list(module._layout_rows(iter([batch]), module.read_html, module.SEGMENT_ITEMS))
+    items = [sum(len(row) for row in b.column("items").to_pylist()) for b in found]
+    assert sum(items) == 29990 and max(items) <= module.HELD_ITEMS and sum(b.num_rows for b in found) == 3000
