@@ -90,3 +90,31 @@ def test_documents_carry_score_and_metadata(questions, vectors):
     assert sorted(map(str, rows.collect())) == sorted(map(str, far.collect()))
     doc = retrieve.as_documents(rows, "text", others=["label"]).first().document
     assert doc.page_content == "t" and set(doc.metadata) == {"similarity_score", "label"}
+
+
+def test_more_pairs_make_more_tasks(questions, vectors, monkeypatch):
+    asked, rows = questions.count(), vectors.count()
+    monkeypatch.setattr(retrieve, "TILE", 7)
+    monkeypatch.setattr(retrieve, "PRODUCT", 16)
+    monkeypatch.setattr(retrieve, "TASK_PAIRS", asked * rows // 50)
+    passes = retrieve._one_pass(questions, vectors, 4, -1.0, "qid", "id", "embedding")
+    assert passes.rdd.getNumPartitions() >= 50
+    assert found(retrieve.ranked(passes, 4)) == brute(questions, vectors, 4)
+    monkeypatch.setattr(cells, "QUESTION_BLOCK", 16)
+    pivots = cells.choose_pivots(vectors, 10)
+    near = cells.near_lists(questions, pivots, 10, "qid")
+    met = []
+    ranked = cells.ranked
+    monkeypatch.setattr(cells, "ranked", lambda hits, k: met.append(hits.rdd.getNumPartitions()) or ranked(hits, k))
+    hits = cells.passed(near, cells.cell_table(vectors, pivots), asked, 4, -1.0)
+    assert found(hits) == brute(questions, vectors, 4) and met[0] >= 50
+
+
+def test_a_row_that_is_not_a_number_hides_no_hit():
+    rng = np.random.default_rng(3)
+    unit = retrieve._unit(rng.normal(size=20 * 6), 20)
+    corpus = retrieve._unit(rng.normal(size=60 * 6), 60)
+    corpus[5] = np.nan
+    q, c, scores = retrieve._reaching(unit, corpus, corpus.astype(np.float32), np.full(20, 0.5), np.zeros(20, bool), 3)
+    good = ~np.isnan(scores) & (scores >= 0.5)
+    assert set(zip(q[good], c[good])) == set(zip(*np.nonzero(np.nan_to_num(unit @ corpus.T) >= 0.5)))

@@ -16,12 +16,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellumflow.session import BROADCAST_BYTES, SPLITS_PER_CORE, few, settled, spread
+from vellumflow.session import BROADCAST_BYTES, SPLITS_PER_CORE, few, settled
 
 # Questions that a block of the corpus meets at once, and rows of one matrix product.
 QUESTION_BLOCK = 16384
 TILE = 1024
 CORPUS_BLOCK = 4096
+# Rows of the corpus in one matrix product: with a tile of questions they stay in a core's cache.
+PRODUCT = 1024
+# New hits are sorted in with the best when they are one for so many questions.
+MERGED = 8
+# Pairs that a task judges: a search of more makes more tasks, not longer ones.
+TASK_PAIRS = 1 << 34
 # Pairs scored one by one at a time.
 PAIRS = 65536
 # Upper estimate of a hit row in memory, keys of 100 characters included.
@@ -66,16 +72,24 @@ def _reaching(unit: np.ndarray, corpus: np.ndarray, rough: np.ndarray, floor: np
     A product of single precision tells which pairs are worth it: it is off by less than ``slack``.
     Scores are of double precision.
     """
-    longest = np.sqrt((corpus**2).sum(1).max(initial=1.0))
+    squares = (corpus**2).sum(1)
+    known = ~np.isnan(squares)
+    longest = np.sqrt(squares.max(initial=1.0, where=known))
     slack = (unit.shape[1] + 8) * 2.0**-23 * longest + 2 * 10.0**-SCORE_DIGITS
     near = unit.astype(np.float32) @ rough.T
     n = near.shape[1]
+    # A row that holds no number is near to nothing, and hides no other.
+    near[:, ~known] = -np.inf
     if n > k and more.any():
         short = np.flatnonzero(more)
         floor = floor.copy()
         floor[short] = np.maximum(floor[short], np.partition(near[short], n - k, axis=1)[:, n - k] - slack)
-    at = np.flatnonzero(near >= (floor - slack).astype(np.float32)[:, None])
-    q, c = np.divmod(at, n)
+    least = np.maximum((floor - slack).astype(np.float32), np.finfo(np.float32).min)
+    # Of most questions not even the best row reaches the floor: one pass tells, and the others are looked at pair by pair.
+    some = np.flatnonzero(~(near.max(axis=1) < least)) if n else np.zeros(0, np.int64)
+    at = np.flatnonzero(near[some] >= least[some, None])
+    q, c = np.divmod(at, max(n, 1))
+    q = some[q]
     if len(at) * 16 > near.size:
         return q, c, np.round((unit @ corpus.T)[q, c], SCORE_DIGITS)
     scores = [(unit[q[a : a + PAIRS]] * corpus[c[a : a + PAIRS]]).sum(1) for a in range(0, len(at), PAIRS)]
@@ -87,28 +101,42 @@ class _Running:
 
     def __init__(self, qids: np.ndarray, unit: np.ndarray, k: int, threshold: float) -> None:
         self.qids, self.unit, self.k, self.threshold = qids, unit, k, threshold
-        self.best: list[tuple | None] = [None] * -(-len(qids) // TILE)
+        tiles = -(-len(qids) // TILE)
+        # Of each tile the hits, the best first and then what came since, and what the k-th hit of each question scores.
+        self.hits: list[list[tuple]] = [[] for _ in range(tiles)]
+        self.waiting = [0] * tiles
+        self.floor = [np.full(len(unit[t * TILE : (t + 1) * TILE]), threshold, np.float64) for t in range(tiles)]
+        self.full = [np.zeros(len(f), bool) for f in self.floor]
 
     def meet(self, ids: np.ndarray, corpus: np.ndarray) -> None:
+        for a in range(0, len(ids), PRODUCT):
+            self._meet(ids[a : a + PRODUCT], corpus[a : a + PRODUCT])
+
+    def _meet(self, ids: np.ndarray, corpus: np.ndarray) -> None:
         rough = corpus.astype(np.float32)
-        for tile in range(len(self.best)):
+        for tile in range(len(self.hits)):
             unit = self.unit[tile * TILE : (tile + 1) * TILE]
-            q0, i0, s0 = self.best[tile] or (np.zeros(0, np.int64), ids[:0], np.zeros(0))
-            full = np.bincount(q0, minlength=len(unit)) >= self.k
-            floor = np.full(len(unit), self.threshold)
-            if full.any():
-                lowest = np.full(len(unit), np.inf)
-                np.minimum.at(lowest, q0, s0)
-                floor = np.where(full, np.maximum(floor, lowest), floor)
-            q1, c1, s1 = _reaching(unit, corpus, rough, floor, ~full, self.k)
-            kept = s1 >= self.threshold
+            q, c, scores = _reaching(unit, corpus, rough, self.floor[tile], ~self.full[tile], self.k)
+            kept = scores >= self.threshold
             if kept.any():
-                self.best[tile] = _best(np.r_[q0, q1[kept]], np.r_[i0, ids[c1[kept]]], np.r_[s0, s1[kept]], self.k)
+                self.hits[tile].append((q[kept], ids[c[kept]], scores[kept]))
+                self.waiting[tile] += int(kept.sum())
+                if self.waiting[tile] * MERGED >= len(unit) or not self.full[tile].all():
+                    self._merge(tile)
+
+    def _merge(self, tile: int) -> None:
+        q, ids, scores = _best(*(np.concatenate(x) for x in zip(*self.hits[tile])), self.k)
+        self.hits[tile], self.waiting[tile] = [(q, ids, scores)], 0
+        full = np.bincount(q, minlength=len(self.floor[tile])) >= self.k
+        lowest = np.full(len(full), np.inf)
+        np.minimum.at(lowest, q, scores)
+        self.floor[tile][full], self.full[tile] = np.maximum(lowest[full], self.threshold), full
 
     def out(self) -> Iterator[pa.RecordBatch]:
-        for tile, best in enumerate(self.best):
-            if best is not None and len(best[0]):
-                q, ids, scores = best
+        for tile, hits in enumerate(self.hits):
+            if hits:
+                self._merge(tile)
+                q, ids, scores = self.hits[tile][0]
                 yield pa.RecordBatch.from_arrays([pa.array(self.qids[tile * TILE + q]), pa.array(ids), pa.array(scores)], ["qid", "id", "score"])
 
 
@@ -138,13 +166,19 @@ def _block_hits(pairs: DataFrame, k: int, threshold: float) -> DataFrame:
     return pairs.select("qids", "qvecs", "ids", "vecs").mapInArrow(run, schema)
 
 
+def tasks_for(n: int, rows: int) -> int:
+    """Tasks that keep ``n`` questions against ``rows`` rows within TASK_PAIRS each."""
+    return max(1, -(-n * rows // TASK_PAIRS))
+
+
 def _one_pass(questions: DataFrame, corpus: DataFrame, k: int, threshold: float, qid: str, id_col: str, vec: str) -> DataFrame:
     """Best ``k`` of each task's corpus rows for all of a few questions, which go to the tasks once as one matrix."""
     asked = questions.where(F.col(vec).isNotNull()).select(qid, vec).toArrow()
     source = corpus.where(F.col(vec).isNotNull()).select(id_col, vec)
     if asked.num_rows > TILE:
-        # Many questions make long tasks: the corpus is dealt to several of them a core.
-        source = spread(source, id_col, SPLITS_PER_CORE)
+        # Many questions make long tasks: the corpus is dealt to several of them a core, and to more where these still had too many pairs.
+        parts = max(SPLITS_PER_CORE * corpus.sparkSession.sparkContext.defaultParallelism, tasks_for(asked.num_rows, corpus.count()))
+        source = source.repartition(parts, id_col)
     schema = _hit_schema(questions.schema[qid].dataType, source.schema[id_col].dataType)
     qids = asked.column(0).to_numpy()
     flat = asked.column(1).combine_chunks()
