@@ -48,3 +48,18 @@ def test_whole_table_as_row_by_row(spark, sf_dir):
     stems = dictionary.stem_table(docs, ["text", "asked"])
     made = dictionary.highlight(docs, "doc_id", "text", "asked", stems)
     assert sorted(made.select("doc_id", "highlighted").collect(), key=repr) == sorted(by_row.highlight(docs, "text", "asked").select("doc_id", "highlighted").collect(), key=repr)
+
+
+def test_each_text_is_cut_once(spark, tmp_path):
+    rows = spark.createDataFrame(ROWS, "id int, t string, q string").repartition(3)
+
+    @F.udf("string")
+    def seen(text):
+        open(f"{tmp_path}/texts", "a").write(f"{text!r}\n")
+        return text
+
+    kept = dictionary.with_words(rows.withColumn("t", seen.asNondeterministic()("t")), ["t", "q"])
+    made = dictionary.highlight(kept, "id", "t", "q", dictionary.stem_table(kept, ["t", "q"]))
+    want = by_row.highlight(rows, "t", "q")
+    assert made.columns == want.columns and sorted(made.collect(), key=lambda r: r.id) == sorted(want.collect(), key=lambda r: r.id)
+    assert len(open(f"{tmp_path}/texts").read().split("\n")) == len(ROWS) + 1

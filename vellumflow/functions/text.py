@@ -34,7 +34,8 @@ def words(text: Column) -> Column:
 def clean(text: Column) -> Column:
     """Letters a-z, digits and single spaces; everything else is dropped."""
     kept = F.regexp_replace(text, rf"[^a-zA-Z0-9{SPACE}]", "")
-    return F.trim(F.regexp_replace(kept, SPACES, " "))
+    # A single blank stays as it is.
+    return F.trim(F.regexp_replace(kept, rf"[{SPACE}]{{2,}}|[{SPACE}&&[^ ]]", " "))
 
 
 def query_terms(query: Column) -> Column:
@@ -43,8 +44,13 @@ def query_terms(query: Column) -> Column:
 
 
 def mark(text: Column, matching: Column) -> Column:
-    """Wrap each word whose lower-cased form is in ``matching``; all else is unchanged."""
-    wrapped: Callable[[Column], Column] = lambda t: F.when(
-        F.array_contains(matching, F.lower(t)), F.concat(F.lit("<mark>"), t, F.lit("</mark>"))
-    ).otherwise(t)
-    return F.array_join(F.transform(tokens(text), wrapped), "")
+    """Wrap each word whose lower-cased form is in ``matching``; all else is unchanged.
+
+    Only distinct words are compared. Words hold no sign that a pattern reads otherwise, so those found are one.
+    """
+    found = F.filter(F.array_distinct(words(text)), lambda w: F.array_contains(matching, F.lower(w)))
+    whole = lambda ws: F.concat(F.lit(f"(?<![{WORD}])(?:"), F.array_join(ws, "|"), F.lit(f")(?![{WORD}])"))
+    marked: Callable[[Column], Column] = lambda ws: F.when(
+        F.size(ws) > 0, F.regexp_replace(text, whole(ws), F.lit("<mark>$0</mark>"))
+    ).otherwise(text)
+    return F.get(F.transform(F.array(found), marked), F.lit(0))

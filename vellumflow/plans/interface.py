@@ -56,7 +56,8 @@ def highlight_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def highlighted_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same marks, with each distinct word stemmed once."""
-    rows = _paired(spark, sf_dir).withColumn("text", text.clean(F.col("text")))
+    cleaned = _paired(spark, sf_dir).withColumn("text", text.clean(F.col("text")))
+    rows = dictionary.with_words(cleaned.select("doc_id", "text", "query"), ["text", "query"])
     done = dictionary.highlight(rows, "doc_id", "text", "query", dictionary.stem_table(rows, ["text", "query"]))
     return done.select("doc_id", "highlighted")
 
