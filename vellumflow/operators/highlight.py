@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +13,8 @@ from vellumflow.functions.text import clean, mark, words
 
 Stemmer = Callable[[str], str]
 CACHED_STEMS = 200_000
+# Rows whose words are Python objects at a time.
+ROWS = 64
 
 
 def _cached(stemmer: Stemmer) -> Stemmer:
@@ -29,14 +31,24 @@ def _cached(stemmer: Stemmer) -> Stemmer:
     return stem
 
 
+def _by_rows(made: Callable[..., list[str] | None], *columns: pa.Array) -> pa.Array:
+    """Lists of words made row by row; of a batch only a few rows are Python objects at a time."""
+    kind = pa.list_(pa.string())
+    parts = [
+        pa.array([made(*row) for row in zip(*(c.slice(a, ROWS).to_numpy(zero_copy_only=False) for c in columns))], kind)
+        for a in range(0, len(columns[0]), ROWS)
+    ]
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+
 def stems(of: Column, stemmer: Stemmer = porter_stem) -> Column:
     """Stem of each word in an array of words."""
 
-    @F.pandas_udf("array<string>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         stem = _cached(stemmer)
         for batch in batches:
-            yield batch.map(lambda ws: None if ws is None else [stem(w) for w in ws])
+            yield _by_rows(lambda ws: None if ws is None else [stem(w) for w in ws], batch)
 
     return run(of)
 
@@ -49,15 +61,16 @@ def matching_words(text_words: Column, query_words: Column, stemmer: Stemmer | N
     if stemmer is None:
         return F.array_intersect(text_words, query_words)
 
-    @F.pandas_udf("array<string>")
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<string>")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         stem = _cached(stemmer)
+
+        def matching(ws: list[str] | None, qs: list[str] | None) -> list[str]:
+            wanted = set() if qs is None else {stem(q) for q in qs}
+            return [] if ws is None or not wanted else [w for w in ws if stem(w) in wanted]
+
         for texts, queries in batches:
-            found = []
-            for ws, qs in zip(texts, queries):
-                wanted = set() if qs is None else {stem(q) for q in qs}
-                found.append([] if ws is None or not wanted else [w for w in ws if stem(w) in wanted])
-            yield pd.Series(found, index=texts.index)
+            yield _by_rows(matching, texts, queries)
 
     return run(text_words, query_words)
 

@@ -6,7 +6,8 @@ import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ class Retry:
 CALL_INPUTS = 256
 
 
-def _answer(model, retry: Retry, inputs: list[str], most: int = CALL_INPUTS) -> list[tuple[str, str | None]]:
+def _answer(model, retry: Retry, inputs: list[str] | pa.Array, most: int = CALL_INPUTS) -> list[tuple[str, str | None]]:
     """Replies with errors, asked for in calls of at most ``most`` inputs.
 
     One bad input costs only its own reply, which becomes empty. A model that is
@@ -53,6 +54,7 @@ def _answer(model, retry: Retry, inputs: list[str], most: int = CALL_INPUTS) ->
     limited: str | None = None
     for a in range(0, len(inputs), most):
         part = inputs[a : a + most]
+        part = part if isinstance(part, list) else part.to_numpy(zero_copy_only=False).tolist()
         if limited is None:
             try:
                 out += _replies(model, retry, part)
@@ -77,32 +79,39 @@ def _replies(model, retry: Retry, part: list[str]) -> list[tuple[str, str | None
         return [reply for one in part for reply in _replies(model, retry, [one])]
 
 
+def _replied(replies: list[tuple[str | None, str | None]]) -> pa.StructArray:
+    texts, errors = [t for t, _ in replies], [e for _, e in replies]
+    return pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(errors, pa.string())], ["text", "error"])
+
+
 def model_reply(inputs: Column, factory: ModelFactory, retry: Retry = Retry(), most: int = CALL_INPUTS) -> Column:
-    """``struct<text, error>`` per row; a null input is not sent and gives null fields."""
+    """``struct<text, error>`` per row; a null input is not sent and gives null fields.
+
+    Of a batch only the inputs of one call are Python objects at a time.
+    """
 
-    @F.pandas_udf(REPLY)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(REPLY)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = factory()
         for batch in batches:
-            out = pd.DataFrame({"text": None, "error": None}, index=batch.index, dtype=object)
-            known = batch.notna()
-            replies = _answer(model, retry, batch[known].tolist(), most)
-            out.loc[known, "text"] = [t for t, _ in replies]
-            out.loc[known, "error"] = [e for _, e in replies]
-            yield out
+            known = batch.is_valid()
+            replies = _answer(model, retry, batch.filter(known), most)
+            # A null row takes no reply.
+            at = np.where(known.to_numpy(zero_copy_only=False), np.cumsum(known.to_numpy(zero_copy_only=False)) - 1, len(replies))
+            yield pa.concat_arrays([_replied(replies), _replied([(None, None)])]).take(pa.array(at))
 
     return run.asNondeterministic()(inputs)
 
 
 def model_replies(inputs: Column, factory: ModelFactory, retry: Retry = Retry(), most: int = CALL_INPUTS) -> Column:
-    """The same for an array of inputs per row; the replies keep their order."""
+    """The same for an array of inputs per row; the replies keep their order, and a null array has none."""
 
-    @F.pandas_udf(f"array<{REPLY}>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(f"array<{REPLY}>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = factory()
         for batch in batches:
-            lists = [[] if b is None else list(b) for b in batch]
-            replies = iter(_answer(model, retry, [x for b in lists for x in b], most))
-            yield pd.Series([[dict(zip(("text", "error"), next(replies))) for _ in b] for b in lists], index=batch.index)
+            sizes = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            offsets = pa.array(np.r_[0, np.cumsum(sizes)], pa.int32())
+            yield pa.ListArray.from_arrays(offsets, _replied(_answer(model, retry, batch.flatten(), most)))
 
     return run.asNondeterministic()(inputs)
