@@ -56,3 +56,17 @@ def test_repeated_null_and_no_documents(spark, tmp_path):
     assert found(conversions.convert_or_load(odd, path, convert))[0] == ("a", "b.txt", "one")
     assert seen[-1] == ["a", "e"]
     assert conversions.stored_layout(spark, path).where("input_hash = 'a'").count() == 1
+
+
+def test_new_layout_is_made_once_and_moved_once(spark, tmp_path, monkeypatch):
+    """No copy of it is kept beside the table."""
+    kept = []
+    settled = conversions.settled
+    monkeypatch.setattr(conversions, "settled", lambda df: kept.append(df.columns) or settled(df))
+    convert, _ = counting(spark)
+    path = str(tmp_path / "layout")
+    many = [(f"h{i}", f"{i}.txt", f"text {i}") for i in range(100)]
+    assert len(found(conversions.convert_or_load(batch(spark, many), path, convert))) == 100
+    assert kept == [["input_hash"]]
+    assert conversions.convert_or_load(batch(spark, []), str(tmp_path / "none"), convert).count() == 0
+    assert not (tmp_path / "none").exists()

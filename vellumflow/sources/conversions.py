@@ -56,20 +56,24 @@ def convert_or_load(docs: DataFrame, path: str, convert: Converter, overwrite: b
         known = known.join(ids, "input_hash", "left_anti")
     first = known.groupBy("input_hash").agg(F.min("filename").alias("_first"))
     one = known.join(first, "input_hash").where(F.col("filename").eqNullSafe(F.col("_first"))).drop("_first").dropDuplicates(["input_hash"])
-    made = settled(_bucketed(convert(one).select(*schemas.layout.names)))
-    touched = [r[0] for r in made.select(BUCKET).distinct().collect()]
-    if touched:
-        _keep(spark, made, path, sorted(touched), overwrite)
+    made = _bucketed(convert(one).select(*schemas.layout.names))
+    if overwrite:
+        _replace(spark, settled(made), path)
+    elif not first.isEmpty():
+        _write(made, path, "append")
     wanted = few(settled(docs.select("input_hash").where("input_hash IS NOT NULL").distinct()))
     return stored_layout(spark, path).join(wanted, "input_hash", "left_semi").select(*schemas.layout.names)
 
 
-def _keep(spark: SparkSession, made: DataFrame, path: str, touched: list[int], overwrite: bool) -> None:
-    rows, mode = made, "append"
-    if overwrite:
-        old = stored_layout(spark, path).where(F.col(BUCKET).isin(touched))
+def _replace(spark: SparkSession, made: DataFrame, path: str) -> None:
+    touched = [r[0] for r in made.select(BUCKET).distinct().collect()]
+    if touched:
+        old = stored_layout(spark, path).where(F.col(BUCKET).isin(sorted(touched)))
         others = settled(old.join(made.select("input_hash").distinct(), "input_hash", "left_anti"))
-        rows, mode = made.unionByName(others), "overwrite"
-    # By ranges: a bucket of any size is cut into as many files as it needs, and a task writes few buckets.
-    ranged = rows.repartitionByRange(BUCKET, "input_hash", "seg")
-    ranged.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+        _write(made.unionByName(others), path, "overwrite")
+
+
+def _write(rows: DataFrame, path: str, mode: str) -> None:
+    # Rebalanced: a bucket of any size is cut into as many files as it needs, and a task writes few buckets. Rows are made and moved once.
+    dealt = rows.hint("rebalance", BUCKET)
+    dealt.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
