@@ -40,41 +40,117 @@ def words(texts: pa.Array) -> pa.ListArray:
     return pc.ascii_split_whitespace(texts)
 
 
-class Encoder:
-    """``texts -> (ids, number of ids of each)``; ``encode`` gives ids and lengths of an array of stretches.
+HEADS = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
+
 
-    What is remembered is bounded by ``most`` numbers; beyond it memory starts anew.
+class Memory:
+    """``strings -> (ids, number of ids of each)``, as ``encode`` gives them, which sees each string only if it was not seen lately.
+
+    Short strings are found by two numbers that hold their bytes and length; a newer string takes the slot of an older
+    one. Those of more than ``SHORT`` bytes are never known. At most ``most`` numbers are remembered, with those of one call beyond them;
+    then those strings stay that were asked for again since, or none where these are more than half of it.
     """
 
-    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], cut: Callable[[pa.Array], pa.ListArray], most: int = 3 << 20):
-        self.encode, self.cut, self.most = encode, cut, most
-        self._forget()
+    SHORT, BITS, MANY = 15, 20, 1 << 15
 
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], most: int):
+        self.encode, self.most = encode, most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.low, self.high = np.zeros(1 << self.BITS, np.uint64), np.zeros(1 << self.BITS, np.uint64)
+        self.row, self.used = np.full(1 << self.BITS, -1, np.int32), np.zeros(1 << self.BITS, bool)
         self.table = Gather(self.most)
 
+    def _forget(self) -> None:
+        self.row[~self.used] = -1
+        held, kept = np.flatnonzero(self.row >= 0), Gather(self.most)
+        kept.add(*self.table.take(self.row[held]))
+        if 2 * (kept.offsets[kept.rows] + 2 * kept.rows) > self.most:
+            self._clear()
+        else:
+            self.row[held], self.table = np.arange(len(held)), kept
+            self.used[:] = False
+
+    def _keys(self, data: np.ndarray, begin: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Both numbers and the slot of each short string. ``data`` goes on for 16 bytes after the last one."""
+        wide = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+        low = wide[begin] & HEADS[np.minimum(lens, 8)]
+        high = (wide[begin + 8] & HEADS[np.maximum(lens, 8) - 8]) | (lens.astype(np.uint64) << np.uint64(56))
+        mixed = (low ^ (high * MIX[0])) * MIX[1]
+        return low, high, (((mixed ^ (mixed >> np.uint64(32))) * MIX[0]) >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def _rows(self, data: np.ndarray, lens: np.ndarray) -> np.ndarray:
+        """The row of each string of ``data``, -1 where it is not known."""
+        out, begin = np.full(len(lens), -1, np.int64), np.cumsum(lens) - lens
+        for a in range(0, len(lens), self.MANY):
+            n = lens[a : a + self.MANY]
+            low, high, slot = self._keys(data, begin[a : a + self.MANY], np.minimum(n, self.SHORT))
+            found = (self.low[slot] == low) & (self.high[slot] == high) & (n <= self.SHORT)
+            out[a : a + self.MANY] = np.where(found, self.row[slot], -1)
+            self.used[slot[found]] = True
+        return out
+
+    def _put(self, data: np.ndarray, lens: np.ndarray, first: int) -> None:
+        """From now on the strings have the rows from ``first`` on."""
+        short = np.flatnonzero(lens <= self.SHORT)
+        low, high, slot = self._keys(data, (np.cumsum(lens) - lens)[short], lens[short])
+        self.row[slot], self.used[slot] = first + short, False
+        won = np.flatnonzero(self.row[slot] == first + short)  # of those that share a slot
+        self.low[slot[won]], self.high[slot[won]] = low[won], high[won]
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if self.table.full():
             self._forget()
+        rows = self._rows(*_padded(texts))
+        rest = np.flatnonzero(rows < 0)
+        if len(rest):
+            coded, first = texts.take(pa.array(rest)).dictionary_encode(), self.table.rows
+            self.table.add(*self.encode(coded.dictionary))
+            self._put(*_padded(coded.dictionary), first)
+            rows[rest] = first + coded.indices.to_numpy()
+        return self.table.take(rows)
+
+
+def _padded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    data, lens = text_bytes(texts)
+    return np.concatenate([data, np.zeros(16, np.uint8)]), lens
+
+
+def _sums(lens: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of ``lens`` between each two places of ``at``."""
+    ends = np.zeros(len(lens) + 1, np.int64)
+    np.cumsum(lens, out=ends[1:])
+    return np.diff(ends[at])
+
+
+class Encoder:
+    """``texts -> (ids, number of ids of each)``; ``encode`` gives ids and lengths of an array of stretches.
+
+    What is remembered is bounded by ``most`` numbers.
+    """
+
+    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], cut: Callable[[pa.Array], pa.ListArray], most: int = 6 << 20):
+        self.cut, self.memory = cut, Memory(encode, most)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         parts = self.cut(texts)
         at = parts.offsets.to_numpy().astype(np.int64)
-        coded = parts.flatten().dictionary_encode()
-        distinct, known = coded.dictionary.to_pylist(), self.known
-        new = [x for x in distinct if x not in known]
-        if new:
-            self.table.add(*self.encode(pa.array(new)))
-            known.update(zip(new, range(len(known), len(known) + len(new))))
-        rows = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
-        ids, lens = self.table.take(rows[coded.indices.to_numpy()])
-        ends = np.zeros(len(lens) + 1, np.int64)
-        np.cumsum(lens, out=ends[1:])
-        return ids, np.diff(ends[at - at[0]])
+        ids, lens = self.memory(parts.flatten())
+        return ids, _sums(lens, at - at[0])
 
 
 # Characters that normalisation only changes to lower case, one by one.
 PLAIN = "^[!-~À-ÖØ-öø-ÿ]+$"
-PIECE = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\n]+")
+PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+# The same by bytes, where there is no quote: such a letter of two bytes has the second one from 0x80 to 0xBF.
+LOWERED = np.arange(256, dtype=np.uint8)
+LOWERED[[*range(ord("A"), ord("Z") + 1), *range(0x80, 0x9F)]] += 32
+LETTER, DIGIT = 1, 2
+KIND = np.zeros(256, np.uint8)
+KIND[[*range(ord("a"), ord("z") + 1), *range(0x80, 0xC0), 0xC3]] = LETTER
+KIND[ord("0") : ord("9") + 1] = DIGIT
 
 
 class Library:
@@ -103,6 +179,7 @@ class Library:
         shown = _byte_characters()
         self.inner = np.array([vocab[c] for c in shown], np.int32)
         self.last = np.array([vocab[c + end] for c in shown], np.int32)
+        self.pieces = Memory(self._merged, 3 << 20)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         plain = pc.and_(pc.match_substring_regex(texts, PLAIN), pc.invert(pc.match_substring(texts, "<|"))).to_numpy(zero_copy_only=False)
@@ -116,18 +193,30 @@ class Library:
         return flat, out
 
     def _plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        quoted = pc.match_substring(texts, "'").to_numpy(zero_copy_only=False)
+        parts = [PIECE.findall(x.lower()) for x in texts.filter(pa.array(quoted)).to_pylist()]
+        data, lens = text_bytes(texts.filter(pa.array(~quoted)))
+        data, begin = LOWERED[data], np.cumsum(lens) - lens
+        kind = KIND[data]
+        new = np.r_[True, kind[1:] != kind[:-1]] | (kind == DIGIT) if len(data) else np.zeros(0, bool)
+        new[begin] = True
+        offsets = np.r_[np.flatnonzero(new), len(data)].astype(np.int32)
+        pieces = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(data))
+        count = np.empty(len(texts), np.int64)
+        count[~quoted], count[quoted] = np.diff(np.searchsorted(offsets, np.r_[begin, len(data)])), [len(p) for p in parts]
+        ids, n = self.pieces(pa.concat_arrays([pieces, pa.array([x for p in parts for x in p], pa.string())]))
+        # Those with quotes come last; put all in order.
+        order = np.r_[np.flatnonzero(~quoted), np.flatnonzero(quoted)]
+        n = _sums(n, np.r_[0, np.cumsum(count[order])])
+        return joined(ids, n, np.argsort(order), np.ones(len(order), np.int64)) if len(parts) else (ids, n)
+
+    def _merged(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         from vellumflow.llm.bpe import merge_all
 
-        coded = pa.array(PIECE.findall("".join(x + "\n" for x in texts.to_pylist()).lower()), pa.string()).dictionary_encode()
-        data, lens = text_bytes(coded.dictionary)
+        data, lens = text_bytes(pieces)
         ids, last = self.inner[data], np.cumsum(lens) - 1
         ids[last] = self.last[data[last]]
-        ends = data[last] == 10  # the line break after each word, which gives no ids
-        ids, lens = ids[~np.repeat(ends & (lens == 1), lens)], np.where(ends, 0, lens)
-        ids, lens = merge_all(ids, lens, self.pairs)
-        rows = coded.indices.to_numpy()
-        stops = np.flatnonzero(ends[rows])
-        return joined(ids, lens, rows, np.diff(stops, prepend=-1))
+        return merge_all(ids, lens, self.pairs)
 
 
 def _byte_characters() -> list[str]:
