@@ -2,84 +2,114 @@
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellumflow.llm.common import small_batches, written
+from vellumflow.llm.common import small_batches, text_bytes, written
 from vellumflow.session import BROADCAST_BYTES
 
 AT_LEAST, SCALE, TOP = 3, 1_000_000_000, 200
 # Length in bytes of the first prefixes; every level doubles it.
 FIRST_PREFIX = 4
-# Terms by source, and bytes of text, that a task counts before it hands its counts on.
-HELD, HELD_BYTES = 400_000, 32 << 20
+# Occurrences of terms, and bytes of text, that a task counts before it hands its counts on.
+HELD, HELD_BYTES = 4 << 20, 32 << 20
 # Counts that one task holds at once when sources are compared.
 CELLS = 1 << 20
-TERM = re.compile(rb"[a-z\x80-\xff]+")
-LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
+LETTER = np.zeros(256, bool)
+LETTER[ord("a") : ord("z") + 1] = LETTER[0x80:] = True
+
+
+def _terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of the terms of all texts end to end, the length of each term, and how many each text has."""
+    data, size = text_bytes(texts)
+    data, ends = LOWER[data], np.cumsum(size)
+    inside = LETTER[data]
+    border = ends[(ends > 0) & (ends < len(data))]
+    starts, stops = inside.copy(), inside.copy()
+    starts[1:] &= ~inside[:-1]
+    stops[:-1] &= ~inside[1:]
+    starts[border], stops[border - 1] = inside[border], inside[border - 1]
+    first = np.flatnonzero(starts)
+    return data[inside], np.flatnonzero(stops) - first + 1, np.diff(np.searchsorted(first, np.r_[0, ends]))
+
+
+def _distinct(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers in order, and how often each comes. ``numbers`` are sorted in place."""
+    numbers.sort()
+    first = np.flatnonzero(np.r_[len(numbers) > 0, numbers[1:] != numbers[:-1]])
+    return numbers[first], np.diff(np.r_[first, len(numbers)])
 
 
 class _Tally:
-    """Counts of some documents: by language the documents of each term, and those it stands for at each level; by source its occurrences."""
+    """Some documents, and the counts of them: by language the documents of each term, and those it stands for at each level; by source its occurrences."""
 
     def __init__(self, shortest: int):
         self.shortest = shortest
-        self.docs: dict[str, Counter] = {}
-        self.firsts: dict[str, list[Counter]] = {}
-        self.uses: dict[str, dict[str, Counter]] = {}
+        self.groups: dict[tuple[str, str], int] = {}
+        self.group: list[int] = []
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.entries = self.size = 0
 
-    def add(self, lang: str, source: str, text: bytes) -> None:
-        terms = TERM.findall(text.translate(LOWER))
-        uses = self.uses.setdefault(lang, {}).setdefault(source, Counter())
-        before = len(uses)
-        uses.update(terms)
-        self.entries += len(uses) - before
-        self.size += len(text)
-        terms = set(terms)
-        self.docs.setdefault(lang, Counter()).update(terms)
-        firsts, level, high = self.firsts.setdefault(lang, []), 0, self.shortest
-        while terms := [t for t in terms if len(t) > high]:
-            if level == len(firsts):
-                firsts.append(Counter())
-            # One term of the document stands for all that go on from the same prefix, so a document counts once.
-            firsts[level].update({t[:high]: t for t in terms}.values())
-            level, high = level + 1, 2 * high
+    def add(self, langs: list[str], sources: list[str], texts: pa.Array) -> None:
+        self.group += [self.groups.setdefault(g, len(self.groups)) for g in zip(langs, sources)]
+        self.parts.append(_terms(texts))
+        self.entries += len(self.parts[-1][1])
+        self.size += len(self.parts[-1][0])
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        for lang, docs in self.docs.items():
-            terms = list(docs)
-            place = dict(zip(terms, range(len(terms))))
-            sizes = np.fromiter(map(len, terms), np.int64, len(terms))
-            firsts = self.firsts[lang]
-            levels = sum(((sizes > (self.shortest << i)).astype(np.int64) for i in range(len(firsts))), np.zeros(len(terms), np.int64))
-            offsets = np.r_[0, np.cumsum(levels)]
-            first = np.zeros(offsets[-1], np.int32)
-            for i, counted in enumerate(firsts):
-                at = np.fromiter(map(place.__getitem__, counted), np.int64, len(counted))
-                first[offsets[at] + i] = np.fromiter(counted.values(), np.int32, len(counted))
-            names = list(self.uses[lang])
-            rows = [np.fromiter(map(place.__getitem__, c), np.int64, len(c)) for c in self.uses[lang].values()]
-            row, whose = np.concatenate(rows), np.repeat(np.arange(len(names), dtype=np.int32), [len(r) for r in rows])
-            n = np.concatenate([np.fromiter(c.values(), np.int64, len(c)) for c in self.uses[lang].values()])
-            order = np.argsort(row, kind="stable")
-            of = np.searchsorted(row[order], np.arange(len(terms) + 1))
-            uses = pa.StructArray.from_arrays([pa.array(names, pa.string()).take(pa.array(whose[order])), pa.array(n[order])], names=["source", "n"])
-            made = pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang]).take(pa.array(np.zeros(len(terms), np.int32))), pa.array(terms, pa.binary()).cast(pa.string()),
-                    pa.array(np.fromiter(docs.values(), np.int32, len(terms))),
-                    pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(first)), pa.ListArray.from_arrays(pa.array(of.astype(np.int32)), uses),
-                ],
-                names=["lang", "term", "docs", "firsts", "uses"],
-            )
-            yield from (made.slice(i, 1 << 15) for i in range(0, len(terms), 1 << 15))
+        if not self.entries:
+            return
+        letters, lens, counts = map(np.concatenate, zip(*self.parts))
+        self.parts = []
+        offsets = np.r_[0, np.cumsum(lens)].astype(np.int32)
+        coded = pa.Array.from_buffers(pa.binary(), len(lens), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
+        terms, code, n = coded.dictionary, coded.indices.to_numpy(), len(coded.dictionary)
+        del letters, lens, offsets, coded
+        names: dict[str, int] = {}
+        lang_of = np.array([names.setdefault(lang, len(names)) for lang, _ in self.groups], np.int64)
+        group = np.array(self.group, np.int64)
+        # A key is the number of a document, language or group times the number of terms, and the number of the term.
+        doc, pair = np.divmod(_distinct(np.repeat(np.arange(len(counts)) * n, counts) + code)[0], n)
+        of_pair = lang_of[group[doc]] * n + pair
+        keys, docs = _distinct(of_pair.copy())
+        row_term, sizes = keys % n, pc.binary_length(terms).to_numpy().astype(np.int64)
+        length, firsts, high = sizes[row_term], [], self.shortest
+        while (longer := sizes > high).any():
+            prefix = np.zeros(n, np.int64)
+            cut = pc.binary_slice(terms.filter(pa.array(longer)), 0, high).dictionary_encode()
+            prefix[longer] = cut.indices.to_numpy()
+            own = np.flatnonzero(longer[pair])
+            # One term of the document stands for all that go on from the same prefix, so a document counts once.
+            one = np.unique(doc[own] * len(cut.dictionary) + prefix[pair[own]], return_index=True)[1]
+            firsts.append(_distinct(of_pair[own[one]]))
+            high *= 2
+        levels = sum(((length > (self.shortest << i)).astype(np.int64) for i in range(len(firsts))), np.zeros(len(keys), np.int64))
+        at = np.r_[0, np.cumsum(levels)]
+        first = np.zeros(at[-1], np.int32)
+        for i, (own, found) in enumerate(firsts):
+            first[at[np.searchsorted(keys, own)] + i] = found
+        used, uses = _distinct(np.repeat(group * n, counts) + code)
+        whose, term = np.divmod(used, n)
+        row = np.searchsorted(keys, lang_of[whose] * n + term)
+        order = np.argsort(row, kind="stable")
+        of = np.r_[0, np.cumsum(np.bincount(row, minlength=len(keys)))].astype(np.int32)
+        sources = pa.array([source for _, source in self.groups], pa.string())
+        uses = pa.StructArray.from_arrays([sources.take(pa.array(whose[order])), pa.array(uses[order], pa.int64())], names=["source", "n"])
+        made = pa.RecordBatch.from_arrays(
+            [
+                pa.array(list(names), pa.string()).take(pa.array(keys // n)), terms.take(pa.array(row_term)).cast(pa.string()), pa.array(docs, pa.int32()),
+                pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(first)), pa.ListArray.from_arrays(pa.array(of), uses),
+            ],
+            names=["lang", "term", "docs", "firsts", "uses"],
+        )
+        yield from (made.slice(i, 1 << 15) for i in range(0, len(keys), 1 << 15))
 
 
 def document_terms(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -97,11 +127,13 @@ def document_terms(docs: DataFrame, text: str = "text", lang: str = "lang", sour
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = _Tally(shortest)
         for batch in batches:
-            for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())):
-                tally.add(lang, source, text.as_py())
-                if tally.entries >= held or tally.size >= held_bytes:
-                    yield from tally.rows()
-                    tally = _Tally(shortest)
+            if tally.size + batch.column(2).nbytes >= 1 << 31:  # places of bytes are 32 bits wide
+                yield from tally.rows()
+                tally = _Tally(shortest)
+            tally.add(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))
+            if tally.entries >= held or tally.size >= held_bytes:
+                yield from tally.rows()
+                tally = _Tally(shortest)
         yield from tally.rows()
 
     return rows.mapInArrow(run, "lang string, term string, docs int, firsts array<int>, uses array<struct<source: string, n: bigint>>")
