@@ -15,10 +15,12 @@ from vellumflow.llm.common import arrow_list, by_text, fan_out, written
 from vellumflow.llm.tokens import library
 
 END, LENGTH = 1, 2048
+# Bytes of text that a worker encodes at once.
+SLICE = 1 << 20
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end: int, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, ids): the ids of each whole text (null: empty), then ``end``."""
+    """(doc_id, ids, place): the ids of each whole text (null: empty), then ``end``, and how many ids the partition has before them."""
 
     def make(texts: pa.Array) -> list[pa.Array]:
         ids, lens = library(tokenizer)(texts)
@@ -26,7 +28,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int, id: str = "doc_id", tex
         return [arrow_list(np.insert(ids, ends, end), lens + 1)]
 
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("_text"))
-    return by_text(rows, "_text", "ids array<int>", make).drop("_text")
+    return by_text(rows, "_text", "ids array<int>, place long", make, SLICE, _with_places, stays=False)
 
 
 def _with_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -47,49 +49,24 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END,
     of a document, and windows of fixed length are cut by arithmetic alone. A
     sequence over a border of two partitions gets records from both, with its
     number and their offsets in it; ``sequences`` puts them together. No text
-    or token is shuffled.
+    or token is shuffled. Only encoding is done in Python, one worker a task.
 
     Columns: doc_id, start, length, doc_tokens, sequence_id, offset, piece (the
     ids). Nulls: a null text is empty and gives one piece, the end id; a null
     id stays. Repeated rows are packed as often as they come. No rows: no rows.
     Other columns are not looked at.
     """
-    kinds = T.StructType([*docs.select(F.col(id).alias("doc_id")).schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("place", T.LongType())])
-    stored = written(
-        tokenized(docs, tokenizer, end, id, text).mapInArrow(_with_places, kinds).withColumn("part", F.spark_partition_id()), "packed"
-    )
+    stored = written(tokenized(docs, tokenizer, end, id, text).withColumn("part", F.spark_partition_id()), "packed")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     totals = stored.groupBy("part").agg(F.sum(F.size("ids")).alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    placed = stored.join(F.broadcast(totals), "part").select("doc_id", "ids", (F.col("base") + F.col("place")).alias("at"))
-    key = kinds.fields[0]
-    out = T.StructType(
-        [key, *T._parse_datatype_string("start long, length long, doc_tokens long, sequence_id long, offset long, piece array<int>").fields]
-    )
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids, at = batch.column(1), batch.column(2).to_numpy()
-            offsets = ids.offsets.to_numpy().astype(np.int64)
-            flat = ids.values.to_numpy()
-            size = np.diff(offsets)
-            pieces = (at + size - 1) // length - at // length + 1
-            row = np.repeat(np.arange(len(at)), pieces)
-            nth = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            seq = at[row] // length + nth
-            begin = np.maximum(seq * length, at[row])
-            stop = np.minimum((seq + 1) * length, at[row] + size[row])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array(row)),
-                    *(pa.array(x) for x in (begin - at[row], stop - begin, size[row], seq, begin - seq * length)),
-                    arrow_list(flat[offsets[0] : offsets[-1]], stop - begin),
-                ],
-                names=[f.name for f in out],
-            )
-
-    return placed.mapInArrow(cut, out)
+    placed = stored.join(F.broadcast(totals), "part").select("doc_id", "ids", (F.col("base") + F.col("place")).alias("at"), F.size("ids").cast("long").alias("doc_tokens"))
+    cut = placed.withColumn("sequence_id", F.explode(F.expr(f"sequence(at div {length}, (at + doc_tokens - 1) div {length})")))
+    cut = cut.withColumn("start", F.greatest(F.col("sequence_id") * length - F.col("at"), F.lit(0)))
+    cut = cut.withColumn("length", F.least((F.col("sequence_id") + 1) * length - F.col("at"), F.col("doc_tokens")) - F.col("start"))
+    return cut.select(
+        "doc_id", "start", "length", "doc_tokens", "sequence_id", (F.col("at") + F.col("start") - F.col("sequence_id") * length).alias("offset"),
+        F.slice("ids", (F.col("start") + 1).cast("int"), F.col("length").cast("int")).alias("piece"),
+    )
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
