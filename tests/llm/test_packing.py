@@ -1,8 +1,8 @@
-"""How packing is laid out: one Python worker for a task, and long documents cut as plain arithmetic cuts them."""
+"""One Python worker for a task of packing or of the quality rules, and long documents cut as plain arithmetic cuts them."""
 
 import pytest
 
-from vellumflow.llm import packing, queries
+from vellumflow.llm import packing, quality, queries
 
 
 def maps(df):
@@ -19,6 +19,14 @@ def test_a_task_keeps_one_worker(spark, monkeypatch):
     assert "text" not in stored[0].columns and "_text" not in stored[0].columns
 
 
+def test_texts_are_judged_by_the_worker_that_counts(spark):
+    docs = spark.createDataFrame([(1, "a b", 5), (2, None, 6)], "doc_id int, text string, _apart int")
+    judged = quality.judged(docs, spark.createDataFrame([(1, 1)], "doc_id int, quality int"))
+    assert maps(judged) == 1
+    assert judged.columns == [*docs.columns, *(x.split()[0] for x in quality.COUNTS.split(", ")), "base_failed", "kept"]
+    assert [(r["doc_id"], r["_apart"], r["kept"]) for r in judged.orderBy("doc_id").collect()] == [(1, 5, False), (2, 6, False)]
+
+
 @pytest.mark.parametrize("length", [1, 7, 4096])
 def test_long_documents(spark, length):
     texts = ["a " * 5000, "", "b c " * 3000, None, "d"]

@@ -10,9 +10,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from vellumflow.llm.common import by_text, hashed_share
+from vellumflow.llm.common import by_text, hashed_share, unused
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -234,21 +233,20 @@ def judged(docs: DataFrame, labels: DataFrame, text: str = "text", id: str = "do
     ``kept`` is false where a fixed rule fails (under 50 words, or over half of
     them in repeated three-word windows) or the forest finds the text standing
     apart. The model is a few arrays of a size fixed by parameters and goes with
-    the tasks; texts are counted where they are read, and nothing is shuffled.
+    the tasks; texts are counted and judged where they are read, in one worker a task, and nothing is shuffled.
 
     Nulls: a null text is empty, so it has no words and fails. Empty labels: only
     the fixed rules hold. Repeated rows, null ids and further columns stay; a
     column with the name of an added one is replaced. No rows: no rows.
     """
     rules = trained(docs, labels, id, text)
-    rows = base_failed(counted(docs.drop("kept", "base_failed"), text))
-    at = [rows.columns.index(n) for n in _names()]
-    names = [*rows.columns, "kept"]
+    docs = docs.drop("kept", "base_failed")
+    apart = unused(docs, "_apart")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = {n: batch.column(i).to_numpy() for n, i in zip(_names(), at)}
-            out = rules.out(features(counts)) | batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(~out)], names=names)
+            counts = {n: x.to_numpy() for n, x in zip(_names(), batch.columns[-len(_names()) :])}
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rules.out(features(counts)))], names=[*batch.schema.names, apart])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("kept", T.BooleanType())]))
+    rows = base_failed(by_text(docs, text, f"{COUNTS}, {apart} boolean", _counts, then=run))
+    return rows.withColumn("kept", ~(F.col(apart) | F.col("base_failed"))).drop(apart)
