@@ -128,3 +128,33 @@ def test_long_lists_are_not_written(spark, rows, tmp_path, monkeypatch):
     pivots = cells.choose_pivots(corpus, 6)
     placed = cells.cell_table(corpus, pivots)
     assert shown(cells.cell_hits(questions, placed, pivots, 5, 6)) == shown(every)
+
+
+@pytest.mark.parametrize("k, short, threshold", [(5, 20, 0.3), (20, 15, -1.0), (2, 40, -1.0)])
+def test_rows_move_once_for_any_length_of_lists(spark, rows, tmp_path, monkeypatch, k, short, threshold):
+    """What the rows of long lists are: the best by estimate, ties to the smaller id. Rows are not moved for each block of questions."""
+    vectors = clustered(1, 900).astype(np.float32)
+    vectors[600:] += np.random.default_rng(6).normal(size=(300, 20))  # codes tell these badly
+    corpus = frame(spark, [(i, v if v is None or i < "id-0600" else vectors[n]) for n, (i, v) in enumerate(rows)])
+    asked = [(f"q{i}", v) for i, v in enumerate(clustered(1, 60))] + [("q-null", None), ("q-zero", [0] * 20), ("q7", clustered(3, 1)[0]), (None, clustered(4, 1)[0])]
+    questions = frame(spark, asked).withColumnRenamed("id", "qid")
+    model = coded.fit(corpus, 12)
+    coded.save(coded.encode(corpus, model), f"{tmp_path}/coded")
+    table = coded.load(spark, f"{tmp_path}/coded")
+    near = {r["id"]: (r["cell"], coded._unit(np.asarray(r["embedding"]), 1)[0], model.decoded(r["cell"], np.asarray([r["code"]]))[0]) for r in table.collect()}
+    want: dict = {}
+    for r in questions.where("embedding is not null").collect():
+        unit = coded._unit(np.asarray(r["embedding"]), 1)
+        probed = set(model.cells[model.order(unit, 4)[0][0]].tolist())
+        best = sorted((-round(float(unit[0] @ about), 9), i) for i, (cell, _, about) in near.items() if cell in probed)[:short]
+        want.setdefault(r["qid"], []).extend(s for s in ((-round(float(unit[0] @ near[i][1]), 9), i) for _, i in best) if -s[0] >= threshold)
+    want = {(q, i, n + 1) for q, hits in want.items() for n, (_, i) in enumerate(sorted(hits)[:k])}
+    seen, kind = [], type(corpus)
+    made = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *a: seen.append(self.count()) or made(self, *a))
+    monkeypatch.setattr(cells, "LIST_BYTES", 1 << 12)
+    monkeypatch.setattr(cells, "SENT_BYTES", 8 << 10, raising=False)
+    monkeypatch.setattr(cells, "TILE", 7)
+    got = coded.search(questions, table, model, k, 4, short, threshold).collect()
+    assert {(r["qid"], r["id"], r["rank"]) for r in got} == want
+    assert max(seen) <= 900

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellumflow.operators.cells import listed, passed
+from vellumflow.operators.cells import listed, passed, passed_short
 from vellumflow.operators.retrieve import CORPUS_BLOCK, HIT_BYTES, QUESTION_BLOCK, TILE, _best, _hit_schema, _packed, _unit, exact_hits, ranked
 from vellumflow.session import BROADCAST_BYTES, few, settled
 
@@ -249,7 +249,7 @@ def search(
         if short >= rows:
             return passed(asked, table, n, k, threshold)
         shared = questions.sparkSession.sparkContext.broadcast(model)
-        return passed(asked, table, n, k, threshold, short, lambda cell, codes: shared.value.decoded(cell, codes))
+        return passed_short(asked, table, n, k, threshold, short, lambda cell, codes: shared.value.decoded(cell, codes))
     short_list = few(settled(short_lists(questions, table, model, probes, short, qid, vec).select("qid", "id")), HIT_BYTES)
     met = table.select("id", F.col("embedding").alias("found")).join(short_list, "id")
     asked = questions.where(F.col(vec).isNotNull()).select(F.col(qid).alias("qid"), F.col(vec).alias("asked"))

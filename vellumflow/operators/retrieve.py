@@ -66,16 +66,20 @@ def _hit_schema(qid: T.DataType, id: T.DataType) -> T.StructType:
     return T.StructType([T.StructField("qid", qid), T.StructField("id", id), T.StructField("score", T.DoubleType())])
 
 
+def _slack(corpus: np.ndarray) -> float:
+    """More than a product of single precision with rows of ``corpus`` is off."""
+    squares = (corpus**2).sum(1)
+    longest = np.sqrt(squares.max(initial=1.0, where=~np.isnan(squares)))
+    return (corpus.shape[1] + 8) * 2.0**-23 * longest + 2 * 10.0**-SCORE_DIGITS
+
+
 def _reaching(unit: np.ndarray, corpus: np.ndarray, rough: np.ndarray, floor: np.ndarray, more: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(question, row, score) of all pairs whose score may reach the question's ``floor``; where ``more``, at least the best ``k``.
 
     A product of single precision tells which pairs are worth it: it is off by less than ``slack``.
     Scores are of double precision.
     """
-    squares = (corpus**2).sum(1)
-    known = ~np.isnan(squares)
-    longest = np.sqrt(squares.max(initial=1.0, where=known))
-    slack = (unit.shape[1] + 8) * 2.0**-23 * longest + 2 * 10.0**-SCORE_DIGITS
+    slack, known = _slack(corpus), ~np.isnan(corpus).any(1)
     near = unit.astype(np.float32) @ rough.T
     n = near.shape[1]
     # A row that holds no number is near to nothing, and hides no other.
