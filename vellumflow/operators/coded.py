@@ -240,7 +240,7 @@ def search(
 ) -> DataFrame:
     """Top ``k`` by exact cosine of each question's short list: ``(qid, id, score, rank)``, ties to the smaller id.
 
-    Lists that together are longer than the table are not written: the table passes by the questions instead. A
+    Lists that together are longer than the table are not written: the table passes by the questions instead, and what is estimated higher is counted. A
     list as long as the table leaves out nothing, so the rows of the cells are scored exactly without one.
     """
     n, rows = questions.count(), table.count()
